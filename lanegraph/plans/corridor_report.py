@@ -19,10 +19,10 @@ def corridor_bottlenecks(legs: DataFrame, top_n: int = 20, train_value: str = TR
     c = corridor_impact(corridor_stats(train, with_medians=False))
     return (c.select(
         "source_center", "destination_center", "segment_count", "trip_count",
-        F.round("delay_ratio_mean", 6).alias("delay_ratio_mean"),
-        F.round("sla_breach_pct", 6).alias("sla_breach_pct"),
-        F.round("corridor_reliability", 6).alias("corridor_reliability"),
+        F.round("delay_ratio_mean", 9).alias("delay_ratio_mean"),
+        F.round("sla_breach_pct", 9).alias("sla_breach_pct"),
+        F.round("corridor_reliability", 9).alias("corridor_reliability"),
         "delay_class",
-        F.round("corridor_impact", 6).alias("corridor_impact"))
+        F.round("corridor_impact", 9).alias("corridor_impact"))
         .orderBy(F.desc("corridor_impact"), "source_center", "destination_center")
         .limit(top_n))

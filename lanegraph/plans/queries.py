@@ -1,3 +1,4 @@
 """Imports every module that registers queries."""
 
 from . import registry  # noqa: F401
+from . import tables_q  # noqa: F401

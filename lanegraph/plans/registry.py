@@ -35,3 +35,17 @@ def clean_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _corridor_bottlenecks(spark, sf_dir):
     from .corridor_report import corridor_bottlenecks
     return corridor_bottlenecks(legs(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- presentation
+
+def finish(df: DataFrame, digits: int = 9) -> DataFrame:
+    """Round doubles and render timestamps as text for stable comparison."""
+    from pyspark.sql import functions as F
+    out = {}
+    for c, t in df.dtypes:
+        if t in ("double", "float"):
+            out[c] = F.round(F.col(c), digits)
+        elif t.startswith("timestamp"):
+            out[c] = F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
+    return df.withColumns(out) if out else df

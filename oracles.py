@@ -42,19 +42,53 @@ SELECT CASE WHEN l_orderkey % 10 < 7 THEN 'training' ELSE 'test' END AS data,
 FROM k)"""
 
 
-def with_legs(body: str) -> str:
-    """Prefix an oracle body (``name AS (...), ... SELECT``) with the leg view."""
+# Facility type suffixes in test order.
+_TYPES = ["HB", "H", "DC", "DPP", "D", "CP", "BO", "BM", "GW"]
+
+
+def _parse_sql(name: str, pre: str) -> str:
+    stripped = f"trim(regexp_replace({name}, '\\s*\\([^)]+\\)\\s*', '', 'g'))"
+    parts = f"string_split({stripped}, '_')"
+    last = f"upper({parts}[-1])"
+    suffix = " ".join(f"WHEN len({parts}) >= 2 AND ends_with({last}, '{t}') THEN '{t}'" for t in _TYPES)
+    anywhere = " ".join(f"WHEN contains(upper({name}), '_{t}') THEN '{t}'" for t in _TYPES)
+    blank = f"{name} IS NULL OR {name} = ''"
+    return (f"CASE WHEN {blank} THEN NULL ELSE {parts}[1] END AS {pre}city, "
+            f"CASE WHEN {blank} THEN NULL WHEN regexp_matches({name}, '\\(([^)]+)\\)') "
+            f"THEN trim(regexp_extract({name}, '\\(([^)]+)\\)', 1)) END AS {pre}state, "
+            f"CASE WHEN {blank} THEN NULL {suffix} ELSE CASE {anywhere} ELSE 'Unknown' END END AS {pre}facility_type")
+
+
+CLEAN = """,
+cl0 AS (SELECT * REPLACE (CASE WHEN segment_actual_time < 0 THEN 0.0E0 ELSE segment_actual_time END AS segment_actual_time,
+   nullif(segment_osrm_time, 0.0E0) AS segment_osrm_time, nullif(segment_osrm_distance, 0.0E0) AS segment_osrm_distance) FROM legs),
+cl1 AS (SELECT *, """ + _parse_sql("source_name", "source_") + ", " + _parse_sql("destination_name", "dest_") + """ FROM cl0),
+sn AS (SELECT source_center, source_name AS kn FROM (SELECT source_center, source_name,
+   row_number() OVER (PARTITION BY source_center ORDER BY trip_uuid, seg_no) AS rn FROM cl1
+   WHERE source_name IS NOT NULL AND source_center IS NOT NULL) WHERE rn = 1),
+dn AS (SELECT destination_center, destination_name AS kn FROM (SELECT destination_center, destination_name,
+   row_number() OVER (PARTITION BY destination_center ORDER BY trip_uuid, seg_no) AS rn FROM cl1
+   WHERE destination_name IS NOT NULL AND destination_center IS NOT NULL) WHERE rn = 1),
+clean AS (SELECT cl1.* REPLACE (coalesce(cl1.source_name, sn.kn) AS source_name, coalesce(cl1.destination_name, dn.kn) AS destination_name),
+   CASE WHEN cl1.source_state = cl1.dest_state THEN 1 ELSE 0 END AS is_intrastate
+  FROM cl1 LEFT JOIN sn ON cl1.source_center = sn.source_center LEFT JOIN dn ON cl1.destination_center = dn.destination_center)"""
+
+
+def with_legs(body: str, clean: bool = False) -> str:
+    """Prefix an oracle body (``name AS (...), ... SELECT``) with the leg view
+    (and the cleaned view ``clean`` when asked)."""
     body = body.strip()
+    head = "WITH " + LEGS + (CLEAN if clean else "")
     if body.upper().startswith("SELECT"):
-        return "WITH " + LEGS + "\n" + body
-    return "WITH " + LEGS + ",\n" + body
+        return head + "\n" + body
+    return head + ",\n" + body
 
 
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, body: str, legs: bool = True) -> None:
-    ORACLES[name] = with_legs(body) if legs else body.strip()
+def register(name: str, body: str, legs: bool = True, clean: bool = False) -> None:
+    ORACLES[name] = with_legs(body, clean) if legs else body.strip()
 
 
 register("corridor_bottlenecks", """
@@ -62,9 +96,204 @@ c AS (SELECT source_center, destination_center, avg(factor) AS ratio, stddev_sam
    count(DISTINCT trip_uuid) AS trip_count, avg(CASE WHEN factor > 1.5 THEN 1.0E0 ELSE 0.0E0 END) AS sla
   FROM legs WHERE data = 'training' GROUP BY source_center, destination_center),
 m AS (SELECT max(ratio) AS mr, max(trip_count) AS mt FROM c)
-SELECT source_center, destination_center, seg_count AS segment_count, trip_count, round(ratio, 6) AS delay_ratio_mean, round(sla, 6) AS sla_breach_pct,
- round(CASE WHEN ratio > 0 THEN least(greatest(1 - coalesce(sd, 0.0E0) / ratio, 0.0E0), 1.0E0) ELSE 0.0E0 END, 6) AS corridor_reliability,
+SELECT source_center, destination_center, seg_count AS segment_count, trip_count, round(ratio, 9) AS delay_ratio_mean, round(sla, 9) AS sla_breach_pct,
+ round(CASE WHEN ratio > 0 THEN least(greatest(1 - coalesce(sd, 0.0E0) / ratio, 0.0E0), 1.0E0) ELSE 0.0E0 END, 9) AS corridor_reliability,
  CASE WHEN ratio > 0 AND ratio <= 1.3E0 THEN 'Healthy' WHEN ratio > 1.3E0 AND ratio <= 2 THEN 'Moderate' WHEN ratio > 2 AND ratio <= 3 THEN 'Severe' WHEN ratio > 3 THEN 'Critical' END AS delay_class,
- round((sla * 0.4E0 + ratio / mr * 0.3E0 + CAST(trip_count AS DOUBLE) / mt * 0.3E0) * 100, 6) AS corridor_impact
+ round((sla * 0.4E0 + ratio / mr * 0.3E0 + CAST(trip_count AS DOUBLE) / mt * 0.3E0) * 100, 9) AS corridor_impact
 FROM c CROSS JOIN m ORDER BY corridor_impact DESC, source_center, destination_center LIMIT 20
 """)
+
+
+# ------------------------------------------------------------ helpers for bodies
+
+LEG_COLS = {
+    "data": "s", "trip_creation_time": "t", "route_schedule_uuid": "s", "route_type": "s",
+    "trip_uuid": "s", "seg_no": "i", "source_center": "s", "source_name": "s",
+    "destination_center": "s", "destination_name": "s", "od_start_time": "t", "od_end_time": "t",
+    "start_scan_to_end_scan": "d", "is_cutoff": "b", "cutoff_factor": "i", "cutoff_timestamp": "t",
+    "actual_distance_to_destination": "d", "osrm_time": "d", "osrm_distance": "d", "actual_time": "d",
+    "factor": "d", "segment_actual_time": "d", "segment_osrm_time": "d", "segment_osrm_distance": "d",
+    "segment_factor": "d",
+}
+
+
+def fin(expr: str, kind: str, alias: str) -> str:
+    """Same presentation as the Spark side: round doubles, timestamps as text."""
+    if kind == "d":
+        return f"round({expr}, 9) AS {alias}"
+    if kind == "t":
+        return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {alias}"
+    return f"{expr} AS {alias}"
+
+
+register("scan_segments", "SELECT " + ", ".join(fin(c, k, c) for c, k in LEG_COLS.items()) + " FROM legs")
+
+register("split_train_test", """
+SELECT data, count(*) AS segments, count(DISTINCT trip_uuid) AS trips FROM legs GROUP BY data""")
+
+register("sample_rows", "SELECT " + ", ".join(fin(c, k, c) for c, k in LEG_COLS.items())
+         + " FROM legs ORDER BY trip_uuid, seg_no LIMIT 1000")
+
+register("clean_segments", """
+SELECT trip_uuid, seg_no, round(segment_actual_time, 9) AS segment_actual_time,
+ round(segment_osrm_time, 9) AS segment_osrm_time, round(segment_osrm_distance, 9) AS segment_osrm_distance,
+ source_name, destination_name, source_city, source_state, source_facility_type,
+ dest_city, dest_state, dest_facility_type, is_intrastate FROM clean""", clean=True)
+
+register("clean_repair_counts", """
+SELECT count(*) FILTER (WHERE segment_actual_time < 0) AS negative_segment_actual_time,
+ count(*) FILTER (WHERE segment_osrm_time = 0) AS zero_segment_osrm_time,
+ count(*) FILTER (WHERE segment_osrm_distance = 0) AS zero_segment_osrm_distance,
+ count(*) FILTER (WHERE source_name IS NULL) AS missing_source_name,
+ count(*) FILTER (WHERE destination_name IS NULL) AS missing_destination_name FROM legs""")
+
+register("backfill_names", """
+SELECT count(*) FILTER (WHERE l.source_name IS NULL) AS src_missing,
+ count(*) FILTER (WHERE l.source_name IS NULL AND sn.kn IS NOT NULL) AS src_filled,
+ count(*) FILTER (WHERE l.destination_name IS NULL) AS dst_missing,
+ count(*) FILTER (WHERE l.destination_name IS NULL AND dn.kn IS NOT NULL) AS dst_filled
+FROM legs l LEFT JOIN sn ON l.source_center = sn.source_center LEFT JOIN dn ON l.destination_center = dn.destination_center
+""", clean=True)
+
+# Aggregate-level type tokens in test order.
+_TOKENS = ["HB", "DC", "DPP", "CP", "BO", "_H ", "_H(", "_D ", "_D("]
+_token_case = "CASE WHEN name IS NULL THEN 'Unknown' " + " ".join(
+    f"WHEN contains(name, '{t}') OR ends_with(name, '{t.strip()}') THEN '{t.strip().replace('(', '').replace('_', '')}'"
+    for t in _TOKENS) + " ELSE 'Unknown' END"
+
+register("parse_facility", """
+names AS (SELECT DISTINCT name FROM (SELECT source_name AS name FROM legs UNION ALL SELECT destination_name FROM legs) WHERE name IS NOT NULL)
+SELECT name, """ + _parse_sql("name", "") + ", " + _token_case + """ AS type_by_token,
+ CASE WHEN contains(name, '(') AND contains(name, ')') THEN trim(replace(string_split(name, '(')[-1], ')', '')) END AS state_last_paren
+FROM names""")
+
+_first = ["data", "route_schedule_uuid", "route_type", "source_center", "source_name", "source_city",
+          "source_state", "source_facility_type", "is_intrastate"]
+_last = ["destination_center", "destination_name", "dest_city", "dest_state", "dest_facility_type"]
+_trip_sel = [f"arg_min({c}, seg_no) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _first]
+_trip_sel += [fin(f"arg_min({c}, seg_no) FILTER (WHERE {c} IS NOT NULL)", "t", c)
+              for c in ["trip_creation_time", "od_start_time"]]
+_trip_sel += [f"arg_max({c}, seg_no) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _last]
+_trip_sel += [fin(f"max({c})", "d", c) for c in ["osrm_time", "osrm_distance", "actual_time",
+                                                 "actual_distance_to_destination", "start_scan_to_end_scan"]]
+for _c in ["segment_osrm_time", "segment_osrm_distance", "segment_actual_time"]:
+    _trip_sel += [fin(f"coalesce(sum({_c}), 0.0E0)", "d", f"{_c}_sum"), fin(f"avg({_c})", "d", f"{_c}_mean"),
+                  fin(f"stddev_samp({_c})", "d", f"{_c}_std"), fin(f"max({_c})", "d", f"{_c}_max")]
+_trip_sel += [fin("max(factor)", "d", "factor"),
+              "CAST(coalesce(sum(CAST(is_cutoff AS INT)), 0) AS BIGINT) AS cutoff_count",
+              "count(*) AS num_segments",
+              fin("CASE WHEN max(osrm_time) > 0 THEN max(osrm_distance) / (max(osrm_time) / 60) ELSE 0.0E0 END",
+                  "d", "osrm_speed")]
+TRIPS_SQL = ("SELECT trip_uuid, " + ", ".join(_trip_sel)
+             + " FROM clean WHERE trip_uuid IS NOT NULL GROUP BY trip_uuid")
+register("agg_trips", TRIPS_SQL, clean=True)
+
+CORRIDORS_SQL = """
+SELECT source_center, destination_center, avg(actual_time) AS actual_time_mean, median(actual_time) AS actual_time_median,
+ stddev_samp(actual_time) AS actual_time_std, count(actual_time) AS segment_count,
+ avg(osrm_time) AS osrm_time_mean, max(osrm_time) AS osrm_time_max, avg(osrm_distance) AS osrm_distance_mean,
+ max(osrm_distance) AS osrm_distance_max, avg(factor) AS delay_ratio_mean, median(factor) AS delay_ratio_median,
+ stddev_samp(factor) AS delay_ratio_std, count(DISTINCT trip_uuid) AS trip_count,
+ avg(CASE WHEN factor > 1.5 THEN 1.0E0 ELSE 0.0E0 END) AS sla_breach_pct
+FROM {src} WHERE source_center IS NOT NULL AND destination_center IS NOT NULL GROUP BY source_center, destination_center"""
+
+MODE_SQL = """
+SELECT source_center, destination_center, route_type AS primary_route_type FROM (
+ SELECT source_center, destination_center, route_type, row_number() OVER (PARTITION BY source_center, destination_center ORDER BY count(*) DESC, route_type) AS rn
+ FROM {src} WHERE source_center IS NOT NULL AND destination_center IS NOT NULL AND route_type IS NOT NULL
+ GROUP BY source_center, destination_center, route_type) WHERE rn = 1"""
+
+BAND = ("CASE WHEN {r} > 0 AND {r} <= 1.3E0 THEN 'Healthy' WHEN {r} > 1.3E0 AND {r} <= 2 THEN 'Moderate' "
+        "WHEN {r} > 2 AND {r} <= 3 THEN 'Severe' WHEN {r} > 3 THEN 'Critical' END")
+RELIABILITY = ("CASE WHEN delay_ratio_mean > 0 THEN least(greatest(1 - coalesce(delay_ratio_std, 0.0E0) / delay_ratio_mean,"
+               " 0.0E0), 1.0E0) ELSE 0.0E0 END")
+
+
+def corridors_cte(src: str = "tr") -> str:
+    """CTE ``cs``: full corridor table (with mode, reliability, band) over ``src``."""
+    return (f"cs0 AS ({CORRIDORS_SQL.format(src=src)}), md AS ({MODE_SQL.format(src=src)}),\n"
+            f"cs AS (SELECT cs0.*, md.primary_route_type, {RELIABILITY} AS corridor_reliability, "
+            f"{BAND.format(r='delay_ratio_mean')} AS delay_class FROM cs0 LEFT JOIN md USING (source_center, destination_center))")
+
+
+TRAIN = "tr AS (SELECT * FROM legs WHERE data = 'training')"
+
+_cs_cols = [("actual_time_mean", "d"), ("actual_time_median", "d"), ("actual_time_std", "d"), ("segment_count", "i"),
+            ("osrm_time_mean", "d"), ("osrm_time_max", "d"), ("osrm_distance_mean", "d"), ("osrm_distance_max", "d"),
+            ("delay_ratio_mean", "d"), ("delay_ratio_median", "d"), ("delay_ratio_std", "d"),
+            ("primary_route_type", "s"), ("trip_count", "i"), ("sla_breach_pct", "d"),
+            ("corridor_reliability", "d"), ("delay_class", "s")]
+register("agg_corridor_stats", TRAIN + ",\n" + corridors_cte() + "\nSELECT source_center, destination_center, "
+         + ", ".join(fin(c, k, c) for c, k in _cs_cols) + " FROM cs")
+
+
+def _role(key: str, other: str, suf: str, deg: str, sla: str, src: str) -> str:
+    return f"""SELECT {key} AS facility_id, avg(actual_time) AS avg_delay_as_{suf}, median(actual_time) AS median_delay_as_{suf},
+ count(actual_time) AS throughput_as_{suf}, avg(osrm_time) AS avg_osrm_as_{suf}, avg(factor) AS avg_factor_as_{suf},
+ stddev_samp(factor) AS factor_std_as_{suf}, count(DISTINCT {other}) AS {deg}, count(DISTINCT trip_uuid) AS unique_trips_as_{suf},
+ avg(CASE WHEN factor > 1.5 THEN 1.0E0 ELSE 0.0E0 END) AS {sla}
+ FROM {src} WHERE {key} IS NOT NULL GROUP BY {key}"""
+
+
+def facilities_cte(src: str = "tr") -> str:
+    """CTE ``fs``: facility table over ``src``."""
+    num = {"avg_delay_as_{s}": "d", "median_delay_as_{s}": "d", "throughput_as_{s}": "i", "avg_osrm_as_{s}": "d",
+           "avg_factor_as_{s}": "d", "factor_std_as_{s}": "d", "unique_trips_as_{s}": "i"}
+    cols = []
+    for s in ("source", "dest"):
+        cols += [f"coalesce({c.format(s=s)}, 0) AS {c.format(s=s)}" for c in num]
+    cols += ["coalesce(out_degree, 0) AS out_degree", "coalesce(in_degree, 0) AS in_degree",
+             "sla_breach_pct_src", "sla_breach_pct_dst"]
+    return f"""fsrc AS ({_role('source_center', 'destination_center', 'source', 'out_degree', 'sla_breach_pct_src', src)}),
+fdst AS ({_role('destination_center', 'source_center', 'dest', 'in_degree', 'sla_breach_pct_dst', src)}),
+fm AS (SELECT coalesce(fsrc.facility_id, fdst.facility_id) AS facility_id, {", ".join(cols)}
+  FROM fsrc FULL OUTER JOIN fdst ON fsrc.facility_id = fdst.facility_id),
+fn_s AS (SELECT source_center AS facility_id, source_name AS nm FROM (SELECT source_center, source_name,
+  row_number() OVER (PARTITION BY source_center ORDER BY trip_uuid, seg_no) AS rn FROM {src} WHERE source_center IS NOT NULL) WHERE rn = 1),
+fn_d AS (SELECT destination_center AS facility_id, destination_name AS nm FROM (SELECT destination_center, destination_name,
+  row_number() OVER (PARTITION BY destination_center ORDER BY trip_uuid, seg_no) AS rn FROM {src} WHERE destination_center IS NOT NULL) WHERE rn = 1),
+fnm AS (SELECT coalesce(fn_s.facility_id, fn_d.facility_id) AS facility_id, coalesce(fn_d.nm, fn_s.nm) AS facility_name
+  FROM fn_s FULL OUTER JOIN fn_d ON fn_s.facility_id = fn_d.facility_id),
+fs AS (SELECT fm.*, throughput_as_source + throughput_as_dest AS total_throughput, out_degree + in_degree AS total_degree,
+  (avg_delay_as_source * throughput_as_source + avg_delay_as_dest * throughput_as_dest)
+   / CAST(greatest(throughput_as_source + throughput_as_dest, 1) AS DOUBLE) AS avg_delay,
+  (coalesce(sla_breach_pct_src, 0.0E0) + coalesce(sla_breach_pct_dst, 0.0E0)) / 2 AS sla_breach_pct,
+  fnm.facility_name, {_token_case.replace('name', 'fnm.facility_name')} AS facility_type
+  FROM fm LEFT JOIN fnm ON fm.facility_id = fnm.facility_id)"""
+
+
+_fs_cols = []
+for _s in ("source", "dest"):
+    _fs_cols += [(f"avg_delay_as_{_s}", "d"), (f"median_delay_as_{_s}", "d"), (f"throughput_as_{_s}", "i"),
+                 (f"avg_osrm_as_{_s}", "d"), (f"avg_factor_as_{_s}", "d"), (f"factor_std_as_{_s}", "d"),
+                 (f"unique_trips_as_{_s}", "i")]
+_fs_cols += [("out_degree", "i"), ("in_degree", "i"), ("sla_breach_pct_src", "d"), ("sla_breach_pct_dst", "d"),
+             ("total_throughput", "i"), ("total_degree", "i"), ("avg_delay", "d"), ("sla_breach_pct", "d"),
+             ("facility_name", "s"), ("facility_type", "s")]
+register("agg_facility_stats", TRAIN + ",\n" + facilities_cte() + "\nSELECT facility_id, "
+         + ", ".join(fin(c, k, c) for c, k in _fs_cols) + " FROM fs")
+
+register("facility_names", """
+fn_s AS (SELECT source_center AS facility_id, source_name AS nm FROM (SELECT source_center, source_name,
+  row_number() OVER (PARTITION BY source_center ORDER BY trip_uuid, seg_no) AS rn FROM legs WHERE source_center IS NOT NULL) WHERE rn = 1),
+fn_d AS (SELECT destination_center AS facility_id, destination_name AS nm FROM (SELECT destination_center, destination_name,
+  row_number() OVER (PARTITION BY destination_center ORDER BY trip_uuid, seg_no) AS rn FROM legs WHERE destination_center IS NOT NULL) WHERE rn = 1)
+SELECT coalesce(fn_s.facility_id, fn_d.facility_id) AS facility_id, coalesce(fn_d.nm, fn_s.nm) AS facility_name
+FROM fn_s FULL OUTER JOIN fn_d ON fn_s.facility_id = fn_d.facility_id""")
+
+register("agg_route_type_corridors", """
+SELECT route_type, source_center, destination_center, round(avg(actual_time), 9) AS actual_time, round(avg(osrm_time), 9) AS osrm_time,
+ round(avg(osrm_distance), 9) AS distance, round(avg(factor), 9) AS delay_ratio, count(DISTINCT trip_uuid) AS frequency,
+ round(avg(factor), 9) AS weight
+FROM legs WHERE data = 'training' AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL
+GROUP BY route_type, source_center, destination_center""")
+
+register("all_facilities", """
+SELECT DISTINCT facility_id FROM (SELECT source_center AS facility_id FROM legs UNION ALL SELECT destination_center FROM legs)
+WHERE facility_id IS NOT NULL""")
+
+register("graph_time_aware", """
+SELECT source_center, destination_center, hour(od_start_time) AS start_hour, count(*) AS segment_count,
+ round(avg(factor), 9) AS delay_ratio_mean, round(avg(actual_time), 9) AS actual_time_mean, count(DISTINCT trip_uuid) AS trip_count
+FROM legs WHERE data = 'training' AND source_center IS NOT NULL AND destination_center IS NOT NULL
+GROUP BY source_center, destination_center, hour(od_start_time)""")
