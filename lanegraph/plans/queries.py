@@ -2,3 +2,4 @@
 
 from . import registry  # noqa: F401
 from . import tables_q  # noqa: F401
+from . import analysis_q  # noqa: F401

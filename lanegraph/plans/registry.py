@@ -45,7 +45,8 @@ def finish(df: DataFrame, digits: int = 9) -> DataFrame:
     out = {}
     for c, t in df.dtypes:
         if t in ("double", "float"):
-            out[c] = F.round(F.col(c), digits)
+            r = F.round(F.col(c), digits)
+            out[c] = F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
         elif t.startswith("timestamp"):
             out[c] = F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
     return df.withColumns(out) if out else df

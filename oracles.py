@@ -120,7 +120,7 @@ LEG_COLS = {
 def fin(expr: str, kind: str, alias: str) -> str:
     """Same presentation as the Spark side: round doubles, timestamps as text."""
     if kind == "d":
-        return f"round({expr}, 9) AS {alias}"
+        return f"CASE WHEN round({expr}, 9) = 0 THEN 0.0E0 ELSE round({expr}, 9) END AS {alias}"
     if kind == "t":
         return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {alias}"
     return f"{expr} AS {alias}"
@@ -168,25 +168,27 @@ SELECT name, """ + _parse_sql("name", "") + ", " + _token_case + """ AS type_by_
 FROM names""")
 
 _first = ["data", "route_schedule_uuid", "route_type", "source_center", "source_name", "source_city",
-          "source_state", "source_facility_type", "is_intrastate"]
+          "source_state", "source_facility_type", "is_intrastate", "trip_creation_time", "od_start_time"]
 _last = ["destination_center", "destination_name", "dest_city", "dest_state", "dest_facility_type"]
-_trip_sel = [f"arg_min({c}, seg_no) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _first]
-_trip_sel += [fin(f"arg_min({c}, seg_no) FILTER (WHERE {c} IS NOT NULL)", "t", c)
-              for c in ["trip_creation_time", "od_start_time"]]
-_trip_sel += [f"arg_max({c}, seg_no) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _last]
-_trip_sel += [fin(f"max({c})", "d", c) for c in ["osrm_time", "osrm_distance", "actual_time",
-                                                 "actual_distance_to_destination", "start_scan_to_end_scan"]]
+TRIP_KINDS = {c: "s" for c in _first + _last}
+TRIP_KINDS.update({"is_intrastate": "i", "trip_creation_time": "t", "od_start_time": "t"})
+_trip_raw = [f"arg_min({c}, seg_no) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _first]
+_trip_raw += [f"arg_max({c}, seg_no) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _last]
+for _c in ["osrm_time", "osrm_distance", "actual_time", "actual_distance_to_destination", "start_scan_to_end_scan"]:
+    _trip_raw.append(f"max({_c}) AS {_c}")
+    TRIP_KINDS[_c] = "d"
 for _c in ["segment_osrm_time", "segment_osrm_distance", "segment_actual_time"]:
-    _trip_sel += [fin(f"coalesce(sum({_c}), 0.0E0)", "d", f"{_c}_sum"), fin(f"avg({_c})", "d", f"{_c}_mean"),
-                  fin(f"stddev_samp({_c})", "d", f"{_c}_std"), fin(f"max({_c})", "d", f"{_c}_max")]
-_trip_sel += [fin("max(factor)", "d", "factor"),
-              "CAST(coalesce(sum(CAST(is_cutoff AS INT)), 0) AS BIGINT) AS cutoff_count",
+    _trip_raw += [f"coalesce(sum({_c}), 0.0E0) AS {_c}_sum", f"avg({_c}) AS {_c}_mean",
+                  f"stddev_samp({_c}) AS {_c}_std", f"max({_c}) AS {_c}_max"]
+    TRIP_KINDS.update({f"{_c}_{a}": "d" for a in ("sum", "mean", "std", "max")})
+_trip_raw += ["max(factor) AS factor", "CAST(coalesce(sum(CAST(is_cutoff AS INT)), 0) AS BIGINT) AS cutoff_count",
               "count(*) AS num_segments",
-              fin("CASE WHEN max(osrm_time) > 0 THEN max(osrm_distance) / (max(osrm_time) / 60) ELSE 0.0E0 END",
-                  "d", "osrm_speed")]
-TRIPS_SQL = ("SELECT trip_uuid, " + ", ".join(_trip_sel)
-             + " FROM clean WHERE trip_uuid IS NOT NULL GROUP BY trip_uuid")
-register("agg_trips", TRIPS_SQL, clean=True)
+              "CASE WHEN max(osrm_time) > 0 THEN max(osrm_distance) / (max(osrm_time) / 60) ELSE 0.0E0 END AS osrm_speed"]
+TRIP_KINDS.update({"factor": "d", "cutoff_count": "i", "num_segments": "i", "osrm_speed": "d"})
+TRIPS_CTE = ("trips AS (SELECT trip_uuid, " + ", ".join(_trip_raw)
+             + " FROM clean WHERE trip_uuid IS NOT NULL GROUP BY trip_uuid)")
+register("agg_trips", TRIPS_CTE + "\nSELECT trip_uuid, " + ", ".join(fin(c, k, c) for c, k in TRIP_KINDS.items())
+         + " FROM trips", clean=True)
 
 CORRIDORS_SQL = """
 SELECT source_center, destination_center, avg(actual_time) AS actual_time_mean, median(actual_time) AS actual_time_median,
@@ -297,3 +299,241 @@ SELECT source_center, destination_center, hour(od_start_time) AS start_hour, cou
  round(avg(factor), 9) AS delay_ratio_mean, round(avg(actual_time), 9) AS actual_time_mean, count(DISTINCT trip_uuid) AS trip_count
 FROM legs WHERE data = 'training' AND source_center IS NOT NULL AND destination_center IS NOT NULL
 GROUP BY source_center, destination_center, hour(od_start_time)""")
+
+
+# ---------------------------------------------------------------------- features
+
+_PEAK = "(8, 9, 10, 17, 18, 19)"
+_NIGHT = "(22, 23, 0, 1, 2, 3, 4, 5)"
+
+FEAT_CTE = TRIPS_CTE + """,
+f1 AS (SELECT *, hour(trip_creation_time) AS creation_hour, isodow(trip_creation_time) - 1 AS creation_day_of_week,
+  hour(od_start_time) AS start_hour FROM trips),
+f2 AS (SELECT *, CASE WHEN creation_day_of_week >= 5 THEN 1 ELSE 0 END AS creation_is_weekend,
+  CASE WHEN creation_hour IN """ + _PEAK + """ THEN 1 ELSE 0 END AS creation_is_peak,
+  CASE WHEN creation_hour IN """ + _NIGHT + """ THEN 1 ELSE 0 END AS creation_is_night,
+  dayofmonth(trip_creation_time) AS creation_day_of_month, weekofyear(trip_creation_time) AS creation_week_of_year,
+  CASE WHEN start_hour IN """ + _PEAK + """ THEN 1 ELSE 0 END AS start_is_peak,
+  sin(2 * pi() * creation_hour / 24) AS creation_hour_sin, cos(2 * pi() * creation_hour / 24) AS creation_hour_cos,
+  sin(2 * pi() * creation_day_of_week / 7) AS creation_dow_sin, cos(2 * pi() * creation_day_of_week / 7) AS creation_dow_cos,
+  greatest(coalesce(date_diff('microsecond', trip_creation_time, od_start_time) / 6e7, 0.0E0), 0.0E0) AS time_since_creation_min,
+  CASE WHEN route_type = 'FTL' THEN 1 ELSE 0 END AS is_ftl,
+  CASE WHEN osrm_time > 0 THEN osrm_distance / (osrm_time / 60) ELSE 0.0E0 END AS osrm_speed_kmh,
+  ln(1 + CASE WHEN osrm_time < 0 THEN 0.0E0 ELSE osrm_time END) AS log_osrm_time,
+  ln(1 + CASE WHEN osrm_distance < 0 THEN 0.0E0 ELSE osrm_distance END) AS log_osrm_distance,
+  ln(1 + num_segments) AS log_num_segments,
+  ln(1 + coalesce(CASE WHEN segment_osrm_time_sum < 0 THEN 0.0E0 ELSE segment_osrm_time_sum END, 0.0E0)) AS log_segment_osrm_time_sum,
+  ln(1 + coalesce(CASE WHEN segment_osrm_distance_sum < 0 THEN 0.0E0 ELSE segment_osrm_distance_sum END, 0.0E0)) AS log_segment_osrm_distance_sum,
+  CASE WHEN num_segments > 0 THEN segment_osrm_distance_sum / num_segments ELSE 0.0E0 END AS avg_segment_distance,
+  CASE WHEN num_segments > 0 THEN segment_osrm_time_sum / num_segments ELSE 0.0E0 END AS avg_segment_time,
+  CASE WHEN source_city = dest_city THEN 1 ELSE 0 END AS is_same_city,
+  coalesce(source_facility_type, 'X') || '_' || coalesce(dest_facility_type, 'X') AS facility_type_pair
+  FROM f1),
+ftr AS (SELECT * FROM f2 WHERE data = 'training'),
+te_s AS (SELECT source_center, avg(actual_time) AS m FROM ftr WHERE source_center IS NOT NULL GROUP BY source_center),
+te_d AS (SELECT destination_center, avg(actual_time) AS m FROM ftr WHERE destination_center IS NOT NULL GROUP BY destination_center),
+te_g AS (SELECT avg(actual_time) AS g FROM ftr),
+""" + ",\n".join(
+    f"le_{c} AS (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT {v} AS v FROM ftr) WHERE v IS NOT NULL)"
+    for c, v in [("source_facility_type", "coalesce(source_facility_type, 'Unknown')"),
+                 ("dest_facility_type", "coalesce(dest_facility_type, 'Unknown')"),
+                 ("source_state", "coalesce(source_state, 'Unknown')"),
+                 ("dest_state", "coalesce(dest_state, 'Unknown')"),
+                 ("facility_type_pair", "facility_type_pair")]) + """,
+ft AS (SELECT f2.*, coalesce(te_s.m, te_g.g) AS source_center_encoded, coalesce(te_d.m, te_g.g) AS destination_center_encoded,
+  CAST(coalesce(le_source_facility_type.code, -1) AS INT) AS source_facility_type_encoded,
+  CAST(coalesce(le_dest_facility_type.code, -1) AS INT) AS dest_facility_type_encoded,
+  CAST(coalesce(le_source_state.code, -1) AS INT) AS source_state_encoded,
+  CAST(coalesce(le_dest_state.code, -1) AS INT) AS dest_state_encoded,
+  CAST(coalesce(le_facility_type_pair.code, -1) AS INT) AS facility_type_pair_encoded
+ FROM f2 CROSS JOIN te_g LEFT JOIN te_s ON f2.source_center = te_s.source_center
+ LEFT JOIN te_d ON f2.destination_center = te_d.destination_center
+ LEFT JOIN le_source_facility_type ON coalesce(f2.source_facility_type, 'Unknown') = le_source_facility_type.v
+ LEFT JOIN le_dest_facility_type ON coalesce(f2.dest_facility_type, 'Unknown') = le_dest_facility_type.v
+ LEFT JOIN le_source_state ON coalesce(f2.source_state, 'Unknown') = le_source_state.v
+ LEFT JOIN le_dest_state ON coalesce(f2.dest_state, 'Unknown') = le_dest_state.v
+ LEFT JOIN le_facility_type_pair ON f2.facility_type_pair = le_facility_type_pair.v)"""
+
+
+def feat(cols, kinds=None) -> str:
+    kinds = kinds or {}
+    return FEAT_CTE + "\nSELECT trip_uuid, " + ", ".join(fin(c, kinds.get(c, "i"), c) for c in cols) + " FROM ft"
+
+
+register("temporal_features", feat(["creation_hour", "creation_day_of_week", "creation_is_weekend", "creation_is_peak",
+                                    "creation_is_night", "creation_day_of_month", "creation_week_of_year",
+                                    "start_hour", "start_is_peak"]), clean=True)
+_cyc = ["creation_hour_sin", "creation_hour_cos", "creation_dow_sin", "creation_dow_cos"]
+register("cyclic_encoding", feat(_cyc, {c: "d" for c in _cyc}), clean=True)
+register("time_since_creation", feat(["time_since_creation_min"], {"time_since_creation_min": "d"}), clean=True)
+_route = ["is_ftl", "osrm_speed_kmh", "log_osrm_time", "log_osrm_distance", "log_num_segments",
+          "log_segment_osrm_time_sum", "log_segment_osrm_distance_sum", "avg_segment_distance", "avg_segment_time"]
+register("route_features", feat(_route, {c: "d" for c in _route if c != "is_ftl"}), clean=True)
+register("trip_speed", TRIPS_CTE + "\nSELECT trip_uuid, round(osrm_speed, 9) AS osrm_speed FROM trips", clean=True)
+register("spatial_features", feat(["is_same_city", "facility_type_pair"], {"facility_type_pair": "s"}), clean=True)
+register("label_encode", feat(["source_facility_type_encoded", "dest_facility_type_encoded", "source_state_encoded",
+                               "dest_state_encoded", "facility_type_pair_encoded"]), clean=True)
+register("target_encode", feat(["source_center_encoded", "destination_center_encoded"],
+                               {"source_center_encoded": "d", "destination_center_encoded": "d"}), clean=True)
+
+# The tabular feature list of the ETA models.
+FEATURES = [
+    "osrm_time", "osrm_distance", "is_ftl", "num_segments", "creation_hour", "creation_day_of_week",
+    "creation_is_weekend", "creation_is_peak", "creation_is_night", "creation_hour_sin", "creation_hour_cos",
+    "creation_dow_sin", "creation_dow_cos", "start_hour", "start_is_peak", "time_since_creation_min",
+    "is_intrastate", "source_center_encoded", "destination_center_encoded", "source_facility_type_encoded",
+    "dest_facility_type_encoded", "source_state_encoded", "dest_state_encoded", "osrm_speed_kmh", "log_osrm_time",
+    "log_osrm_distance", "log_num_segments", "cutoff_count", "segment_osrm_time_sum", "segment_osrm_time_mean",
+    "segment_osrm_distance_sum", "segment_osrm_distance_mean", "avg_segment_distance", "avg_segment_time",
+]
+_imp = ", ".join(
+    f"round(CASE WHEN CAST({c} AS DOUBLE) IS NULL OR isnan(CAST({c} AS DOUBLE)) OR isinf(CAST({c} AS DOUBLE)) "
+    f"THEN 0.0E0 ELSE CAST({c} AS DOUBLE) END, 9) AS {c}" for c in FEATURES)
+register("impute_matrix", FEAT_CTE + "\nSELECT trip_uuid, data, " + _imp + " FROM ft", clean=True)
+
+# ------------------------------------------------------------------------- delay
+
+CORR_LITE = TRAIN + """,
+cs0 AS (SELECT source_center, destination_center, avg(actual_time) AS actual_time_mean, avg(osrm_distance) AS osrm_distance_mean,
+ avg(factor) AS delay_ratio_mean, stddev_samp(factor) AS delay_ratio_std, count(DISTINCT trip_uuid) AS trip_count,
+ avg(CASE WHEN factor > 1.5 THEN 1.0E0 ELSE 0.0E0 END) AS sla_breach_pct
+ FROM tr WHERE source_center IS NOT NULL AND destination_center IS NOT NULL GROUP BY source_center, destination_center),
+cs AS (SELECT *, """ + BAND.format(r="delay_ratio_mean") + """ AS delay_class FROM cs0)"""
+
+register("classify_corridors", CORR_LITE + """
+SELECT source_center, destination_center, round(delay_ratio_mean, 9) AS delay_ratio_mean, delay_class FROM cs""")
+register("delay_distribution", CORR_LITE + """
+SELECT delay_class, count(*) AS corridors, round(count(*) * 100.0E0 / (SELECT count(*) FROM cs), 9) AS pct
+FROM cs WHERE delay_class IS NOT NULL GROUP BY delay_class""")
+_summary = """SELECT count(*) AS total_corridors,
+ round(avg(CASE WHEN delay_class = 'Healthy' THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS healthy_pct,
+ round(avg(CASE WHEN delay_class = 'Moderate' THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS moderate_pct,
+ round(avg(CASE WHEN delay_class = 'Severe' THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS severe_pct,
+ round(avg(CASE WHEN delay_class = 'Critical' THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS critical_pct,
+ round(avg(delay_ratio_mean), 9) AS avg_delay_ratio, round(median(delay_ratio_mean), 9) AS median_delay_ratio"""
+register("delay_summary", CORR_LITE + "\n" + _summary + " FROM cs")
+register("top_delayed_corridors", CORR_LITE + """
+SELECT source_center, destination_center, round(delay_ratio_mean, 9) AS delay_ratio_mean, trip_count FROM cs
+ORDER BY delay_ratio_mean DESC, source_center, destination_center LIMIT 20""")
+register("sla_totals", CORR_LITE + """
+SELECT count(*) AS total_corridors, count(*) FILTER (WHERE sla_breach_pct > 0.3) AS breaching_corridors,
+ count(*) FILTER (WHERE delay_class = 'Critical') AS critical_corridors FROM cs""")
+register("sla_contribution", CORR_LITE + """,
+sc AS (SELECT *, sla_breach_pct * trip_count AS contrib FROM cs), st AS (SELECT sum(contrib) AS tot FROM sc)
+SELECT source_center, destination_center, round(sla_breach_pct, 9) AS sla_breach_pct, trip_count,
+ round(delay_ratio_mean, 9) AS delay_ratio_mean, round(contrib, 9) AS sla_contribution,
+ round(CASE WHEN tot > 0 THEN contrib / tot * 100 ELSE 0.0E0 END, 9) AS sla_contribution_pct FROM sc CROSS JOIN st""")
+register("run_delay_analysis", CORR_LITE + "\n" + _summary + """,
+ count(*) FILTER (WHERE sla_breach_pct > 0.3) AS breaching_corridors,
+ count(*) FILTER (WHERE delay_class = 'Critical') AS critical_corridors FROM cs""")
+
+# ---------------------------------------------------------------------- decision
+
+IMPACT = CORR_LITE + """,
+mx AS (SELECT max(delay_ratio_mean) AS mr, max(trip_count) AS mt FROM cs),
+ci AS (SELECT cs.*, (coalesce(sla_breach_pct, 0.0E0) * 0.4 + CASE WHEN mr = 0 THEN NULL ELSE delay_ratio_mean / mr END * 0.3
+   + CASE WHEN mt = 0 THEN NULL ELSE CAST(trip_count AS DOUBLE) / mt END * 0.3) * 100 AS corridor_impact FROM cs CROSS JOIN mx)"""
+register("corridor_impact", IMPACT + """
+SELECT source_center, destination_center, round(corridor_impact, 9) AS corridor_impact FROM ci""")
+register("top_bottleneck_corridors", IMPACT + """
+SELECT source_center, destination_center, round(corridor_impact, 9) AS corridor_impact, round(delay_ratio_mean, 9) AS delay_ratio_mean,
+ round(sla_breach_pct, 9) AS sla_breach_pct, trip_count FROM ci ORDER BY corridor_impact DESC, source_center, destination_center LIMIT 15""")
+
+PLANNED = TRIPS_CTE + """,
+pp AS (SELECT 'planned_time' AS model, actual_time AS y, osrm_time AS y_pred, osrm_time AS osrm FROM trips WHERE data = 'test')"""
+register("planned_time_baseline", PLANNED + """,
+ok AS (SELECT * FROM pp WHERE y IS NOT NULL AND y_pred IS NOT NULL AND NOT isnan(y) AND NOT isnan(y_pred))
+SELECT model, round(avg(abs(y - y_pred)), 2) AS MAE, round(sqrt(avg((y - y_pred) * (y - y_pred))), 2) AS RMSE,
+ round(avg(CASE WHEN y <> 0 THEN abs(y - y_pred) / abs(y) END) * 100, 2) AS MAPE,
+ round(CASE WHEN var_pop(y) * count(*) > 0 THEN 1 - sum((y - y_pred) * (y - y_pred)) / (var_pop(y) * count(*)) ELSE 0.0E0 END, 4) AS R2,
+ round(avg(CASE WHEN y <> 0 THEN CASE WHEN abs(y - y_pred) / abs(y) <= 0.10 THEN 1.0E0 ELSE 0.0E0 END END) * 100, 2) AS Acc_10,
+ round(avg(CASE WHEN y <> 0 THEN CASE WHEN abs(y - y_pred) / abs(y) <= 0.15 THEN 1.0E0 ELSE 0.0E0 END END) * 100, 2) AS Acc_15,
+ round(avg(CASE WHEN y <> 0 THEN CASE WHEN abs(y - y_pred) / abs(y) <= 0.20 THEN 1.0E0 ELSE 0.0E0 END END) * 100, 2) AS Acc_20
+FROM ok GROUP BY model""", clean=True)
+
+
+def _acc(k: float, p: str = "y_pred") -> str:
+    return f"avg(CASE WHEN y > 0 THEN CASE WHEN abs(y - {p}) / y <= {k} THEN 1.0E0 ELSE 0.0E0 END END) * 100"
+
+
+register("business_metrics", PLANNED + f"""
+SELECT round({_acc(0.10)}, 9) AS accuracy_at_10, round({_acc(0.15)}, 9) AS accuracy_at_15,
+ round({_acc(0.20)}, 9) AS accuracy_at_20, round({_acc(0.30)}, 9) AS accuracy_at_30,
+ round(avg(CASE WHEN y > 0 THEN CASE WHEN y_pred < y * 0.85 THEN 1.0E0 ELSE 0.0E0 END END) * 100, 9) AS late_delivery_rate,
+ round(avg(abs(y - y_pred)), 9) AS avg_prediction_error_min, round(median(abs(y - y_pred)), 9) AS median_prediction_error_min,
+ round({_acc(0.15, 'osrm')}, 9) AS osrm_accuracy_at_15, round({_acc(0.15)} - {_acc(0.15, 'osrm')}, 9) AS improvement_over_osrm,
+ round(avg(abs(y - osrm)), 9) AS osrm_avg_error_min,
+ round(count(*) FILTER (WHERE y_pred < y * 0.85) * 500 * 0.10, 9) AS estimated_revenue_at_risk FROM pp""", clean=True)
+
+# What-if actions (name, delay reduction, capex lakh); the sorter is hub-only.
+_ACTIONS = """(VALUES ('Add +20% FTL Truck Capacity', 0.35, 12.5), ('Optimize Process Flow (-15% Handling Time)', 0.15, 2.0),
+ ('Reroute Non-Urgent Carting Traffic', 0.25, 0.0)) AS a(action, delay_reduction_pct, capex_lakh)"""
+register("upgrade_scenarios", CORR_LITE + """,
+sx AS (SELECT source_center, destination_center, actual_time_mean AS current_delay, CAST(trip_count AS DOUBLE) AS throughput,
+  a.action, CAST(a.delay_reduction_pct AS DOUBLE) AS r, CAST(a.capex_lakh AS DOUBLE) AS capex_lakh FROM cs CROSS JOIN """ + _ACTIONS + """),
+sy AS (SELECT *, (throughput * 0.18 * 25 - throughput * (0.18 * (1 - r)) * 25) * 365 / 100000 AS annual FROM sx)
+SELECT source_center, destination_center, round(current_delay, 9) AS current_delay, round(throughput, 9) AS throughput, action,
+ round(r, 9) AS delay_reduction_pct, round(capex_lakh, 9) AS capex_lakh, round(current_delay * (1 - r), 9) AS projected_delay,
+ round(0.18 * (1 - r), 9) AS new_sla_breach, round(annual, 9) AS annual_recovery_lakh,
+ round(CASE WHEN capex_lakh > 0 AND annual > 0 THEN capex_lakh / (annual / 12) ELSE 0.0E0 END, 9) AS payback_months FROM sy""")
+register("rule_route_recommendation", CORR_LITE + """
+SELECT source_center, destination_center, round(osrm_distance_mean, 9) AS osrm_distance_mean,
+ CASE WHEN round(osrm_distance_mean, 9) > 200 THEN 'FTL' WHEN round(osrm_distance_mean, 9) < 100 THEN 'Carting' ELSE 'Model decides' END AS recommendation,
+ round(greatest(45.0E0, 100.0E0 - 0.45 * (delay_ratio_mean * 20)), 9) AS estimated_sla FROM cs""")
+
+# ------------------------------------------------------------------------- marts
+
+register("route_type_performance", TRIPS_CTE + """
+SELECT CASE WHEN route_type = 'FTL' THEN 1 ELSE 0 END AS is_ftl, round(avg(actual_time), 9) AS actual_time_mean,
+ round(median(actual_time), 9) AS actual_time_median, round(stddev_samp(actual_time), 9) AS actual_time_std,
+ round(avg(osrm_time), 9) AS osrm_time_mean, round(avg(osrm_distance), 9) AS osrm_distance_mean,
+ round(avg(num_segments), 9) AS num_segments_mean, count(*) AS trips FROM trips GROUP BY 1""", clean=True)
+register("route_type_share", TRIPS_CTE + """
+SELECT round(avg(CASE WHEN route_type = 'FTL' THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS ftl_pct,
+ round((1 - avg(CASE WHEN route_type = 'FTL' THEN 1.0E0 ELSE 0.0E0 END)) * 100, 9) AS carting_pct FROM trips""", clean=True)
+register("corridor_eta_quantiles", TRIPS_CTE + """
+SELECT source_center, destination_center, round(quantile_cont(actual_time, 0.1), 9) AS p10, round(quantile_cont(actual_time, 0.5), 9) AS p50,
+ round(quantile_cont(actual_time, 0.9), 9) AS p90, round(avg(actual_time), 9) AS actual_time_mean, round(avg(osrm_time), 9) AS osrm_time_mean,
+ round(avg(osrm_distance), 9) AS osrm_distance_mean, count(*) AS trips
+FROM trips WHERE source_center IS NOT NULL AND destination_center IS NOT NULL
+GROUP BY source_center, destination_center HAVING count(*) > 2""", clean=True)
+register("source_eta_fallback", TRIPS_CTE + """,
+cc AS (SELECT source_center, destination_center, avg(actual_time) AS ca, avg(osrm_time) AS co FROM trips GROUP BY source_center, destination_center),
+sc AS (SELECT source_center, avg(actual_time) AS sa, avg(osrm_time) AS so FROM trips WHERE source_center IS NOT NULL GROUP BY source_center)
+SELECT cc.source_center, cc.destination_center, round(coalesce(ca, sa), 9) AS eta_actual, round(coalesce(co, so), 9) AS eta_planned,
+ 'corridor' AS basis FROM cc LEFT JOIN sc ON cc.source_center = sc.source_center WHERE cc.source_center IS NOT NULL
+UNION ALL SELECT source_center, NULL, round(sa, 9), round(so, 9), 'source' FROM sc""", clean=True)
+
+
+def _hist(label: str, src: str, expr: str, bins: int) -> str:
+    return f"""SELECT '{label}' AS histogram, bin, round(lo + (hi - lo) / {bins} * bin, 9) AS bin_start, count(*) AS count FROM (
+ SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / {bins})), {bins - 1}) END AS INT) AS bin, lo, hi
+ FROM (SELECT {expr} AS v FROM {src}) x CROSS JOIN (SELECT min({expr}) AS lo, max({expr}) AS hi FROM {src}) m
+ WHERE v IS NOT NULL) GROUP BY bin, lo, hi"""
+
+
+register("histograms", TRIPS_CTE + ",\n" + CORR_LITE.replace(TRAIN + ",", TRAIN + ",", 1) + ",\n"
+         + "ftl AS (SELECT * FROM trips WHERE route_type = 'FTL'), crt AS (SELECT * FROM trips WHERE route_type = 'Carting')\n"
+         + _hist("trip_time", "trips", "actual_time", 30) + "\nUNION ALL "
+         + _hist("delay_ratio", "cs", "least(delay_ratio_mean, 10.0E0)", 50) + "\nUNION ALL "
+         + _hist("ftl_time", "ftl", "least(actual_time, 2000.0E0)", 30) + "\nUNION ALL "
+         + _hist("carting_time", "crt", "least(actual_time, 2000.0E0)", 30), clean=True)
+register("facility_selectors", TRIPS_CTE + """
+SELECT DISTINCT role, facility_id FROM (SELECT 'source' AS role, source_center AS facility_id FROM trips
+ UNION ALL SELECT 'destination', destination_center FROM trips) WHERE facility_id IS NOT NULL""", clean=True)
+register("corridor_trip_lookup", TRIPS_CTE + """,
+bk AS (SELECT source_center, destination_center FROM trips WHERE source_center IS NOT NULL AND destination_center IS NOT NULL
+  GROUP BY source_center, destination_center ORDER BY count(*) DESC, source_center, destination_center LIMIT 1),
+sel AS (SELECT t.* FROM trips t JOIN bk ON t.source_center = bk.source_center AND t.destination_center = bk.destination_center)
+SELECT source_center, destination_center, trip_uuid, round(actual_time, 9) AS actual_time, round(osrm_time, 9) AS osrm_time,
+ round((SELECT greatest(max(actual_time), max(osrm_time)) FROM sel), 9) AS axis_max FROM sel""", clean=True)
+register("delay_vs_volume", CORR_LITE + """
+SELECT source_center, destination_center, trip_count, round(delay_ratio_mean, 9) AS delay_ratio_mean, delay_class FROM cs""")
+register("filter_corridors_by_class", CORR_LITE + """
+SELECT source_center, destination_center, delay_class, round(delay_ratio_mean, 9) AS delay_ratio_mean, trip_count FROM cs
+WHERE delay_class IN ('Critical', 'Severe')""")
+register("bidirectional_corridors", CORR_LITE + """
+SELECT source_center, destination_center FROM cs INTERSECT SELECT destination_center, source_center FROM cs""")
+register("corridor_dedup", """
+SELECT source_center, trip_uuid, seg_no, source_name FROM (SELECT source_center, trip_uuid, seg_no, source_name,
+ row_number() OVER (PARTITION BY source_center ORDER BY trip_uuid, seg_no) AS rn FROM legs WHERE source_center IS NOT NULL) WHERE rn = 1""")
