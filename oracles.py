@@ -537,3 +537,82 @@ SELECT source_center, destination_center FROM cs INTERSECT SELECT destination_ce
 register("corridor_dedup", """
 SELECT source_center, trip_uuid, seg_no, source_name FROM (SELECT source_center, trip_uuid, seg_no, source_name,
  row_number() OVER (PARTITION BY source_center ORDER BY trip_uuid, seg_no) AS rn FROM legs WHERE source_center IS NOT NULL) WHERE rn = 1""")
+
+
+# ------------------------------------------------------------------------- graph
+
+GRAPH = TRAIN + ",\n" + facilities_cte() + """,
+cs0 AS (SELECT source_center, destination_center, avg(osrm_distance) AS osrm_distance_mean, avg(factor) AS delay_ratio_mean,
+ count(DISTINCT trip_uuid) AS trip_count FROM tr WHERE source_center IS NOT NULL AND destination_center IS NOT NULL
+ GROUP BY source_center, destination_center),
+ge AS (SELECT source_center AS src, destination_center AS dst, coalesce(delay_ratio_mean, 1.0E0) AS weight,
+ osrm_distance_mean AS distance, trip_count AS frequency,
+ coalesce(""" + BAND.format(r="delay_ratio_mean") + """, 'Unknown') AS delay_class FROM cs0),
+gv AS (SELECT coalesce(fs.facility_id, en.id) AS id, fs.total_throughput AS throughput, fs.avg_delay FROM fs
+ FULL OUTER JOIN (SELECT src AS id FROM ge UNION SELECT dst FROM ge) en ON fs.facility_id = en.id),
+nn AS (SELECT count(*) AS n FROM gv)"""
+
+register("graph_facility", GRAPH + """
+SELECT src, dst, round(weight, 9) AS weight, round(distance, 9) AS distance, frequency, delay_class FROM ge""")
+
+register("degree_centrality", GRAPH + """,
+od AS (SELECT src AS id, count(*) AS c FROM ge GROUP BY src), idg AS (SELECT dst AS id, count(*) AS c FROM ge GROUP BY dst),
+d AS (SELECT gv.id, coalesce(idg.c, 0) AS in_deg, coalesce(od.c, 0) AS out_deg FROM gv LEFT JOIN od ON gv.id = od.id LEFT JOIN idg ON gv.id = idg.id)
+SELECT id, in_deg, out_deg, round((in_deg + out_deg) * (1.0E0 / (n - 1)), 9) AS degree_centrality,
+ round(in_deg * (1.0E0 / (n - 1)), 9) AS in_degree_centrality, round(out_deg * (1.0E0 / (n - 1)), 9) AS out_degree_centrality
+FROM d CROSS JOIN nn""")
+
+_PR_ITERS = 100
+_pr = [GRAPH + """,
+pt AS (SELECT src, dst, 0.85 * weight / sum(weight) OVER (PARTITION BY src) AS q FROM ge),
+y0 AS MATERIALIZED (SELECT id, 1.0E0 / n AS y FROM gv CROSS JOIN nn)"""]
+for _i in range(1, _PR_ITERS + 1):
+    _pr.append(f"""y{_i} AS MATERIALIZED (SELECT gv.id, (1 - 0.85) / n + coalesce(c.c, 0.0E0) AS y FROM gv CROSS JOIN nn LEFT JOIN
+ (SELECT pt.dst AS id, sum(y{_i - 1}.y * pt.q) AS c FROM y{_i - 1} JOIN pt ON y{_i - 1}.id = pt.src GROUP BY pt.dst) c ON gv.id = c.id)""")
+register("pagerank", ",\n".join(_pr) + f"""
+SELECT id, round(y / (SELECT sum(y) FROM y{_PR_ITERS}), 9) AS pagerank FROM y{_PR_ITERS}""")
+
+register("closeness_centrality", GRAPH + """,
+ue AS (SELECT DISTINCT src, dst FROM ge WHERE src <> dst),
+dd AS (SELECT s, v, min(d) AS d FROM (
+  WITH RECURSIVE bfs(s, v, d) AS (SELECT id, id, 0 FROM gv
+    UNION SELECT b.s, ue.dst, b.d + 1 FROM bfs b JOIN ue ON b.v = ue.src WHERE b.d < (SELECT n FROM nn) - 1)
+  SELECT * FROM bfs) GROUP BY s, v),
+agg AS (SELECT v AS id, count(*) AS r, sum(d) AS tot FROM dd GROUP BY v)
+SELECT gv.id, round(CASE WHEN tot > 0 AND n > 1 THEN (r - 1) / CAST(tot AS DOUBLE) * ((r - 1) / CAST(n - 1 AS DOUBLE)) ELSE 0.0E0 END, 9) AS closeness
+FROM gv CROSS JOIN nn LEFT JOIN agg ON gv.id = agg.id""")
+
+UND = """,
+und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM ge WHERE src <> dst),
+adj AS (SELECT a AS u, b AS v FROM und UNION ALL SELECT b, a FROM und)"""
+
+register("clustering", GRAPH + UND + """,
+deg AS (SELECT u AS id, count(*) AS k FROM adj GROUP BY u),
+tri AS (SELECT x.a AS p, x.b AS q, y.b AS r FROM und x JOIN und y ON x.a = y.a AND x.b < y.b JOIN und z ON z.a = x.b AND z.b = y.b),
+tv AS (SELECT id, count(*) AS t FROM (SELECT p AS id FROM tri UNION ALL SELECT q FROM tri UNION ALL SELECT r FROM tri) GROUP BY id)
+SELECT gv.id, round(CASE WHEN coalesce(k, 0) > 1 THEN 2.0E0 * coalesce(t, 0) / (k * (k - 1)) ELSE 0.0E0 END, 9) AS clustering
+FROM gv LEFT JOIN deg ON gv.id = deg.id LEFT JOIN tv ON gv.id = tv.id""")
+
+register("connected_components", GRAPH + UND + """,
+reach AS (SELECT * FROM (WITH RECURSIVE r(s, v) AS (SELECT id, id FROM gv UNION SELECT r.s, adj.v FROM r JOIN adj ON r.v = adj.u)
+  SELECT * FROM r))
+SELECT v AS id, min(s) AS component FROM reach GROUP BY v""")
+
+register("graph_neighbor_stats", GRAPH + """,
+sx AS (SELECT ge.src AS id, avg(gv.avg_delay) AS a1, max(gv.avg_delay) AS a2, avg(gv.throughput) AS a3,
+  avg(ge.weight) AS a4, avg(ge.distance) AS a5, count(*) AS a6 FROM ge LEFT JOIN gv ON ge.dst = gv.id GROUP BY ge.src)
+SELECT gv.id, round(coalesce(a1, 0), 9) AS graph_nbr_avg_delay, round(coalesce(a2, 0), 9) AS graph_nbr_max_delay,
+ round(coalesce(a3, 0), 9) AS graph_nbr_avg_throughput, round(coalesce(a4, 0), 9) AS graph_avg_edge_weight,
+ round(coalesce(a5, 0), 9) AS graph_avg_edge_distance, coalesce(a6, 0) AS graph_num_neighbors
+FROM gv LEFT JOIN sx ON gv.id = sx.id""")
+
+register("core_subgraph", GRAPH + """
+SELECT src, dst FROM ge""")
+
+register("graph_route_type", """
+SELECT route_type, count(*) AS num_nodes FROM (
+ SELECT DISTINCT route_type, id FROM (SELECT route_type, source_center AS id FROM legs WHERE data = 'training'
+   AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL
+  UNION ALL SELECT route_type, destination_center FROM legs WHERE data = 'training'
+   AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL))
+GROUP BY route_type""")
