@@ -31,7 +31,7 @@ def modularity(und_w: DataFrame, membership: DataFrame) -> DataFrame:
                                     - F.pow(F.col("_d") / (2 * F.col("_m")), 2)), F.lit(0.0)).alias("modularity"))
 
 
-def communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight", max_rounds: int = 50) -> DataFrame:
+def communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight", max_rounds: int = 6) -> DataFrame:
     """(id, community) with ids 0.. by community size."""
     und = cut(undirected_simple(edges, weight))
     adj = cut(both_directions(und, ["w"]))
@@ -49,7 +49,7 @@ def communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight", m
         cand = one_row_join(cand, m2)
         # removing u from its own community: its tot shrinks by k_u and k_in excludes u itself
         tot_eff = F.when(F.col("c") == F.col("own"), F.col("tot") - F.col("k")).otherwise(F.col("tot"))
-        cand = cand.withColumn("gain", F.col("k_in") - tot_eff * F.col("k") / F.col("_m2"))
+        cand = cut(cand.withColumn("gain", F.col("k_in") - tot_eff * F.col("k") / F.col("_m2")))
         own_gain = cand.where(F.col("c") == F.col("own")).select("u", F.col("gain").alias("stay"))
         best = (cand.groupBy("u").agg(F.max_by(F.struct("c", "gain"),
                                                F.struct(F.col("gain"), -F.xxhash64("c"))).alias("b"))
