@@ -616,3 +616,74 @@ SELECT route_type, count(*) AS num_nodes FROM (
   UNION ALL SELECT route_type, destination_center FROM legs WHERE data = 'training'
    AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL))
 GROUP BY route_type""")
+
+
+# ------------------------------------------------------------------------- audit
+
+register("graph_feasibility", """
+SELECT count(DISTINCT source_center) AS sources, count(DISTINCT destination_center) AS destinations,
+ count(DISTINCT source_name) AS source_names,
+ (SELECT count(*) FROM (SELECT DISTINCT source_center, destination_center FROM legs
+   WHERE source_center IS NOT NULL AND destination_center IS NOT NULL)) AS corridors,
+ (SELECT count(DISTINCT f) FROM (SELECT source_center AS f FROM legs UNION ALL SELECT destination_center FROM legs)) AS facilities,
+ round((SELECT count(*) FROM (SELECT DISTINCT source_center, destination_center FROM legs
+   WHERE source_center IS NOT NULL AND destination_center IS NOT NULL))
+  / CAST(power((SELECT count(DISTINCT f) FROM (SELECT source_center AS f FROM legs UNION ALL SELECT destination_center FROM legs)), 2) AS DOUBLE), 9) AS density
+FROM legs""")
+register("corridor_frequency", """
+c AS (SELECT source_center, destination_center, count(*) AS n FROM legs WHERE source_center IS NOT NULL AND destination_center IS NOT NULL
+ GROUP BY source_center, destination_center)
+SELECT round(avg(n), 9) AS mean_rows, round(median(n), 9) AS median_rows, max(n) AS max_rows, min(n) AS min_rows,
+ count(*) FILTER (WHERE n = 1) AS single_row_corridors, count(*) FILTER (WHERE n > 100) AS busy_corridors,
+ count(*) FILTER (WHERE source_center = destination_center) AS self_loops FROM c""")
+register("route_type_per_corridor", """
+SELECT source_center, destination_center, route_type, count(*) AS rows FROM legs GROUP BY source_center, destination_center, route_type""")
+register("trip_structure", """
+t AS (SELECT trip_uuid, count(*) AS n FROM legs GROUP BY trip_uuid)
+SELECT round(avg(n), 9) AS mean_segments, round(median(n), 9) AS median_segments, min(n) AS min_segments,
+ max(n) AS max_segments, count(*) AS trips FROM t""")
+register("schedule_structure", """
+s AS (SELECT route_schedule_uuid, count(*) AS n, count(DISTINCT route_type) AS k FROM legs GROUP BY route_schedule_uuid)
+SELECT count(*) AS schedules, round(avg(n), 9) AS mean_rows, count(*) FILTER (WHERE k = 1) AS single_type,
+ count(*) FILTER (WHERE k > 1) AS multi_type FROM s""")
+register("temporal_profile", """
+SELECT 'hour' AS unit, hour(trip_creation_time) AS value, count(*) AS rows FROM legs GROUP BY 2
+UNION ALL SELECT 'weekday', isodow(trip_creation_time) - 1, count(*) FROM legs GROUP BY 2""")
+_P = [0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99]
+register("target_percentiles", "SELECT " + ", ".join(
+    f"round(quantile_cont(actual_time, {p}), 9) AS p{int(round(p * 100)):02d}" for p in _P)
+    + ", count(*) FILTER (WHERE actual_time = 0) AS zeros, count(*) FILTER (WHERE actual_time < 0) AS negatives FROM legs")
+register("actual_vs_planned", """
+x AS (SELECT actual_time / osrm_time AS r FROM legs WHERE osrm_time > 0)
+SELECT round(avg(r), 9) AS ratio_mean, round(median(r), 9) AS ratio_median,
+ round(avg(CASE WHEN r < 1 THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS pct_faster,
+ round(avg(CASE WHEN r > 1 THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS pct_slower,
+ round(avg(CASE WHEN r > 2 THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS pct_over_2x FROM x""")
+_NUM = ["start_scan_to_end_scan", "cutoff_factor", "actual_distance_to_destination", "osrm_time", "osrm_distance",
+        "factor", "segment_actual_time", "segment_osrm_time", "segment_osrm_distance", "segment_factor"]
+register("target_correlation", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column, round(corr(actual_time, CAST({c} AS DOUBLE)), 9) AS r, "
+    f"coalesce(abs(corr(actual_time, CAST({c} AS DOUBLE))) > 0.95, false) AS leaky FROM legs" for c in _NUM))
+_ST = "CASE WHEN contains({n}, '(') AND contains({n}, ')') THEN trim(replace(string_split({n}, '(')[-1], ')', '')) END"
+register("state_profile", f"""
+s AS (SELECT {_ST.format(n='source_name')} AS ss, {_ST.format(n='destination_name')} AS ds FROM legs)
+SELECT count(DISTINCT ss) AS source_states, count(DISTINCT ds) AS dest_states,
+ round(avg(CASE WHEN ss = ds THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS intra_pct FROM s""")
+register("factor_profile", """
+SELECT route_type, round(avg(factor), 9) AS factor_mean, round(median(factor), 9) AS factor_median,
+ round(avg(CASE WHEN factor > 1.3 THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS pct_over_1_3,
+ count(*) FILTER (WHERE factor <= 1.0) AS on_time, count(*) FILTER (WHERE factor > 1.0 AND factor <= 1.3) AS mild,
+ count(*) FILTER (WHERE factor > 1.3 AND factor <= 2.0) AS moderate, count(*) FILTER (WHERE factor > 2.0) AS severe
+FROM legs GROUP BY route_type""")
+register("cutoff_profile", """
+SELECT is_cutoff, count(*) AS rows, round(avg(cutoff_factor), 9) AS cutoff_factor_mean, min(cutoff_factor) AS cutoff_factor_min,
+ max(cutoff_factor) AS cutoff_factor_max FROM legs GROUP BY is_cutoff""")
+register("profile_missing", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS missing, "
+    f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0E0 / count(*), 9) AS missing_pct FROM legs" for c in LEG_COLS))
+_nulls = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in LEG_COLS)
+register("quality_summary", f"""
+SELECT count(*) AS rows, sum({_nulls}) AS missing_cells, count(*) FILTER (WHERE segment_actual_time < 0) AS negative_segment_time,
+ count(*) FILTER (WHERE segment_osrm_time = 0) AS zero_planned_time,
+ count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM legs)) AS duplicate_rows,
+ round(100.0E0 - sum({_nulls}) * 100.0E0 / (count(*) * {len(LEG_COLS)}), 9) AS completeness_pct FROM legs""")
