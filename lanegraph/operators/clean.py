@@ -51,8 +51,13 @@ def clean_data(df: DataFrame) -> DataFrame:
     """Repairs, parse names (before back-fill, as the source analysis does),
     back-fill names, then the intrastate flag from the parsed states."""
     out = clean_zero_to_null(clean_negative_time(df))
-    out = out.withColumns(parse_facility(F.col("source_name"), "source_"))
-    out = out.withColumns(parse_facility(F.col("destination_name"), "dest_"))
+    # names are a small vocabulary: parse each distinct name once, join the fields back
+    names = (df.select(F.col("source_name").alias("_n")).union(df.select(F.col("destination_name").alias("_n")))
+             .where(F.col("_n").isNotNull()).distinct())
+    parsed = names.select("_n", *[v.alias(k) for k, v in parse_facility(F.col("_n"), "").items()])
+    for col, pre in (("source_name", "source_"), ("destination_name", "dest_")):
+        p = parsed.select(F.col("_n").alias(col), *[F.col(k).alias(pre + k) for k in ("city", "state", "facility_type")])
+        out = out.join(p, col, "left")
     out = backfill_names(out)
     return out.withColumn("is_intrastate", null_safe_equal_int("source_state", "dest_state"))
 

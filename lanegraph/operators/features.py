@@ -164,6 +164,10 @@ def encode_trips(trips: DataFrame, train: DataFrame) -> DataFrame:
 def trip_features(trips: DataFrame, train_value: str = "training") -> DataFrame:
     """All trip features; encodings fitted on the training trips."""
     base = route_features(spatial_features(time_since_creation(cyclic_encoding(temporal_features(trips)))))
+    # seven encodings are fitted on and applied to this table: materialise it once
+    # (reliable checkpoint) instead of recomputing the trip aggregation per branch
+    from .graph.core import cut
+    base = cut(base)
     train = base.where(F.col("data") == train_value)
     return encode_trips(base, train)
 
