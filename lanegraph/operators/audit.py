@@ -121,3 +121,45 @@ def quality_summary(legs: DataFrame) -> DataFrame:
     d = dup.agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).alias("duplicate_rows"))
     return one_row_join(a, d).withColumn(
         "completeness_pct", 100.0 - F.col("missing_cells") * 100.0 / (F.col("rows") * len(cols)))
+
+
+PROFILE_COLS = ["actual_time", "osrm_time", "osrm_distance", "factor", "segment_actual_time", "segment_osrm_time"]
+
+
+def profile_columns(legs: DataFrame, cols=PROFILE_COLS) -> DataFrame:
+    """Numeric profile per column (long form): one wide aggregate pass plus one
+    pass for the 1.5·IQR outlier share.  Skewness and kurtosis are the
+    bias-corrected sample statistics:
+    G1 = g1·√(n(n−1))/(n−2),  G2 = (n−1)/((n−2)(n−3))·((n+1)·g2 + 6)."""
+    from .aggregate import one_row_join
+    aggs = [F.count("*").alias("_rows")]
+    for c in cols:
+        x = F.col(c)
+        aggs += [F.count(x).alias(f"{c}__n"), F.count_distinct(x).alias(f"{c}__distinct"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"), F.avg(x).alias(f"{c}__mean"),
+                 F.median(x).alias(f"{c}__median"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.skewness(x).alias(f"{c}__g1"), F.kurtosis(x).alias(f"{c}__g2"),
+                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias(f"{c}__q"),
+                 F.count_if(x == 0).alias(f"{c}__zeros"), F.count_if(x < 0).alias(f"{c}__negatives")]
+    wide = legs.agg(*aggs)
+    out = one_row_join(legs.select(*cols), wide)
+    outl = out.agg(*[F.count_if((F.col(c) < F.col(f"{c}__q")[0] - 1.5 * (F.col(f"{c}__q")[1] - F.col(f"{c}__q")[0]))
+                                | (F.col(c) > F.col(f"{c}__q")[1] + 1.5 * (F.col(f"{c}__q")[1] - F.col(f"{c}__q")[0])))
+                     .alias(f"{c}__outliers") for c in cols])
+    both = one_row_join(wide, outl)
+    rows = []
+    for c in cols:
+        n = F.col(f"{c}__n").cast("double")
+        q1, q3 = F.col(f"{c}__q")[0], F.col(f"{c}__q")[1]
+        rows.append(F.struct(
+            F.lit(c).alias("column"), F.col(f"{c}__n").alias("non_null"),
+            ((F.col("_rows") - F.col(f"{c}__n")) * 100.0 / F.col("_rows")).alias("null_pct"),
+            F.col(f"{c}__distinct").alias("distinct"), F.col(f"{c}__min").alias("min"),
+            F.col(f"{c}__max").alias("max"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__median").alias("median"),
+            F.col(f"{c}__std").alias("std"),
+            F.when(n > 2, F.col(f"{c}__g1") * F.sqrt(n * (n - 1)) / (n - 2)).alias("skew"),
+            F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col(f"{c}__g2") + 6)).alias("kurtosis"),
+            q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"),
+            (F.col(f"{c}__outliers") * 100.0 / n).alias("outlier_pct"),
+            F.col(f"{c}__zeros").alias("zeros"), F.col(f"{c}__negatives").alias("negatives")))
+    return both.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -687,3 +687,24 @@ SELECT count(*) AS rows, sum({_nulls}) AS missing_cells, count(*) FILTER (WHERE
  count(*) FILTER (WHERE segment_osrm_time = 0) AS zero_planned_time,
  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM legs)) AS duplicate_rows,
  round(100.0E0 - sum({_nulls}) * 100.0E0 / (count(*) * {len(LEG_COLS)}), 9) AS completeness_pct FROM legs""")
+
+_PC = ["actual_time", "osrm_time", "osrm_distance", "factor", "segment_actual_time", "segment_osrm_time"]
+
+
+def _profile(c: str) -> str:
+    return f"""SELECT '{c}' AS column, n AS non_null, round((rows - n) * 100.0E0 / rows, 9) AS null_pct, distinct_n AS distinct,
+ round(mn, 9) AS min, round(mx, 9) AS max, round(mean, 9) AS mean, round(med, 9) AS median, round(sd, 9) AS std,
+ round(CASE WHEN n > 2 THEN (m3 / power(m2, 1.5)) * sqrt(n * (n - 1.0E0)) / (n - 2) END, 9) AS skew,
+ round(CASE WHEN n > 3 THEN (n - 1.0E0) / ((n - 2.0E0) * (n - 3.0E0)) * ((n + 1) * (m4 / (m2 * m2) - 3) + 6) END, 9) AS kurtosis,
+ round(q1, 9) AS q1, round(q3, 9) AS q3, round(q3 - q1, 9) AS iqr,
+ round((SELECT count(*) FROM legs WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) * 100.0E0 / n, 9) AS outlier_pct,
+ zeros, negatives FROM (
+ SELECT count(*) AS rows, count({c}) AS n, count(DISTINCT {c}) AS distinct_n, min({c}) AS mn, max({c}) AS mx, avg({c}) AS mean,
+  median({c}) AS med, stddev_samp({c}) AS sd, quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3,
+  count(*) FILTER (WHERE {c} = 0) AS zeros, count(*) FILTER (WHERE {c} < 0) AS negatives,
+  (SELECT avg(power({c} - (SELECT avg({c}) FROM legs), 2)) FROM legs) AS m2,
+  (SELECT avg(power({c} - (SELECT avg({c}) FROM legs), 3)) FROM legs) AS m3,
+  (SELECT avg(power({c} - (SELECT avg({c}) FROM legs), 4)) FROM legs) AS m4 FROM legs)"""
+
+
+register("profile_columns", "\nUNION ALL ".join(_profile(c) for c in _PC))
