@@ -163,3 +163,25 @@ def profile_columns(legs: DataFrame, cols=PROFILE_COLS) -> DataFrame:
             (F.col(f"{c}__outliers") * 100.0 / n).alias("outlier_pct"),
             F.col(f"{c}__zeros").alias("zeros"), F.col(f"{c}__negatives").alias("negatives")))
     return both.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+TEXT_COLS = ["data", "route_schedule_uuid", "route_type", "trip_uuid", "source_center", "source_name",
+             "destination_center", "destination_name"]
+
+
+def profile_top_values(legs: DataFrame, cols=TEXT_COLS, k: int = 10) -> DataFrame:
+    """Top-k values with their share of non-null values per text column.
+
+    Counting is a partial aggregate per (column, value); the rank window runs
+    over each column's distinct values, ties broken by value.
+    """
+    from pyspark.sql import Window
+    cols = [c for c in cols if c in legs.columns]
+    long = legs.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))
+                                           for c in cols])).alias("x")).select("x.*")
+    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("count"))
+    w = Window.partitionBy("column").orderBy(F.desc("count"), F.col("value"))
+    tot = Window.partitionBy("column")
+    return (counts.withColumn("rank", F.row_number().over(w))
+            .withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(tot))
+            .where(F.col("rank") <= k))

@@ -708,3 +708,12 @@ def _profile(c: str) -> str:
 
 
 register("profile_columns", "\nUNION ALL ".join(_profile(c) for c in _PC))
+
+_TXT = ["data", "route_schedule_uuid", "route_type", "trip_uuid", "source_center", "source_name",
+        "destination_center", "destination_name"]
+register("profile_top_values", """
+lv AS (""" + "\nUNION ALL ".join(f"SELECT '{c}' AS column, {c} AS value FROM legs" for c in _TXT) + """),
+ct AS (SELECT "column", value, count(*) AS count FROM lv WHERE value IS NOT NULL GROUP BY "column", value),
+rk AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS rank,
+  round(count * 100.0E0 / sum(count) OVER (PARTITION BY "column"), 9) AS pct FROM ct)
+SELECT "column", value, count, rank, pct FROM rk WHERE rank <= 10""")
