@@ -36,3 +36,38 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 def op4_exact_dedup(spark, sf_dir):
     from .exact_dedup import exact_groups
     return exact_groups(read_table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 2: secret scan
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark, sf_dir):
+    from .secrets import digest_columns, scan
+    return digest_columns(scan(read_table(spark, sf_dir, "documents")))
+
+
+# ------------------------------------------------------------------ 1: WARC
+
+OP1_SQL = """
+WITH t AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS largest FROM t)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INT), 5))::INT >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to
+FROM d
+"""
+
+
+@query("op1_warc", OP1_SQL)
+def op1_warc(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..scratch import Scratch
+    from .warc import read_warc, write_warc
+    scratch = Scratch(spark, "warc")
+    folder = scratch.path("archive")
+    write_warc(read_table(spark, sf_dir, "pages"), folder, scratch=scratch)
+    return read_warc(spark, folder).select(F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest",
+                                           "record_type", "refers_to")
