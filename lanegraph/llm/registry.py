@@ -71,3 +71,11 @@ def op1_warc(spark, sf_dir):
     write_warc(read_table(spark, sf_dir, "pages"), folder, scratch=scratch)
     return read_warc(spark, folder).select(F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest",
                                            "record_type", "refers_to")
+
+
+# ------------------------------------------------------------------ 10: near duplicates
+
+@query("op10_minhash_dedup")
+def op10_minhash_dedup(spark, sf_dir):
+    from .minhash import near_classes
+    return near_classes(read_table(spark, sf_dir, "documents")).drop("tkey")
