@@ -79,3 +79,16 @@ def op1_warc(spark, sf_dir):
 def op10_minhash_dedup(spark, sf_dir):
     from .minhash import near_classes
     return near_classes(read_table(spark, sf_dir, "documents")).drop("tkey")
+
+
+# ------------------------------------------------------------------ 3: packing
+
+def word_bpe() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark, sf_dir):
+    from .packing import pack_documents
+    return pack_documents(read_table(spark, sf_dir, "documents"), word_bpe())
