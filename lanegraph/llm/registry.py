@@ -92,3 +92,11 @@ def word_bpe() -> str:
 def op3_best_fit_packing(spark, sf_dir):
     from .packing import pack_documents
     return pack_documents(read_table(spark, sf_dir, "documents"), word_bpe())
+
+
+# ------------------------------------------------------------------ 7: language identification
+
+@query("op7_language_id")
+def op7_language_id(spark, sf_dir):
+    from .langid import identify
+    return identify(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
