@@ -13,6 +13,7 @@ again, in which leftovers of different blocks meet.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -30,10 +31,11 @@ from .tokens import RunMemo, word_end_encoder
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
-def _tokenise(path: str, capacity: int, end_id: int, group_bytes: int):
+def _tokenise(tokenizer, capacity: int, end_id: int, group_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
-        memo = RunMemo(word_end_encoder(Tokenizer.from_file(path)))
+        os.environ.setdefault("RAYON_NUM_THREADS", "2")
+        memo = RunMemo(word_end_encoder(Tokenizer.from_str(tokenizer.value)))
         for batch in batches:
             data, offsets = utf8_buffer(batch.column("text"))
             for i, j in chunks(offsets, group_bytes):
@@ -62,9 +64,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
 
     The ids of a document are those of the tokenizer without special tokens,
     then ``end_id``; a longer document is cut every ``capacity`` ids.
+    ``tokenizer`` is a path on the driver, its content is sent to the tasks.
     """
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
-    return src.mapInArrow(_tokenise(tokenizer, capacity, end_id, group_bytes), PIECES)
+    with open(tokenizer) as f:
+        sent = docs.sparkSession.sparkContext.broadcast(f.read())
+    return src.mapInArrow(_tokenise(sent, capacity, end_id, group_bytes), PIECES)
 
 
 # ------------------------------------------------------------------ packing of one block

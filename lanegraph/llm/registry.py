@@ -100,3 +100,13 @@ def op3_best_fit_packing(spark, sf_dir):
 def op7_language_id(spark, sf_dir):
     from .langid import identify
     return identify(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+# ------------------------------------------------------------------ 9: SentencePiece
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+    from .sentencepiece_codec import encode
+    docs = read_table(spark, sf_dir, "documents")
+    return encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False).drop("ids")

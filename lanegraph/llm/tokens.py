@@ -44,6 +44,16 @@ def fold(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cls, low
 
 
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, from differences of running sums."""
+    n = len(data)
+    table = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    run = np.zeros(n + 1, np.uint64)
+    np.cumsum(table[data] * _powers(n, _MULT), out=run[1:])
+    h = (run[ends] - run[starts]) * _powers(n, pow(_MULT, -1, 1 << 64))[starts]
+    return mix(h ^ ((ends - starts).astype(np.uint64) * GOLD))
+
+
 def runs(data: np.ndarray, offsets: np.ndarray, fine: bool) -> tuple[np.ndarray, ...]:
     """(hash, start, end, row, plain, bytes) of the runs between space, tab,
     line feed and carriage return.  ``fine``: letters are lower-cased, and runs
@@ -94,29 +104,28 @@ def runs(data: np.ndarray, offsets: np.ndarray, fine: bool) -> tuple[np.ndarray,
         starts, ends, plain = at, np.minimum(stop_at, ends[owner]), ~rough[owner]
     else:
         plain = np.zeros(len(starts), bool)
-    table = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    run = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[low] * _powers(n, _MULT), out=run[1:])
-    h = (run[ends] - run[starts]) * _powers(n, pow(_MULT, -1, 1 << 64))[starts]
-    h = mix(h ^ ((ends - starts).astype(np.uint64) * GOLD))
+    h = hash_runs(low, starts, ends)
     return h, starts, ends, np.searchsorted(offsets, starts, "right") - 1, plain, low
 
 
 class RunMemo:
     """Ids of runs seen so far in this task, at most ``limit`` of them."""
 
-    def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 600_000, fine: bool = True):
-        self.encode, self.limit, self.fine = encode, limit, fine
+    def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 600_000, fine: bool = True,
+                 split=None):
+        self.encode, self.limit = encode, limit
+        self.split = split or (lambda data, offsets: runs(data, offsets, fine))
         self._reset()
 
     def _reset(self):
         self.index: dict[int, int] = {}
         self.begin, self.size, self.codes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, borders): ids of row i are ids[borders[i]:borders[i + 1]]."""
+    def rows(self, data: np.ndarray, offsets: np.ndarray, places: bool = False) -> tuple[np.ndarray, ...]:
+        """(ids, borders): ids of row i are ids[borders[i]:borders[i + 1]];
+        with ``places`` also the memo's number and the row of every run."""
         n = len(offsets) - 1
-        h, start, end, row, plain, low = runs(data, offsets, self.fine)
+        h, start, end, row, plain, low = self.split(data, offsets)
         if len(self.index) > self.limit:
             self._reset()
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
@@ -139,7 +148,7 @@ class RunMemo:
         ids = self.codes[np.repeat(self.begin[at] - (total - size), size) + np.arange(total[-1] if len(total) else 0)]
         borders = np.zeros(n + 1, np.int64)
         np.cumsum(np.bincount(row, weights=size, minlength=n).astype(np.int64), out=borders[1:])
-        return ids, borders
+        return (ids, borders, at, row) if places else (ids, borders)
 
 
 def ragged(parts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
