@@ -110,3 +110,12 @@ def op9_sentencepiece(spark, sf_dir):
     from .sentencepiece_codec import encode
     docs = read_table(spark, sf_dir, "documents")
     return encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False).drop("ids")
+
+
+# ------------------------------------------------------------------ 8: language-model scoring
+
+@query("op8_lm_scoring")
+def op8_lm_scoring(spark, sf_dir):
+    from .lbl import score
+    return score(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
