@@ -119,3 +119,11 @@ def op8_lm_scoring(spark, sf_dir):
     from .lbl import score
     return score(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+# ------------------------------------------------------------------ 5: repeated strings
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark, sf_dir):
+    from .suffix_dedup import remove_repeats
+    return remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False).drop("spans", "kept")
