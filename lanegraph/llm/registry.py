@@ -127,3 +127,11 @@ def op8_lm_scoring(spark, sf_dir):
 def op5_suffix_dedup(spark, sf_dir):
     from .suffix_dedup import remove_repeats
     return remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False).drop("spans", "kept")
+
+
+# ------------------------------------------------------------------ 6: search
+
+@query("op6_bm25_search")
+def op6_bm25_search(spark, sf_dir):
+    from .search import top_k
+    return top_k(read_table(spark, sf_dir, "documents"))
