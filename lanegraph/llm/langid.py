@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import fresh, text_of
 from .shingles import chunks, utf8_buffer
 
 BITS = 15
@@ -232,3 +232,27 @@ def identify(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", te
     model = train(docs.where(id_remainder(docs[id_col], mod) != held), lang_col, text_col)
     out = predict(docs, model, id_col, text_col, penalty)
     return out.withColumn("held_out", id_remainder(F.col("doc_id"), mod) == held)
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 2.0) -> DataFrame:
+    """``docs`` without the rows that have no language: no letter (or a null
+    text), or no language set that explains the text better than chance.
+
+    Rows pass through the scan; nothing is shuffled, all columns are kept.
+    """
+    low, letters = fresh(docs, "_low"), fresh(docs, "_letters")
+    text = text_of(docs, text_col)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = sent.value
+        for batch in batches:
+            data, offsets = utf8_buffer(batch.column(low))
+            keep = batch.column(letters).to_numpy(zero_copy_only=False).copy()
+            for i, j in chunks(offsets):
+                if m.languages:
+                    keep[i:j] &= infer(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], m, penalty)[1].any(1)
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
+
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return (docs.withColumns({low: F.lower(text), letters: text.rlike(r"\p{L}")}).mapInArrow(run, docs.schema).select(*names))

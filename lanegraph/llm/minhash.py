@@ -8,11 +8,11 @@ coordinate keeps its earliest dart.  Two documents agree on a coordinate with
 the probability of their weighted Jaccard similarity, and the number of darts
 doesn't depend on the length of the document.
 
-Signatures are cut into bands.  Within a band only the pairs with the smallest
-member are formed (never all pairs), every pair is verified exactly on the
-element sets, and members that the smallest one doesn't match meet again in
-sub-groups that share a further band.  Verified links are closed by
-star-based components.
+Signatures are cut into bands.  Within a band only the pairs with one centre
+are formed (never all pairs) and every pair is verified exactly on the element
+sets.  Verified links are closed by star-based components; members that are
+then in another class than their centre meet again in sub-groups that share a
+further band.
 """
 
 from __future__ import annotations
@@ -210,16 +210,65 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims)], names=["a", "b", "sim"])
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, level: int) -> DataFrame:
-    """(a, b, sim) of the pairs; only the sets of paired rows are moved."""
-    ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-    need = scratch.write(sets.join(ids, "rid", "left_semi"), f"sets{level}")
-    left = need.select(F.col("rid").alias("a"), F.col("elems").alias("ea"))
-    right = need.select(F.col("rid").alias("b"), F.col("elems").alias("eb"))
-    out = scratch.write(pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb")
-                        .mapInArrow(_similar, "a long, b long, sim double"), f"sims{level}")
-    scratch.drop(need)
-    return out
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, sim) of the pairs."""
+    left = sets.select(F.col("rid").alias("a"), F.col("elems").alias("ea"))
+    right = sets.select(F.col("rid").alias("b"), F.col("elems").alias("eb"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb").mapInArrow(_similar, "a long, b long, sim double")
+
+
+def _label(rows: DataFrame, labels: DataFrame | None, col: str, out: str) -> DataFrame:
+    """``rows`` with the class of ``col`` so far: its label, else itself."""
+    if labels is None:
+        return rows.withColumn(out, F.col(col))
+    own = labels.select(F.col("id").alias(col), F.col("component").alias(out))
+    return rows.join(own, col, "left").withColumn(out, F.coalesce(out, col))
+
+
+def _classes_of(keyed: DataFrame, sets: DataFrame, bands_of: DataFrame, similarity: float, scratch: Scratch) -> DataFrame | None:
+    """(id, component) of all linked nodes; None without any link.
+
+    ``keyed``: (rid, band, key).  Level by level: the members of a key are
+    compared with one of them, chosen by a hash of key and member, so that a
+    member meets another centre in each of its bands.  Members of another class
+    than their centre go on to the next level, keyed by one further band.
+    """
+    labels, level, near = None, 0, None
+    while True:
+        keyed = scratch.write(keyed, f"keys{level}")
+        centre = F.min(F.struct(F.xxhash64("key", "rid").alias("h"), "rid")).alias("c")
+        groups = scratch.write(keyed.groupBy("key").agg(centre, F.count("*").alias("n")).where("n > 1")
+                               .select("key", F.col("c.rid").alias("a")), f"groups{level}")
+        joined = scratch.write(keyed.join(groups, "key").where("rid != a").select("key", "band", "a", "rid"), f"members{level}")
+        scratch.drop(keyed, groups)
+        pairs = scratch.write(joined.select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b")).distinct(), f"pairs{level}")
+        if near is None:
+            # of the element sets, only those of members are moved, once for all levels; as they outgrow
+            # any broadcast the join is the same at every size
+            ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
+            near = scratch.write(sets.hint("merge").join(ids.hint("merge"), "rid", "left_semi"), "sets")
+        sims = scratch.write(_verify(pairs, near), f"sims{level}")
+        found = sims.where(F.col("sim") >= similarity).select("a", "b")
+        # links between classes so far, closed on the classes
+        between = _label(_label(found, labels, "a", "ra"), labels, "b", "rb").where("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        between = scratch.write(between.distinct(), f"links{level}")
+        if not between.isEmpty():
+            step = star_components(between, scratch=scratch)
+            if labels is None:
+                labels = step
+            else:
+                moved = _label(labels.select("id", F.col("component").alias("old")), step, "old", "component").select("id", "component")
+                fresh_ids = step.join(labels.select("id"), "id", "left_anti")
+                labels = scratch.write(moved.unionByName(fresh_ids), f"labels{level}")
+        apart = _label(_label(joined, labels, "a", "ra"), labels, "rid", "rb").where("ra != rb").select("key", "band", "rid")
+        apart = scratch.write(apart, f"apart{level}")
+        scratch.drop(joined, pairs, sims, between)
+        if apart.isEmpty():
+            return labels
+        keyed = (apart.select("rid", F.col("key").alias("k0"), F.col("band").alias("b0")).join(bands_of, "rid")
+                 .select("rid", "k0", "b0", F.posexplode("bands").alias("band", "k1")).where("band > b0")
+                 .select("rid", "band", F.xxhash64("k0", "k1").alias("key")))
+        level += 1
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, size: int = 5,
@@ -245,34 +294,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = copies.select(F.col("node").alias("rid"))
     sets = sk.select("rid", "elems")
 
-    level, links = 0, None
     keyed = sk.select("rid", "bands").join(nodes, "rid", "left_semi").select("rid", F.posexplode("bands").alias("band", "key"))
-    bands_of = None
-    while True:
-        keyed = scratch.write(keyed, f"keys{level}")
-        groups = scratch.write(keyed.groupBy("key").agg(F.min("rid").alias("a"), F.count("*").alias("n")).where("n > 1")
-                               .select("key", "a"), f"groups{level}")
-        joined = keyed.join(groups, "key").where("rid != a")
-        pairs = scratch.write(joined.select("a", F.col("rid").alias("b")).distinct(), f"pairs{level}")
-        sims = _verify(pairs, sets, scratch, level)
-        new = sims.where(F.col("sim") >= similarity).select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        missed = sims.where(F.col("sim") < similarity).select("a", F.col("b").alias("rid"))
-        if missed.isEmpty():
-            break
-        # members that the smallest one of their group doesn't match: again, by a further band
-        left = joined.join(missed, ["a", "rid"], "left_semi").select("key", "rid", "band")
-        if bands_of is None:
-            bands_of = sk.select("rid", F.col("bands").alias("all"))
-        again = left.join(bands_of, "rid").select("rid", F.col("key").alias("k0"), F.col("band").alias("b0"),
-                                                  F.posexplode("all").alias("band", "k1"))
-        again = again.where("band > b0").select("rid", "band", F.xxhash64("k0", "k1").alias("key"))
-        keyed, level = again, level + 1
-
-    roots = scratch.write(star_components(links, scratch=scratch), "roots")
+    labels = _classes_of(keyed, sets, sk.select("rid", "bands"), similarity, scratch)
     member = (worded.select("doc_id", "tkey", "rid", "d1", "d2").join(copies, ["d1", "d2"])
-              .join(roots.select(F.col("id").alias("node"), "component"), "node", "left")
-              .select("doc_id", "tkey", "rid", F.coalesce("component", "node").alias("root")))
+              .select("doc_id", "tkey", "rid", "node"))
+    member = _label(member, labels, "node", "root").select("doc_id", "tkey", "rid", "root")
     alone = sk.where(F.size("bands") == 0).select("doc_id", "tkey", "rid", F.col("rid").alias("root"))
     member = scratch.write(member.unionByName(alone), "members")
     ranked = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
