@@ -11,12 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..aggregate import one_row_join
-from .core import cut
-
-
-# Fixed tables of an iterative algorithm (edges, vertex ids) are broadcast only
-# below this counted row count; above it the rounds use shuffle joins.
-BROADCAST_ROWS = 2_000_000
+from .core import cut, discard
 
 
 def degree_centrality(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -34,58 +29,37 @@ def degree_centrality(vertices: DataFrame, edges: DataFrame) -> DataFrame:
                     (F.col("out_deg") * s).alias("out_degree_centrality")))
 
 
-def _apply(q: DataFrame, c: DataFrame, y: DataFrame, ids: DataFrame) -> DataFrame:
-    """y ↦ c + Q·y for sparse Q(dst, src, q) and dense vectors (id, value)."""
-    qy = (y.join(q, y.id == q.src).groupBy(F.col("dst").alias("id"))
-          .agg(F.sum(F.col("y") * F.col("q")).alias("_qy")))
-    return (ids.join(c, "id", "left").join(qy, "id", "left")
-            .select("id", (F.coalesce(F.col("c"), F.lit(0.0)) + F.coalesce(F.col("_qy"), F.lit(0.0))).alias("y")))
-
-
-def _square(q: DataFrame, c: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(Q, c) ∘ (Q, c) = (Q², c + Q·c)."""
-    a = q.select(F.col("dst"), F.col("src").alias("mid"), F.col("q").alias("qa"))
-    b = q.select(F.col("dst").alias("mid"), F.col("src"), F.col("q").alias("qb"))
-    q2 = a.join(b, "mid").groupBy("dst", "src").agg(F.sum(F.col("qa") * F.col("qb")).alias("q"))
-    c2 = _apply(q, c, c.withColumnRenamed("c", "y"), ids).withColumnRenamed("y", "c")
-    return cut(q2), cut(c2)
-
-
-def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
-             weight: str = "weight", max_fill: int = 20_000_000) -> DataFrame:
+def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-13,
+             weight: str = "weight") -> DataFrame:
     """Weighted PageRank, uniform teleport, dangling mass spread uniformly.
 
     With uniform teleport and uniform dangling redistribution the stationary
-    vector is proportional to the solution of y = b + α·Pᵀy (b = (1−α)/n), so
-    ``max_iter`` power rounds are the affine map M(y) = b + αPᵀy applied
-    ``max_iter`` times.  The map is raised to that power by repeated squaring
-    (M², M⁴, …; each a join + group-by), so 100 rounds cost ~15 Spark stages.
-    Squaring stops when the counted non-zeros of the squared matrix exceed
-    ``max_fill`` (sparse graphs fill in); the remaining rounds then run one
-    join per round.  Every materialised step is a reliable checkpoint.
+    vector is proportional to the solution of y = b + α·Pᵀy (b = (1−α)/n).
+    One join and one partial aggregate per round on the stochastic edges, until
+    the L1 change falls to ``tolerance``; the change shrinks by α or more each
+    round, so the loop ends.
     """
     n = vertices.count()
-    ids = cut(vertices.select("id"))
     outw = edges.groupBy("src").agg(F.sum(weight).alias("_wsum"))
-    q = cut(edges.join(outw, "src").where(F.col("_wsum") > 0)
-            .select("dst", "src", (alpha * F.col(weight) / F.col("_wsum")).alias("q")))
-    c = cut(ids.select("id", F.lit((1.0 - alpha) / n).alias("c")))
-    y = ids.withColumn("y", F.lit(1.0 / n))
-    powers = [(1, q, c)]
-    while powers[-1][0] * 2 <= max_iter:
-        q2, c2 = _square(powers[-1][1], powers[-1][2], ids)
-        if q2.count() > max_fill:
+    q = cut(edges.join(outw, "src").where(F.col("_wsum") > 0).select("dst", "src", (alpha * F.col(weight) / F.col("_wsum")).alias("q")))
+    y = cut(vertices.select("id", F.lit(1.0 / max(n, 1)).alias("y")))
+    while True:
+        moved = y.join(q, y.id == q.src).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("y") * F.col("q")).alias("_in"))
+        nxt = cut(y.join(moved, "id", "left").select("id", F.col("y").alias("old"), (F.lit((1.0 - alpha) / max(n, 1))
+                                                                                  + F.coalesce("_in", F.lit(0.0))).alias("y")))
+        change = nxt.agg(F.sum(F.abs(F.col("y") - F.col("old")))).first()[0] or 0.0
+        discard(y)
+        y = nxt.select("id", "y")
+        y._scratch_path = nxt._scratch_path
+        if change <= tolerance:
             break
-        powers.append((powers[-1][0] * 2, q2, c2))
-    remaining = max_iter
-    for steps, qk, ck in reversed(powers):
-        while remaining >= steps:
-            y = cut(_apply(qk, ck, y, ids))
-            remaining -= steps
     total = y.agg(F.sum("y").alias("_s"))
     return one_row_join(y, total).select("id", (F.col("y") / F.col("_s")).alias("pr"))
 
 
+SOURCE_BATCH = 256
+
+
 def _batches(ids: DataFrame, batch: int | None):
     if not batch:
         return [ids]
@@ -108,19 +82,20 @@ def hop_distances(vertices: DataFrame, edges: DataFrame, sources: DataFrame | No
         cand = cut(cand)
         if cand.isEmpty():
             return dist
-        dist = cut(dist.unionByName(cand))
-        frontier = cand
+        grown = cut(dist.unionByName(cand))
+        discard(dist, frontier)
+        dist, frontier = grown, cand
 
 
-def closeness_centrality(vertices: DataFrame, edges: DataFrame, batch: int | None = None) -> DataFrame:
+def closeness_centrality(vertices: DataFrame, edges: DataFrame, batch: int | None = SOURCE_BATCH) -> DataFrame:
     """Closeness on incoming hop distances, scaled by the reachable share
     (Wasserman–Faust): (r−1)/Σd · (r−1)/(n−1)."""
     n = vertices.count()
     parts = []
     for b in _batches(vertices.select("id"), batch):
-        parts.append(hop_distances(vertices, edges, b)
-                     .groupBy(F.col("v").alias("id"))
-                     .agg(F.count("*").alias("_r"), F.sum("d").alias("_tot")))
+        dist = hop_distances(vertices, edges, b)
+        parts.append(cut(dist.groupBy(F.col("v").alias("id")).agg(F.count("*").alias("_r"), F.sum("d").alias("_tot"))))
+        discard(dist)
     agg = parts[0]
     for p in parts[1:]:
         agg = agg.unionByName(p)
@@ -149,8 +124,9 @@ def weighted_distances(edges: DataFrame, sources: DataFrame, weight: str = "weig
         improved = cut(improved)
         if improved.isEmpty():
             return dist
-        dist = cut(dist.join(improved.select("s", "v"), ["s", "v"], "left_anti").unionByName(improved))
-        frontier = improved
+        grown = cut(dist.join(improved.select("s", "v"), ["s", "v"], "left_anti").unionByName(improved))
+        discard(dist, frontier)
+        dist, frontier = grown, improved
 
 
 def _betweenness_batch(edges: DataFrame, sources: DataFrame, weight: str) -> DataFrame:
@@ -193,10 +169,10 @@ def _betweenness_batch(edges: DataFrame, sources: DataFrame, weight: str) -> Dat
 
 
 def betweenness_centrality(vertices: DataFrame, edges: DataFrame, weight: str = "weight",
-                           batch: int | None = None, normalized: bool = True) -> DataFrame:
+                           batch: int | None = SOURCE_BATCH, normalized: bool = True) -> DataFrame:
     """Exact Brandes betweenness on weighted directed shortest paths."""
     n = vertices.count()
-    parts = [_betweenness_batch(edges, b, weight) for b in _batches(vertices.select("id"), batch)]
+    parts = [cut(_betweenness_batch(edges, b, weight)) for b in _batches(vertices.select("id"), batch)]
     bc = parts[0]
     for p in parts[1:]:
         bc = bc.unionByName(p)

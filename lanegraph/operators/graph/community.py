@@ -1,11 +1,9 @@
 """Modularity communities by distributed local moving (Louvain-style).
 
 The graph is made undirected; reciprocal corridors add their weights and
-self-loops are dropped.  Each round every vertex scores the communities of
-its neighbours with the standard modularity gain and moves to the best one
-when the gain is positive.  Only vertices whose hash parity matches the
-round move, so two neighbours never swap simultaneously.  Rounds stop when
-nothing moves.  Community ids are ranked by size (desc), then smallest member.
+self-loops are dropped.  Every vertex scores the communities of its neighbours
+with the standard modularity gain; levels of local moving and merging run to
+convergence.  Community ids are ranked by size (desc), then smallest member.
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..aggregate import one_row_join
-from .core import both_directions, cut, sorted_index, undirected_simple
+from .core import both_directions, cut, discard, sorted_index, undirected_simple
 
 
 def modularity(und_w: DataFrame, membership: DataFrame) -> DataFrame:
@@ -31,44 +29,85 @@ def modularity(und_w: DataFrame, membership: DataFrame) -> DataFrame:
                                     - F.pow(F.col("_d") / (2 * F.col("_m")), 2)), F.lit(0.0)).alias("modularity"))
 
 
-def communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight", max_rounds: int = 6) -> DataFrame:
-    """(id, community) with ids 0.. by community size."""
-    und = cut(undirected_simple(edges, weight))
-    adj = cut(both_directions(und, ["w"]))
+def _links(adj: DataFrame, memb: DataFrame) -> DataFrame:
+    """(u, c, k_in): weight from u into each neighbouring community."""
+    return (adj.where(F.col("u") != F.col("v")).join(memb.select(F.col("id").alias("v"), F.col("community").alias("c")), "v")
+            .groupBy("u", "c").agg(F.sum("w").alias("k_in")))
+
+
+def _quality(adj: DataFrame, k: DataFrame, memb: DataFrame, m2: float) -> float:
+    """Q of a membership; self-loops hold the inner weight of merged vertices."""
+    own = memb.select(F.col("id").alias("u"), F.col("community").alias("cu"))
+    other = memb.select(F.col("id").alias("v"), F.col("community").alias("cv"))
+    inside = adj.join(own, "u").join(other, "v").where("cu = cv").agg(F.sum("w")).first()[0] or 0.0
+    tot = k.join(memb, "id").groupBy("community").agg(F.sum("k").alias("t")).agg(F.sum(F.col("t") * F.col("t"))).first()[0] or 0.0
+    return inside / m2 - tot / (m2 * m2)
+
+
+def _local_moving(ids: DataFrame, adj: DataFrame, m2: float) -> DataFrame:
+    """Move vertices to the neighbouring community of highest gain until no
+    vertex gains.  A round moves a hashed share of the vertices that gain; a
+    round that doesn't raise Q is undone and the share halved, down to the one
+    best vertex, whose move always raises Q.  So Q rises strictly and the loop
+    ends."""
     k = cut(adj.groupBy(F.col("u").alias("id")).agg(F.sum("w").alias("k")))
-    m2 = und.agg((2 * F.sum("w")).alias("_m2"))
-    memb = cut(vertices.select("id", F.col("id").alias("community")))
-    idle = 0
-    for rnd in range(max_rounds):
+    memb = cut(ids.select("id", F.col("id").alias("community")))
+    q, share, rnd = _quality(adj, k, memb, m2), 2, 0
+    while True:
+        rnd += 1
         tot = memb.join(k, "id").groupBy("community").agg(F.sum("k").alias("tot"))
-        nb = (adj.join(memb.select(F.col("id").alias("v"), F.col("community").alias("c")), "v")
-              .groupBy("u", "c").agg(F.sum("w").alias("k_in")))
-        me = memb.select(F.col("id").alias("u"), F.col("community").alias("own")).join(
-            k.select(F.col("id").alias("u"), "k"), "u")
-        cand = (nb.join(me, "u").join(tot.select(F.col("community").alias("c"), "tot"), "c"))
-        cand = one_row_join(cand, m2)
-        # removing u from its own community: its tot shrinks by k_u and k_in excludes u itself
-        tot_eff = F.when(F.col("c") == F.col("own"), F.col("tot") - F.col("k")).otherwise(F.col("tot"))
-        cand = cut(cand.withColumn("gain", F.col("k_in") - tot_eff * F.col("k") / F.col("_m2")))
-        own_gain = cand.where(F.col("c") == F.col("own")).select("u", F.col("gain").alias("stay"))
-        best = (cand.groupBy("u").agg(F.max_by(F.struct("c", "gain"),
-                                               F.struct(F.col("gain"), -F.xxhash64("c"))).alias("b"))
-                .select("u", F.col("b.c").alias("bc"), F.col("b.gain").alias("bg")))
-        moves = (best.join(own_gain, "u", "left").join(me.select("u", "own"), "u")
-                 .where((F.col("bc") != F.col("own"))
-                        & (F.col("bg") > F.coalesce(F.col("stay"), F.lit(0.0)) + 1e-12)
-                        & (F.pmod(F.xxhash64("u", F.lit(rnd)), F.lit(2)) == 0))
-                 .select(F.col("u").alias("id"), F.col("bc").alias("_new")))
-        moves = cut(moves)
-        if moves.isEmpty():
-            idle += 1  # stop once both parities had a round without moves
-            if idle >= 2:
+        me = memb.select(F.col("id").alias("u"), F.col("community").alias("own")).join(k.select(F.col("id").alias("u"), "k"), "u")
+        # a vertex may always stay where it is, even without a neighbour there
+        links = _links(adj, memb).unionByName(me.select("u", F.col("own").alias("c"), F.lit(0.0).alias("k_in")))
+        links = links.groupBy("u", "c").agg(F.sum("k_in").alias("k_in"))
+        cand = links.join(me, "u").join(tot.select(F.col("community").alias("c"), "tot"), "c")
+        rest = F.when(F.col("c") == F.col("own"), F.col("tot") - F.col("k")).otherwise(F.col("tot"))
+        cand = cand.withColumn("gain", F.col("k_in") - rest * F.col("k") / F.lit(m2))
+        best = cand.groupBy("u").agg(F.max_by(F.struct("c", "gain"), F.struct("gain", "c")).alias("b"),
+                                     F.max(F.when(F.col("c") == F.col("own"), F.col("gain"))).alias("stay"), F.first("own").alias("own"))
+        moves = cut(best.where((F.col("b.c") != F.col("own")) & (F.col("b.gain") > F.col("stay") + 1e-9 * m2))
+                    .select(F.col("u").alias("id"), F.col("b.c").alias("_new"), (F.col("b.gain") - F.col("stay")).alias("up")))
+        left = moves.count()
+        if left == 0:
+            discard(moves)
+            return memb
+        while True:
+            chosen = moves.where(F.pmod(F.xxhash64("id", F.lit(rnd)), F.lit(share)) == 0) if share < 2 * left else \
+                moves.orderBy(F.desc("up"), "id").limit(1)
+            tried = cut(memb.join(chosen.select("id", "_new"), "id", "left").select("id", F.coalesce("_new", "community").alias("community")))
+            q2 = _quality(adj, k, tried, m2)
+            if q2 > q + 1e-12:
+                discard(memb)
+                memb, q, share = tried, q2, max(2, share // 2)
                 break
-            continue
-        idle = 0
-        memb = cut(memb.join(moves, "id", "left")
-                   .select("id", F.coalesce("_new", "community").alias("community")))
-    sizes = memb.groupBy("community").agg(F.count("*").alias("_n"), F.min("id").alias("_first"))
+            discard(tried)
+            if share >= 2 * left:
+                return memb
+            share *= 2
+        discard(moves)
+
+
+def communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight") -> DataFrame:
+    """(id, community) with ids 0.. by community size.
+
+    Levels of local moving; after each one communities become vertices (their
+    inner weight a self-loop) and moving starts again, until a level changes
+    nothing."""
+    und = cut(undirected_simple(edges, weight))
+    adj = cut(both_directions(und, ["w"]))
+    m2 = float(adj.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0])
+    whole = cut(vertices.select("id", F.col("id").alias("community")))
+    ids = vertices.select("id")
+    while m2 > 0:
+        memb = _local_moving(ids, adj, m2)
+        if memb.where(F.col("id") != F.col("community")).isEmpty():
+            break
+        nxt = cut(whole.withColumnRenamed("community", "_c").join(memb.withColumnRenamed("id", "_c"), "_c").select("id", "community"))
+        discard(whole)
+        whole = nxt
+        cu, cv = (memb.select(F.col("id").alias(x), F.col("community").alias("c" + x)) for x in ("u", "v"))
+        adj = cut(adj.join(cu, "u").join(cv, "v").groupBy(F.col("cu").alias("u"), F.col("cv").alias("v")).agg(F.sum("w").alias("w")))
+        ids = cut(memb.select(F.col("community").alias("id")).distinct())
+    sizes = whole.groupBy("community").agg(F.count("*").alias("_n"), F.min("id").alias("_first"))
     ranked = sorted_index(sizes, [F.desc("_n"), F.col("_first")], "_rank")
-    return memb.join(ranked.select("community", "_rank"), "community").select(
-        "id", F.col("_rank").cast("int").alias("community"))
+    return whole.join(ranked.select("community", "_rank"), "community").select("id", F.col("_rank").cast("int").alias("community"))

@@ -2,33 +2,48 @@
 
 A graph is a pair of DataFrames: ``vertices(id, …)`` and
 ``edges(src, dst, weight, …)`` (directed, at most one edge per ordered
-pair).  Iterative algorithms run one DataFrame round per step and cut the
-lineage with reliable ``checkpoint()`` into the session's checkpoint
-directory, so a lost executor recomputes at most a few rounds.
+pair).  Iterative algorithms run one DataFrame round per step; each round is
+written to the session's shared folder and read back, so a lost executor costs
+at most a round and the next plan starts from real file sizes (a checkpoint
+keeps the estimates of the old plan, which double with every join).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ...session import ensure_checkpoint_dir
+from ...scratch import Scratch
+from .components import star_components
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise and truncate lineage (reliable checkpoint, not local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Written to the shared folder and read back."""
+    return Scratch(df.sparkSession, "graph").write(df, "round")
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete superseded results of ``cut``."""
+    for t in tables:
+        path = getattr(t, "_scratch_path", None)
+        if path:
+            from ...scratch import remove_path
+            remove_path(t.sparkSession, path)
 
 
 def sorted_index(df: DataFrame, order, name: str = "idx") -> DataFrame:
-    """Attach a 0-based position in a global sort (range-partitioned sort +
-    ``zipWithIndex``: partition sizes are counted, then offsets applied — no
-    single-task window)."""
-    ordered = df.orderBy(*order)
-    schema = ordered.schema.add(name, "long")
-    rdd = ordered.rdd.zipWithIndex().map(lambda t: tuple(t[0]) + (t[1],))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    """Attach a 0-based position in a global sort.
+
+    A range-partitioned sort numbers the rows of each partition; the partition
+    sizes, one row per partition, are added up and broadcast as offsets.
+    """
+    ordered = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)       # one row per partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (ordered.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn(name, place + F.col("_before")).drop("_at", "_part", "_before"))
 
 
 def facility_graph(facilities: DataFrame, corridors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -80,24 +95,9 @@ def both_directions(und: DataFrame, extra=()) -> DataFrame:
             .union(und.select(F.col("b").alias("u"), F.col("a").alias("v"), *cols)))
 
 
-def connected_components(vertex_ids: DataFrame, und: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """Min-label propagation over undirected edges ``(a, b)`` → ``(id, component)``.
-
-    Each round only vertices whose label dropped push it on (frontier), and the
-    lineage is cut every round.
-    """
-    adj = both_directions(und)
-    labels = cut(vertex_ids.select("id", F.col("id").alias("component")))
-    frontier = labels
-    for _ in range(max_rounds):
-        cand = (frontier.join(adj, frontier.id == adj.u).select(F.col("v").alias("id"), "component")
-                .groupBy("id").agg(F.min("component").alias("cand")))
-        improved = (cand.join(labels, "id").where(F.col("cand") < F.col("component"))
-                    .select("id", F.col("cand").alias("component")))
-        improved = cut(improved)
-        if improved.isEmpty():
-            break
-        labels = cut(labels.join(improved.withColumnRenamed("component", "_new"), "id", "left")
-                     .select("id", F.coalesce("_new", "component").alias("component")))
-        frontier = improved
-    return labels
+def connected_components(vertex_ids: DataFrame, und: DataFrame) -> DataFrame:
+    """Undirected edges ``(a, b)`` → ``(id, component)``, the component being
+    its smallest vertex; star rounds until nothing changes."""
+    stars = star_components(und)
+    return (vertex_ids.select("id").join(stars, "id", "left")
+            .select("id", F.coalesce("component", "id").alias("component")))

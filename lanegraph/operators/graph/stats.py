@@ -28,9 +28,9 @@ def neighbour_stats(vertices: DataFrame, edges: DataFrame) -> DataFrame:
                             for c, t in g.dtypes if c in cols]))
 
 
-def centralities(vertices: DataFrame, edges: DataFrame, pagerank_iter: int = 100) -> DataFrame:
+def centralities(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     deg = C.degree_centrality(vertices, edges)
-    pr = C.pagerank(vertices, edges, max_iter=pagerank_iter)
+    pr = C.pagerank(vertices, edges)
     bc = C.betweenness_centrality(vertices, edges)
     cl = C.closeness_centrality(vertices, edges)
     cc = T.clustering(vertices, edges)
@@ -87,20 +87,24 @@ def network_summary(vertices: DataFrame, edges: DataFrame, cent: DataFrame, comm
                           .otherwise(F.lit(0.0)))
 
 
-def core_subgraph(vertices: DataFrame, edges: DataFrame, max_nodes: int = 1000, keep: int = 350):
-    """Above ``max_nodes`` vertices keep the ``keep`` highest-degree ones and
-    the edges among them (induced subgraph, two semi-joins)."""
+def core_subgraph(vertices: DataFrame, edges: DataFrame, keep: int = 350) -> tuple[DataFrame, DataFrame]:
+    """The ``keep`` vertices of highest degree (ties: smaller id) and the edges
+    among them (induced subgraph, two semi-joins); the limit is the feature."""
     deg = C.degree_centrality(vertices, edges)
-    n = vertices.count()
-    if n <= max_nodes:
-        return vertices, edges
-    top = deg.orderBy(F.desc("degree_centrality"), "id").limit(keep).select("id")
+    top = deg.orderBy(F.desc(F.col("in_deg") + F.col("out_deg")), "id").limit(keep).select("id")
     v = vertices.join(top, "id", "left_semi")
     e = (edges.join(top.withColumnRenamed("id", "src"), "src", "left_semi")
          .join(top.withColumnRenamed("id", "dst"), "dst", "left_semi"))
     return v, e
 
 
+def attach_metrics(vertices: DataFrame, cent: DataFrame, community: DataFrame) -> DataFrame:
+    """One vertex table with all metrics and the community; missing metrics are 0."""
+    metrics = [c for c in cent.columns if c not in ("id", "in_deg", "out_deg")]
+    return (vertices.join(cent.select("id", *metrics), "id", "left").fillna(0.0, metrics)
+            .join(community, "id", "left"))
+
+
 def merge_graph_features(trips: DataFrame, embeddings: DataFrame, gstats: DataFrame) -> DataFrame:
     """Source/destination embeddings and graph stats with ``src_``/``dst_`` prefixes, missing → 0.
 

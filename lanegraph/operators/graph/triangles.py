@@ -23,11 +23,12 @@ def triangle_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     oriented = (und.join(r.withColumnRenamed("id", "a").withColumnRenamed("rk", "ra"), "a")
                 .join(r.withColumnRenamed("id", "b").withColumnRenamed("rk", "rb"), "b")
                 .select(F.when(F.col("ra") < F.col("rb"), F.col("a")).otherwise(F.col("b")).alias("x"),
-                        F.when(F.col("ra") < F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("y")))
+                        F.when(F.col("ra") < F.col("rb"), F.col("b")).otherwise(F.col("a")).alias("y"),
+                        F.greatest("ra", "rb").alias("ry")))
     # wedge x->y, x->z with y < z in rank order, closed by y->z
-    o1 = oriented.select(F.col("x"), F.col("y").alias("p"))
-    o2 = oriented.select(F.col("x"), F.col("y").alias("q"))
-    wedges = o1.join(o2, "x").where(F.col("p") != F.col("q"))
+    o1 = oriented.select(F.col("x"), F.col("y").alias("p"), F.col("ry").alias("rp"))
+    o2 = oriented.select(F.col("x"), F.col("y").alias("q"), F.col("ry").alias("rq"))
+    wedges = o1.join(o2, "x").where(F.col("rp") < F.col("rq"))
     tri = wedges.join(oriented.select(F.col("x").alias("p"), F.col("y").alias("q")), ["p", "q"])
     per_vertex = (tri.select(F.explode(F.array("x", "p", "q")).alias("id"))
                   .groupBy("id").agg(F.count("*").alias("triangles")))

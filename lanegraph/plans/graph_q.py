@@ -1,8 +1,7 @@
 """Registered queries: facility graph, centralities, structure, embeddings and
 the hub-level decision views built on them.
 
-The training graph and its centralities are computed once per session and
-source directory (checkpointed frames) and shared by the queries below.
+Every query builds the training graph from the tables it is given.
 """
 
 from __future__ import annotations
@@ -20,50 +19,35 @@ from ..operators.graph import triangles as T
 from ..operators.graph import walks as W
 from .registry import finish, legs, query
 
-_MEMO: dict = {}
-
-
-def _memo(key, fn):
-    if key not in _MEMO:
-        _MEMO[key] = fn()
-    return _MEMO[key]
-
 
 def facilities(spark, sf_dir):
     return A.facility_stats(legs(spark, sf_dir).where(F.col("data") == "training"))
 
 
 def graph(spark, sf_dir):
-    def build():
-        tr = legs(spark, sf_dir).where(F.col("data") == "training")
-        v, e = G.facility_graph(A.facility_stats(tr), A.corridor_stats(tr))
-        return G.cut(v), G.cut(e)
-    return _memo((id(spark), sf_dir, "graph"), build)
+    tr = legs(spark, sf_dir).where(F.col("data") == "training")
+    v, e = G.facility_graph(A.facility_stats(tr), A.corridor_stats(tr))
+    return G.cut(v), G.cut(e)
 
 
-def cent(spark, sf_dir):
-    v, e = graph(spark, sf_dir)
-    return _memo((id(spark), sf_dir, "cent"), lambda: G.cut(S.centralities(v, e)))
+def cent(v, e):
+    return G.cut(S.centralities(v, e))
 
 
-def crit(spark, sf_dir):
-    v, e = graph(spark, sf_dir)
-    return _memo((id(spark), sf_dir, "crit"), lambda: tuple(G.cut(x) for x in X.critical_infrastructure(v, e)))
+def crit(v, e):
+    return tuple(G.cut(x) for x in X.critical_infrastructure(v, e))
 
 
-def comm(spark, sf_dir):
-    v, e = graph(spark, sf_dir)
-    return _memo((id(spark), sf_dir, "comm"), lambda: G.cut(CM.communities(v, e)))
+def comm(v, e):
+    return G.cut(CM.communities(v, e))
 
 
-def impact(spark, sf_dir):
-    v, _ = graph(spark, sf_dir)
-    return _memo((id(spark), sf_dir, "impact"), lambda: G.cut(S.impact_scores(v, cent(spark, sf_dir))))
+def impact(v, e):
+    return G.cut(S.impact_scores(v, cent(v, e)))
 
 
-def embeddings(spark, sf_dir):
-    v, e = graph(spark, sf_dir)
-    return _memo((id(spark), sf_dir, "emb"), lambda: G.cut(W.node_embeddings(v, e)))
+def embeddings(v, e):
+    return G.cut(W.node_embeddings(v, e))
 
 
 # ------------------------------------------------------------------ with oracles
@@ -83,7 +67,7 @@ def _deg(spark, sf_dir):
 @query("pagerank")
 def _pr(spark, sf_dir):
     v, e = graph(spark, sf_dir)
-    return finish(C.pagerank(v, e, max_iter=100).withColumnRenamed("pr", "pagerank"))
+    return finish(C.pagerank(v, e).withColumnRenamed("pr", "pagerank"))
 
 
 @query("closeness_centrality")
@@ -113,90 +97,107 @@ def _nbr(spark, sf_dir):
 @query("core_subgraph")
 def _core(spark, sf_dir):
     v, e = graph(spark, sf_dir)
-    _, ce = S.core_subgraph(v, e)
+    _, ce = S.core_subgraph(v, e, keep=60)
     return ce.select("src", "dst")
 
 
 @query("graph_route_type")
 def _g_rt(spark, sf_dir):
     rc = A.route_type_corridors(legs(spark, sf_dir).where(F.col("data") == "training"))
-    v, _ = G.route_type_graph(rc)
-    return v.groupBy("route_type").agg(F.count("*").alias("num_nodes"))
+    _, e = G.route_type_graph(rc)
+    return finish(e.select("route_type", "src", "dst", "frequency", "weight"))
+
+
+@query("graph_route_type_nodes")
+def _g_rtn(spark, sf_dir):
+    rc = A.route_type_corridors(legs(spark, sf_dir).where(F.col("data") == "training"))
+    return G.route_type_graph(rc)[0].select("route_type", "id")
+
+
+@query("walk_expected_visits")
+def _expected(spark, sf_dir):
+    return finish(W.expected_visits(*graph(spark, sf_dir), walk_length=5, num_walks=50))
+
+
+@query("attach_metrics")
+def _attach(spark, sf_dir):
+    v, e = graph(spark, sf_dir)
+    return finish(S.attach_metrics(v.select("id", "name", "type", "throughput"), cent(v, e), comm(v, e)))
 
 
 # ------------------------------------------------------ property-checked (no SQL)
 
 @query("betweenness_centrality")
 def _bc(spark, sf_dir):
-    return finish(cent(spark, sf_dir).select("id", "betweenness"))
+    return finish(cent(*graph(spark, sf_dir)).select("id", "betweenness"))
 
 
 @query("articulation_points")
 def _aps(spark, sf_dir):
-    return crit(spark, sf_dir)[0]
+    return crit(*graph(spark, sf_dir))[0]
 
 
 @query("bridges")
 def _bridges(spark, sf_dir):
-    return crit(spark, sf_dir)[1]
+    return crit(*graph(spark, sf_dir))[1]
 
 
 @query("communities")
-def _comm(spark, sf_dir):
-    return comm(spark, sf_dir)
+def _comm(*graph(spark, sf_dir)):
+    return comm(*graph(spark, sf_dir))
 
 
 @query("graph_statistics")
 def _gstats(spark, sf_dir):
     v, e = graph(spark, sf_dir)
-    return finish(S.graph_statistics(v, e, cent(spark, sf_dir)))
+    return finish(S.graph_statistics(v, e, cent(v, e)))
 
 
 @query("impact_score")
-def _impact(spark, sf_dir):
-    return finish(impact(spark, sf_dir))
+def _impact(*graph(spark, sf_dir)):
+    return finish(impact(*graph(spark, sf_dir)))
 
 
 @query("top_bottleneck_hubs")
 def _top_hubs(spark, sf_dir):
-    i = finish(impact(spark, sf_dir).select("facility_id", "name", "impact_score_normalized", "throughput",
+    i = finish(impact(*graph(spark, sf_dir)).select("facility_id", "name", "impact_score_normalized", "throughput",
                                             "sla_breach_pct"))
     return i.orderBy(F.desc("impact_score_normalized"), "facility_id").limit(10)
 
 
 @query("dependency_score")
 def _dep(spark, sf_dir):
-    return finish(S.dependency_score(impact(spark, sf_dir), facilities(spark, sf_dir))
+    return finish(S.dependency_score(impact(*graph(spark, sf_dir)), facilities(spark, sf_dir))
                   .select("facility_id", "dependency_score"))
 
 
 @query("network_summary")
 def _summary(spark, sf_dir):
     v, e = graph(spark, sf_dir)
-    aps, br = crit(spark, sf_dir)
-    return finish(S.network_summary(v, e, cent(spark, sf_dir), comm(spark, sf_dir), aps, br))
+    aps, br = crit(v, e)
+    return finish(S.network_summary(v, e, cent(v, e), comm(v, e), aps, br))
 
 
 @query("modularity")
 def _mod(spark, sf_dir):
-    _, e = graph(spark, sf_dir)
-    return finish(CM.modularity(G.undirected_simple(e, "weight"), comm(spark, sf_dir)))
+    v, e = graph(spark, sf_dir)
+    return finish(CM.modularity(G.undirected_simple(e, "weight"), comm(v, e)))
 
 
 @query("bottleneck_kpis")
 def _kpis(spark, sf_dir):
     tr = legs(spark, sf_dir).where(F.col("data") == "training")
-    return finish(D.bottleneck_kpis(impact(spark, sf_dir), A.corridor_impact(A.corridor_stats(tr, False))))
+    return finish(D.bottleneck_kpis(impact(*graph(spark, sf_dir)), A.corridor_impact(A.corridor_stats(tr, False))))
 
 
 @query("sla_penalty_kpis")
 def _penalty(spark, sf_dir):
-    return finish(D.sla_penalty_kpis(impact(spark, sf_dir)))
+    return finish(D.sla_penalty_kpis(impact(*graph(spark, sf_dir))))
 
 
 @query("hub_scenarios")
 def _hub_scen(spark, sf_dir):
-    return finish(D.hub_scenarios(impact(spark, sf_dir)))
+    return finish(D.hub_scenarios(impact(*graph(spark, sf_dir))))
 
 
 @query("random_walks")
@@ -213,13 +214,13 @@ def _cooc(spark, sf_dir):
 
 @query("embeddings")
 def _emb(spark, sf_dir):
-    return finish(embeddings(spark, sf_dir))
+    return finish(embeddings(*graph(spark, sf_dir)))
 
 
 @query("merge_graph_features")
 def _merge(spark, sf_dir):
     from .analysis_q import features
     v, e = graph(spark, sf_dir)
-    gs = S.graph_statistics(v, e, cent(spark, sf_dir))
-    m = S.merge_graph_features(features(spark, sf_dir), embeddings(spark, sf_dir), gs)
+    gs = S.graph_statistics(v, e, cent(v, e))
+    m = S.merge_graph_features(features(spark, sf_dir), embeddings(v, e), gs)
     return finish(m.select("trip_uuid", *[c for c in m.columns if c.startswith(("src_", "dst_"))]))

@@ -30,8 +30,8 @@ def _graph_split(spark, sf_dir):
     from ..operators.graph import stats as S
     from .graph_q import cent, embeddings, graph
     v, e = graph(spark, sf_dir)
-    gs = S.graph_statistics(v, e, cent(spark, sf_dir))
-    m = cut(S.merge_graph_features(features(spark, sf_dir), embeddings(spark, sf_dir), gs))
+    gs = S.graph_statistics(v, e, cent(v, e))
+    m = cut(S.merge_graph_features(features(spark, sf_dir), embeddings(v, e), gs))
     cols = FEATURE_COLS + [c for c in m.columns if c.startswith(("src_", "dst_"))]
     return m.where(F.col("data") == "training"), m.where(F.col("data") == "test"), cols
 

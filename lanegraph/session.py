@@ -7,9 +7,6 @@ bench, and for iterative graph operators that must cut lineage.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -37,20 +34,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory of the session.
+    """The shared folder of the session, registered as checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (tests, local runs) a fresh scratch folder
-    is created and registered.
+    On a cluster ``spark.checkpoint.dir`` has to name it (an error otherwise);
+    only a local master gets a fresh scratch folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="lanegraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir()
+    from .scratch import shared_dir
+    path = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
+    return path

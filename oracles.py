@@ -606,16 +606,28 @@ SELECT gv.id, round(coalesce(a1, 0), 9) AS graph_nbr_avg_delay, round(coalesce(a
  round(coalesce(a5, 0), 9) AS graph_avg_edge_distance, coalesce(a6, 0) AS graph_num_neighbors
 FROM gv LEFT JOIN sx ON gv.id = sx.id""")
 
-register("core_subgraph", GRAPH + """
-SELECT src, dst FROM ge""")
-
-register("graph_route_type", """
-SELECT route_type, count(*) AS num_nodes FROM (
- SELECT DISTINCT route_type, id FROM (SELECT route_type, source_center AS id FROM legs WHERE data = 'training'
-   AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL
-  UNION ALL SELECT route_type, destination_center FROM legs WHERE data = 'training'
-   AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL))
-GROUP BY route_type""")
+register("core_subgraph", GRAPH + """,
+dg AS (SELECT id, count(*) AS d FROM (SELECT src AS id FROM ge UNION ALL SELECT dst FROM ge) GROUP BY id),
+top AS (SELECT id FROM gv LEFT JOIN dg USING (id) ORDER BY coalesce(d, 0) DESC, id LIMIT 60)
+SELECT src, dst FROM ge WHERE src IN (SELECT id FROM top) AND dst IN (SELECT id FROM top)""")
+
+_steps = [f"""w{i} AS MATERIALIZED (SELECT w{i - 1}.start, pt.dst AS node, sum(w{i - 1}.p * pt.p) AS p FROM w{i - 1} JOIN pt ON w{i - 1}.node = pt.src
+ GROUP BY w{i - 1}.start, pt.dst)""" for i in range(2, 6)]
+register("walk_expected_visits", GRAPH + """,
+pt AS MATERIALIZED (SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS p FROM ge),
+w1 AS MATERIALIZED (SELECT src AS start, dst AS node, p FROM pt),
+""" + ",\n".join(_steps) + """
+SELECT start, node, round(sum(p) * 50, 9) AS expected FROM (
+ """ + " UNION ALL ".join(f"SELECT * FROM w{i}" for i in range(1, 6)) + """) GROUP BY start, node""")
+
+_RT = """
+re AS (SELECT route_type, source_center AS src, destination_center AS dst, count(DISTINCT trip_uuid) AS frequency, avg(factor) AS weight
+ FROM legs WHERE data = 'training' AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL
+ GROUP BY route_type, source_center, destination_center)"""
+register("graph_route_type", _RT + """
+SELECT route_type, src, dst, frequency, round(weight, 9) AS weight FROM re""")
+register("graph_route_type_nodes", _RT + """
+SELECT route_type, src AS id FROM re UNION SELECT route_type, dst FROM re""")
 
 
 # ------------------------------------------------------------------------- audit

@@ -35,7 +35,7 @@ def rand_graph(spark):
 
 def test_pagerank(rand_graph):
     nodes, v, e, edges = rand_graph
-    got = {r.id: r.pr for r in C.pagerank(v, e, max_iter=200).collect()}
+    got = {r.id: r.pr for r in C.pagerank(v, e).collect()}
     ref = R.pagerank(nodes, edges, iters=200)
     assert all(R.isclose(got[k], ref[k]) for k in nodes)
     assert abs(sum(got.values()) - 1) < 1e-9
@@ -81,3 +81,50 @@ def test_walks_stop_at_sink(spark):
     nodes, v, e = _graph(spark, [("1", "2", 1.0)])
     visits = {(r.start, r.node): r.visits for r in W.random_walk_visits(v, e, num_walks=5, walk_length=3).collect()}
     assert visits == {("1", "2"): 5}
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    from lanegraph.operators.graph.core import connected_components
+    path = [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(64)]
+    star = [("h000", f"h{i:03d}") for i in range(1, 80)]
+    und = spark.createDataFrame(path + star, "a string, b string")
+    ids = spark.createDataFrame([(x,) for x in sorted({x for e in path + star for x in e} | {"lonely"})], "id string")
+    got = {r.id: r.component for r in connected_components(ids, und).collect()}
+    assert all(got[x] == ("p000" if x[0] == "p" else "h000") for x in got if x != "lonely") and got["lonely"] == "lonely"
+
+
+def test_sorted_index_is_contiguous(spark):
+    from pyspark.sql import functions as F
+    from lanegraph.operators.graph.core import sorted_index
+    df = spark.range(1000).select(F.concat(F.lit("k"), F.pmod(F.col("id") * 37, F.lit(1000)).cast("string")).alias("k")).repartition(5)
+    got = sorted_index(df, [F.col("k")], "i").orderBy("i").collect()
+    assert [r.i for r in got] == list(range(1000)) and [r.k for r in got] == sorted(r.k for r in got)
+
+
+def test_walk_intervals_touch_and_walkers_stay(spark):
+    random.seed(3)
+    edges = [(f"a{i}", f"a{random.randrange(12)}", random.random() + 0.01) for i in range(12) for _ in range(9)]
+    edges = list({(a, b): (a, b, w) for a, b, w in edges}.values())
+    _, v, e = _graph(spark, edges)
+    rows = W.transition_slots(e).select("src", "dst", "lo", "hi").distinct().orderBy("src", "lo").collect()
+    for src in {r.src for r in rows}:
+        own = [r for r in rows if r.src == src]
+        assert own[0].lo == 0.0 and own[-1].hi >= 1.0 and all(x.hi == y.lo for x, y in zip(own, own[1:]))
+    visits = W.random_walk_visits(v, e, num_walks=200, walk_length=4)
+    per_start = {r.start: r.n for r in visits.groupBy("start").agg({"visits": "sum"}).toDF("start", "n").collect()}
+    assert set(per_start.values()) == {800}                 # every vertex has a way out: no walker is lost or doubled
+    seen = {(r.start, r.node): r.visits for r in visits.collect()}
+    want = {(r.start, r.node): r.expected for r in W.expected_visits(v, e, walk_length=4, num_walks=200).collect()}
+    assert abs(sum(want.values()) - 800 * 12) < 1e-6
+    assert max(abs(seen.get(k, 0) - x) for k, x in want.items()) < 90
+
+
+def test_communities_reach_a_local_optimum(spark):
+    """Rings of cliques: every clique is found, whatever the order of moves."""
+    pairs = []
+    for c in range(6):
+        own = [f"c{c}n{i}" for i in range(5)]
+        pairs += [(a, b) for a in own for b in own if a < b] + [(own[0], f"c{(c + 1) % 6}n1")]
+    _, v, e = _graph(spark, _undirected(pairs))
+    got = {r.id: r.community for r in CM.communities(v, e).collect()}
+    assert len(set(got.values())) == 6 and all(len({got[x] for x in got if x.startswith(f"c{c}")}) == 1 for c in range(6))
