@@ -29,7 +29,7 @@ def degree_centrality(vertices: DataFrame, edges: DataFrame) -> DataFrame:
                     (F.col("out_deg") * s).alias("out_degree_centrality")))
 
 
-def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-13,
+def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tolerance: float = 1e-10,
              weight: str = "weight") -> DataFrame:
     """Weighted PageRank, uniform teleport, dangling mass spread uniformly.
 
