@@ -86,12 +86,18 @@ def corridor_impact(corridors: DataFrame) -> DataFrame:
     return out.withColumn("corridor_impact", impact).drop("_max_ratio", "_max_trips")
 
 
+def exact_avg(col: str):
+    """Mean from fixed-scale decimals: the sum doesn't depend on the order of
+    addition, so repeated runs agree in every digit."""
+    return F.sum(F.col(col).cast("decimal(28,12)")).cast("double") / F.count(col)
+
+
 def route_type_corridors(legs: DataFrame) -> DataFrame:
     """Per (route_type, source, destination): the FTL / Carting edge tables."""
     return (_keys_present(legs, ["route_type"] + CORRIDOR_KEYS)
             .groupBy("route_type", *CORRIDOR_KEYS)
-            .agg(F.avg("actual_time").alias("actual_time"), F.avg("osrm_time").alias("osrm_time"),
-                 F.avg("osrm_distance").alias("distance"), F.avg("factor").alias("delay_ratio"),
+            .agg(exact_avg("actual_time").alias("actual_time"), exact_avg("osrm_time").alias("osrm_time"),
+                 exact_avg("osrm_distance").alias("distance"), exact_avg("factor").alias("delay_ratio"),
                  F.count_distinct("trip_uuid").alias("frequency"))
             .withColumn("weight", F.col("delay_ratio")))
 

@@ -25,40 +25,52 @@ def clean_zero_to_null(df: DataFrame, cols=("segment_osrm_time", "segment_osrm_d
     return df.withColumns({c: F.nullif(F.col(c), F.lit(0.0)) for c in cols})
 
 
-def first_known_name(df: DataFrame, center: str, name: str) -> DataFrame:
-    """center → first non-null name in row order (one row per center).
+#: Most rows of the first-known-name table that are broadcast; it is counted first.
+BROADCAST_NAMES = 200_000
+ROLES = (("source_center", "source_name"), ("destination_center", "destination_name"))
 
-    ``min_by`` is a partial aggregate: each map task keeps one candidate per
-    center, so a hub holding a third of all rows costs one row per task.
-    """
-    return (df.where(F.col(name).isNotNull() & F.col(center).isNotNull())
-            .groupBy(center)
-            .agg(F.min_by(F.col(name), row_order(df)).alias("_known_name")))
+
+def first_known_names(df: DataFrame) -> DataFrame:
+    """(role, center) → first non-null name in row order, for both roles from
+    one pass.  ``min_by`` is a partial aggregate: a map task keeps one candidate
+    per center, so a hub holding a third of all rows costs one row per task."""
+    both = F.array(*[F.struct(F.lit(i).alias("role"), F.col(c).alias("center"), F.col(n).alias("name")) for i, (c, n) in enumerate(ROLES)])
+    return (df.select(row_order(df).alias("_at"), F.explode(both).alias("x")).where("x.name is not null and x.center is not null")
+            .groupBy("x.role", "x.center").agg(F.min_by("x.name", "_at").alias("known")))
 
 
 def backfill_names(df: DataFrame) -> DataFrame:
-    """NULL source/destination names ← first known name of the same center."""
+    """NULL source/destination names ← first known name of the same center.
+
+    Below a counted limit the names are broadcast and no row of ``df`` is
+    shuffled.  Beyond it only rows with a null name are joined by a shuffle
+    (the runtime splits a hot center); all others pass by untouched.
+    """
+    from .graph.core import cut
+    known = cut(first_known_names(df))
+    small = known.count() <= BROADCAST_NAMES
     out = df
-    for center, name in (("source_center", "source_name"), ("destination_center", "destination_name")):
-        known = first_known_name(df, center, name)
-        out = (out.join(known, on=center, how="left")
-               .withColumn(name, F.coalesce(F.col(name), F.col("_known_name")))
-               .drop("_known_name"))
-    return out.select(*df.columns)
+    for i, (center, name) in enumerate(ROLES):
+        own = known.where(F.col("role") == i).select(F.col("center").alias(center), F.col("known").alias("_known"))
+        if small:
+            out = out.join(F.broadcast(own), center, "left").withColumn(name, F.coalesce(F.col(name), F.col("_known"))).drop("_known")
+            out = out.select(*df.columns)
+        else:
+            filled = (out.where(F.col(name).isNull()).join(own, center, "left")
+                      .withColumn(name, F.col("_known")).drop("_known").select(*df.columns))
+            out = out.where(F.col(name).isNotNull()).unionByName(filled)
+    return out
 
 
 def clean_data(df: DataFrame) -> DataFrame:
-    """Repairs, parse names (before back-fill, as the source analysis does),
-    back-fill names, then the intrastate flag from the parsed states."""
+    """Repairs, parsed names (before back-fill, as the source analysis does),
+    back-filled names, then the intrastate flag from the parsed states.  The
+    parse rules are plain column expressions, evaluated in the scan's pass."""
     out = clean_zero_to_null(clean_negative_time(df))
-    # names are a small vocabulary: parse each distinct name once, join the fields back
-    names = (df.select(F.col("source_name").alias("_n")).union(df.select(F.col("destination_name").alias("_n")))
-             .where(F.col("_n").isNotNull()).distinct())
-    parsed = names.select("_n", *[v.alias(k) for k, v in parse_facility(F.col("_n"), "").items()])
+    parsed: dict = {}
     for col, pre in (("source_name", "source_"), ("destination_name", "dest_")):
-        p = parsed.select(F.col("_n").alias(col), *[F.col(k).alias(pre + k) for k in ("city", "state", "facility_type")])
-        out = out.join(p, col, "left")
-    out = backfill_names(out)
+        parsed |= parse_facility(F.col(col), pre)
+    out = backfill_names(out.withColumns(parsed))
     return out.withColumn("is_intrastate", null_safe_equal_int("source_state", "dest_state"))
 
 

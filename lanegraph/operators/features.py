@@ -39,8 +39,8 @@ TARGET_COL = "actual_time"
 PEAK_HOURS = [8, 9, 10, 17, 18, 19]
 NIGHT_HOURS = [22, 23, 0, 1, 2, 3, 4, 5]
 
-# Columns that leak the target (known only after arrival).
-LEAKY_COLS = ["actual_time", "od_end_time", "start_scan_to_end_scan", "actual_distance_to_destination",
+# Columns that leak the target (known only after arrival).
+LEAKY_COLS = ["actual_time", "cutoff_factor", "od_end_time", "start_scan_to_end_scan", "actual_distance_to_destination",
               "segment_actual_time", "factor", "segment_factor", "cutoff_timestamp"]
 
 
@@ -115,50 +115,45 @@ def spatial_features(df: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- encodings
 
-def fit_label_encoding(train: DataFrame, col: str, fill: str | None = "Unknown") -> DataFrame:
-    """Vocabulary of ``col`` on train → code = alphabetical rank - 1.
+LABEL_COLS = ("source_facility_type", "dest_facility_type", "source_state", "dest_state", "facility_type_pair")
+MEAN_COLS = ("source_center", "destination_center")
+#: Most rows of a fitted encoding that are broadcast; it is counted first.
+BROADCAST_CODES = 200_000
 
-    The window runs over the *distinct* values of a categorical column (its
-    vocabulary), not over rows.
-    """
-    v = F.coalesce(F.col(col), F.lit(fill)) if fill is not None else F.col(col)
-    vocab = train.select(v.alias("_value")).where(F.col("_value").isNotNull()).distinct()
-    return vocab.withColumn("_code", F.dense_rank().over(Window.orderBy("_value")) - 1)
-
-
-def apply_label_encoding(df: DataFrame, col: str, vocab: DataFrame, out: str,
-                         fill: str | None = "Unknown") -> DataFrame:
-    """Join the fitted vocabulary; unseen values → -1."""
-    v = F.coalesce(F.col(col), F.lit(fill)) if fill is not None else F.col(col)
-    return (df.withColumn("_value", v).join(vocab, "_value", "left")
-            .withColumn(out, F.coalesce(F.col("_code"), F.lit(-1)).cast("int"))
-            .drop("_value", "_code"))
 
+def _long(df: DataFrame, cols, *keep) -> DataFrame:
+    """(column, value, …) rows, one per listed column."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in cols.items()])
+    out = df.select(*keep, F.explode(pairs).alias("x"))
+    return out.select(*[c for c in out.columns if c != "x"], "x.column", "x.value")
 
-def fit_target_encoding(train: DataFrame, col: str, target: str = TARGET_COL) -> tuple[DataFrame, DataFrame]:
-    """Per-category mean target on train and the global train mean (one row)."""
-    means = (train.where(F.col(col).isNotNull()).groupBy(col)
-             .agg(F.avg(target).alias("_te")))
-    glob = train.agg(F.avg(target).alias("_te_global"))
-    return means, glob
 
+def encode_trips(trips: DataFrame, train: DataFrame) -> DataFrame:
+    """Target-encode centers and label-encode types/states/type pair, fitted on ``train``.
 
-def apply_target_encoding(df: DataFrame, col: str, means: DataFrame, glob: DataFrame, out: str) -> DataFrame:
+    All vocabularies come from one aggregate in long form, both target means
+    from another; what they give is counted and broadcast below a limit, so the
+    trip table is not shuffled for them.
+    """
     from .aggregate import one_row_join
-    joined = one_row_join(df.join(means, col, "left"), glob)
-    return joined.withColumn(out, F.coalesce("_te", "_te_global")).drop("_te", "_te_global")
-
-
-def encode_trips(trips: DataFrame, train: DataFrame) -> DataFrame:
-    """Target-encode centers and label-encode types/states/type pair, fitted on ``train``."""
-    out = trips
-    for col in ("source_center", "destination_center"):
-        means, glob = fit_target_encoding(train, col)
-        out = apply_target_encoding(out, col, means, glob, f"{col}_encoded")
-    for col in ("source_facility_type", "dest_facility_type", "source_state", "dest_state"):
-        out = apply_label_encoding(out, col, fit_label_encoding(train, col), f"{col}_encoded")
-    pair_vocab = fit_label_encoding(spatial_features(train), "facility_type_pair", fill=None)
-    return apply_label_encoding(out, "facility_type_pair", pair_vocab, "facility_type_pair_encoded", fill=None)
+    from .graph.core import cut
+    values = {c: (F.col(c) if c == "facility_type_pair" else F.coalesce(F.col(c), F.lit("Unknown"))) for c in LABEL_COLS}
+    vocab = _long(spatial_features(train), values).where("value is not null").distinct()
+    codes = cut(vocab.withColumn("code", (F.dense_rank().over(Window.partitionBy("column").orderBy("value")) - 1).cast("int")))
+    target = F.col(TARGET_COL).alias("_y")
+    means = cut(_long(train, {c: F.col(c) for c in MEAN_COLS}, target).where("value is not null")
+                .groupBy("column", "value").agg(F.avg("_y").alias("mean")))
+    hint = F.broadcast if codes.count() + means.count() <= BROADCAST_CODES else (lambda t: t)
+    out = one_row_join(trips, train.agg(F.avg(TARGET_COL).alias("_te_global")))
+    for c in MEAN_COLS:
+        own = means.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("mean").alias("_te"))
+        out = (out.join(hint(own), out[c] == own["_value"], "left").withColumn(f"{c}_encoded", F.coalesce("_te", "_te_global"))
+               .drop("_value", "_te"))
+    for c in LABEL_COLS:
+        own = codes.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        out = (out.join(hint(own), values[c] == own["_value"], "left").withColumn(f"{c}_encoded", F.coalesce("_code", F.lit(-1)).cast("int"))
+               .drop("_value", "_code"))
+    return out.drop("_te_global")
 
 
 def trip_features(trips: DataFrame, train_value: str = "training") -> DataFrame:

@@ -17,7 +17,7 @@ from ..operators.graph import cuts as X
 from ..operators.graph import stats as S
 from ..operators.graph import triangles as T
 from ..operators.graph import walks as W
-from .registry import finish, legs, query
+from .registry import above_ties, finish, legs, query
 
 
 def facilities(spark, sf_dir):
@@ -105,7 +105,7 @@ def _core(spark, sf_dir):
 def _g_rt(spark, sf_dir):
     rc = A.route_type_corridors(legs(spark, sf_dir).where(F.col("data") == "training"))
     _, e = G.route_type_graph(rc)
-    return finish(e.select("route_type", "src", "dst", "frequency", "weight"))
+    return finish(above_ties(e.select("route_type", "src", "dst", "frequency", "weight"), "weight"))
 
 
 @query("graph_route_type_nodes")

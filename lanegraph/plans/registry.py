@@ -50,3 +50,9 @@ def finish(df: DataFrame, digits: int = 9) -> DataFrame:
         elif t.startswith("timestamp"):
             out[c] = F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
     return df.withColumns(out) if out else df
+
+
+def above_ties(df: DataFrame, *cols: str) -> DataFrame:
+    """Move exact ties of the presented rounding to one side, alike in any engine."""
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.col(c) + F.lit(1e-12) for c in cols})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.facility import facility_type_from_name, parse_facility, state_from_last_paren
 from ..operators import aggregate as A
 from ..operators import clean as C
-from .registry import clean_legs, finish, legs, query
+from .registry import above_ties, clean_legs, finish, legs, query
 
 
 @query("scan_segments")
@@ -77,7 +77,8 @@ def _names(spark, sf_dir):
 
 @query("agg_route_type_corridors")
 def _rt(spark, sf_dir):
-    return finish(A.route_type_corridors(legs(spark, sf_dir).where(F.col("data") == "training")))
+    rc = A.route_type_corridors(legs(spark, sf_dir).where(F.col("data") == "training"))
+    return finish(above_ties(rc, "actual_time", "osrm_time", "distance", "delay_ratio", "weight"))
 
 
 @query("all_facilities")

@@ -284,9 +284,9 @@ SELECT coalesce(fn_s.facility_id, fn_d.facility_id) AS facility_id, coalesce(fn_
 FROM fn_s FULL OUTER JOIN fn_d ON fn_s.facility_id = fn_d.facility_id""")
 
 register("agg_route_type_corridors", """
-SELECT route_type, source_center, destination_center, round(avg(actual_time), 9) AS actual_time, round(avg(osrm_time), 9) AS osrm_time,
- round(avg(osrm_distance), 9) AS distance, round(avg(factor), 9) AS delay_ratio, count(DISTINCT trip_uuid) AS frequency,
- round(avg(factor), 9) AS weight
+SELECT route_type, source_center, destination_center, round(CAST(sum(CAST(actual_time AS DECIMAL(28,12))) AS DOUBLE) / count(actual_time) + 1e-12, 9) AS actual_time, round(CAST(sum(CAST(osrm_time AS DECIMAL(28,12))) AS DOUBLE) / count(osrm_time) + 1e-12, 9) AS osrm_time,
+ round(CAST(sum(CAST(osrm_distance AS DECIMAL(28,12))) AS DOUBLE) / count(osrm_distance) + 1e-12, 9) AS distance, round(CAST(sum(CAST(factor AS DECIMAL(28,12))) AS DOUBLE) / count(factor) + 1e-12, 9) AS delay_ratio, count(DISTINCT trip_uuid) AS frequency,
+ round(CAST(sum(CAST(factor AS DECIMAL(28,12))) AS DOUBLE) / count(factor) + 1e-12, 9) AS weight
 FROM legs WHERE data = 'training' AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL
 GROUP BY route_type, source_center, destination_center""")
 
@@ -621,11 +621,11 @@ SELECT start, node, round(sum(p) * 50, 9) AS expected FROM (
  """ + " UNION ALL ".join(f"SELECT * FROM w{i}" for i in range(1, 6)) + """) GROUP BY start, node""")
 
 _RT = """
-re AS (SELECT route_type, source_center AS src, destination_center AS dst, count(DISTINCT trip_uuid) AS frequency, avg(factor) AS weight
+re AS (SELECT route_type, source_center AS src, destination_center AS dst, count(DISTINCT trip_uuid) AS frequency, CAST(sum(CAST(factor AS DECIMAL(28,12))) AS DOUBLE) / count(factor) AS weight
  FROM legs WHERE data = 'training' AND route_type IS NOT NULL AND source_center IS NOT NULL AND destination_center IS NOT NULL
  GROUP BY route_type, source_center, destination_center)"""
 register("graph_route_type", _RT + """
-SELECT route_type, src, dst, frequency, round(weight, 9) AS weight FROM re""")
+SELECT route_type, src, dst, frequency, round(weight + 1e-12, 9) AS weight FROM re""")
 register("graph_route_type_nodes", _RT + """
 SELECT route_type, src AS id FROM re UNION SELECT route_type, dst FROM re""")
 
