@@ -91,8 +91,7 @@ def business_metrics(preds: DataFrame, y: str = "y", p: str = "y_pred", osrm: st
     aggs = [acc(0.10).alias("accuracy_at_10"), acc(0.15).alias("accuracy_at_15"),
             acc(0.20).alias("accuracy_at_20"), acc(0.30).alias("accuracy_at_30"),
             (F.avg(F.when(nz, late.cast("double"))) * 100).alias("late_delivery_rate"),
-            F.avg(F.abs(yc - pc)).alias("avg_prediction_error_min"),
-            F.median(F.abs(yc - pc)).alias("median_prediction_error_min")]
+            F.avg(F.abs(yc - pc)).alias("avg_prediction_error_min")]
     if osrm:
         oc = F.col(osrm)
         orel = F.when(nz, F.abs(yc - oc) / yc)
@@ -100,7 +99,9 @@ def business_metrics(preds: DataFrame, y: str = "y", p: str = "y_pred", osrm: st
                  (acc(0.15) - acc(0.15, orel)).alias("improvement_over_osrm"),
                  F.avg(F.abs(yc - oc)).alias("osrm_avg_error_min")]
     aggs.append((F.count_if(late) * AVG_SHIPMENT_VALUE * LATE_PENALTY_RATE).alias("estimated_revenue_at_risk"))
-    return preds.agg(*aggs)
+    from .quantiles import one_quantiles
+    error = preds.select(F.abs(yc - pc).alias("_e"))
+    return one_row_join(preds.agg(*aggs), one_quantiles(error, "_e", {"median_prediction_error_min": 0.5}))
 
 
 def _actions(hub: bool) -> Column:

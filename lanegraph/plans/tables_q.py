@@ -89,3 +89,16 @@ def _allf(spark, sf_dir):
 @query("graph_time_aware")
 def _time_aware(spark, sf_dir):
     return finish(A.time_aware_corridors(legs(spark, sf_dir).where(F.col("data") == "training")))
+
+
+@query("parse_datetimes")
+def _parse_times(spark, sf_dir):
+    from ..sources.segments import as_text, parse_datetimes
+    got = parse_datetimes(as_text(legs(spark, sf_dir)))
+    return finish(got.select("trip_uuid", "seg_no", "trip_creation_time", "od_start_time", "od_end_time", "cutoff_timestamp"))
+
+
+@query("profile_datetimes")
+def _profile_times(spark, sf_dir):
+    from ..sources.segments import as_text, profile_datetimes
+    return finish(profile_datetimes(as_text(legs(spark, sf_dir))))

@@ -144,13 +144,23 @@ def parse_datetimes(df: DataFrame, columns=TIMESTAMP_COLUMNS) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def datetime_validity(df: DataFrame, raw: DataFrame, columns=TIMESTAMP_COLUMNS) -> DataFrame:
-    """Share of non-null raw values that parsed, per column (one row, long form)."""
-    cols = [c for c in columns if c in df.columns and c in raw.columns]
-    rows = [F.struct(F.lit(c).alias("column"),
-                     (F.count(F.col(c)) * 100.0 / F.count("*")).alias("pct_valid")) for c in cols]
-    return df.select(F.explode(F.array(*rows)).alias("r")).select("r.*") if not rows else \
-        df.agg(F.array(*rows).alias("a")).select(F.explode("a").alias("r")).select("r.*")
+def as_text(df: DataFrame, columns=TIMESTAMP_COLUMNS) -> DataFrame:
+    """Timestamps rendered as a text export would hold them: fractional seconds
+    on end times, and a text that is no time in every fifth segment's cutoff."""
+    out = {c: F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss") for c in columns if c in df.columns}
+    out["od_end_time"] = F.concat(out["od_end_time"], F.lit(".250000"))
+    out["cutoff_timestamp"] = F.when(F.col("seg_no") % 5 == 0, F.lit("no time")).otherwise(out["cutoff_timestamp"])
+    return df.withColumns(out)
+
+
+def profile_datetimes(raw: DataFrame, columns=TIMESTAMP_COLUMNS) -> DataFrame:
+    """Per text column: rows, parsed rows, their share, first and last time."""
+    cols = [c for c in columns if c in raw.columns]
+    df = parse_datetimes(raw, cols)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("at")) for c in cols])).alias("x")).select("x.*")
+    return long.groupBy("column").agg(F.count("*").alias("rows"), F.count("at").alias("parsed"),
+                                      (F.count("at") * 100.0 / F.count("*")).alias("pct_valid"),
+                                      F.min("at").alias("first"), F.max("at").alias("last"))
 
 
 def load_and_prepare(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -653,14 +653,26 @@ SELECT source_center, destination_center, route_type, count(*) AS rows FROM legs
 register("trip_structure", """
 t AS (SELECT trip_uuid, count(*) AS n FROM legs GROUP BY trip_uuid)
 SELECT round(avg(n), 9) AS mean_segments, round(median(n), 9) AS median_segments, min(n) AS min_segments,
- max(n) AS max_segments, count(*) AS trips FROM t""")
+ max(n) AS max_segments, count(*) AS trips, round(avg(CASE WHEN n = 1 THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS single_segment_pct,
+ round(avg(CASE WHEN n > 1 THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS multi_segment_pct FROM t""")
+register("trip_size_distribution", """
+SELECT segments, count(*) AS trips FROM (SELECT trip_uuid, count(*) AS segments FROM legs GROUP BY trip_uuid) GROUP BY segments""")
+register("temporal_range", """
+SELECT strftime(min(trip_creation_time), '%Y-%m-%d %H:%M:%S') AS first, strftime(max(trip_creation_time), '%Y-%m-%d %H:%M:%S') AS last,
+ date_diff('day', min(trip_creation_time), max(trip_creation_time)) AS span_days FROM legs""")
 register("schedule_structure", """
 s AS (SELECT route_schedule_uuid, count(*) AS n, count(DISTINCT route_type) AS k FROM legs GROUP BY route_schedule_uuid)
-SELECT count(*) AS schedules, round(avg(n), 9) AS mean_rows, count(*) FILTER (WHERE k = 1) AS single_type,
+SELECT count(*) AS schedules, round(avg(n), 9) AS mean_rows, max(n) AS max_rows, count(*) FILTER (WHERE k = 1) AS single_type,
  count(*) FILTER (WHERE k > 1) AS multi_type FROM s""")
 register("temporal_profile", """
 SELECT 'hour' AS unit, hour(trip_creation_time) AS value, count(*) AS rows FROM legs GROUP BY 2
 UNION ALL SELECT 'weekday', isodow(trip_creation_time) - 1, count(*) FROM legs GROUP BY 2""")
+LEG_TYPES = {"data": "string", "trip_creation_time": "timestamp_ntz", "route_schedule_uuid": "string", "route_type": "string", "trip_uuid": "string",
+             "seg_no": "bigint", "source_center": "string", "source_name": "string", "destination_center": "string", "destination_name": "string",
+             "od_start_time": "timestamp_ntz", "od_end_time": "timestamp_ntz", "start_scan_to_end_scan": "double", "is_cutoff": "boolean",
+             "cutoff_factor": "int", "cutoff_timestamp": "timestamp_ntz", "actual_distance_to_destination": "double", "osrm_time": "double",
+             "osrm_distance": "double", "actual_time": "double", "factor": "double", "segment_actual_time": "double",
+             "segment_osrm_time": "double", "segment_osrm_distance": "double", "segment_factor": "double"}
 _P = [0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99]
 register("target_percentiles", "SELECT " + ", ".join(
     f"round(quantile_cont(actual_time, {p}), 9) AS p{int(round(p * 100)):02d}" for p in _P)
@@ -680,15 +692,19 @@ _ST = "CASE WHEN contains({n}, '(') AND contains({n}, ')') THEN trim(replace(str
 register("state_profile", f"""
 s AS (SELECT {_ST.format(n='source_name')} AS ss, {_ST.format(n='destination_name')} AS ds FROM legs)
 SELECT count(DISTINCT ss) AS source_states, count(DISTINCT ds) AS dest_states,
- round(avg(CASE WHEN ss = ds THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS intra_pct FROM s""")
+ round(avg(CASE WHEN ss = ds THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS intra_pct,
+ round(avg(CASE WHEN ss = ds THEN 0.0E0 ELSE 1.0E0 END) * 100, 9) AS inter_pct FROM s""")
+register("top_states", f"""
+SELECT {_ST.format(n='source_name')} AS state, count(*) AS segments FROM legs GROUP BY 1 HAVING state IS NOT NULL
+ORDER BY segments DESC, state LIMIT 10""")
 register("factor_profile", """
 SELECT route_type, round(avg(factor), 9) AS factor_mean, round(median(factor), 9) AS factor_median,
  round(avg(CASE WHEN factor > 1.3 THEN 1.0E0 ELSE 0.0E0 END) * 100, 9) AS pct_over_1_3,
  count(*) FILTER (WHERE factor <= 1.0) AS on_time, count(*) FILTER (WHERE factor > 1.0 AND factor <= 1.3) AS mild,
  count(*) FILTER (WHERE factor > 1.3 AND factor <= 2.0) AS moderate, count(*) FILTER (WHERE factor > 2.0) AS severe
-FROM legs GROUP BY route_type""")
+FROM (SELECT route_type, factor FROM legs UNION ALL SELECT 'ALL', factor FROM legs) GROUP BY route_type""")
 register("cutoff_profile", """
-SELECT is_cutoff, count(*) AS rows, round(avg(cutoff_factor), 9) AS cutoff_factor_mean, min(cutoff_factor) AS cutoff_factor_min,
+SELECT is_cutoff, count(*) AS rows, round(avg(cutoff_factor), 9) AS cutoff_factor_mean, count(DISTINCT cutoff_factor) AS cutoff_factor_distinct, min(cutoff_factor) AS cutoff_factor_min,
  max(cutoff_factor) AS cutoff_factor_max FROM legs GROUP BY is_cutoff""")
 register("profile_missing", "\nUNION ALL ".join(
     f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS missing, "
@@ -696,11 +712,13 @@ register("profile_missing", "\nUNION ALL ".join(
 _nulls = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in LEG_COLS)
 register("quality_summary", f"""
 SELECT count(*) AS rows, sum({_nulls}) AS missing_cells, count(*) FILTER (WHERE segment_actual_time < 0) AS negative_segment_time,
- count(*) FILTER (WHERE segment_osrm_time = 0) AS zero_planned_time,
+ count(*) FILTER (WHERE segment_osrm_time = 0) AS zero_planned_time, count(*) FILTER (WHERE actual_time <= 0) AS bad_actual_time,
+ count(*) FILTER (WHERE osrm_time <= 0) AS bad_osrm_time, count(*) FILTER (WHERE osrm_distance <= 0) AS bad_distance,
+ {" + ".join(f"CAST(count({c}) = count(*) AS INT)" for c in LEG_COLS)} AS complete_columns,
  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM legs)) AS duplicate_rows,
  round(100.0E0 - sum({_nulls}) * 100.0E0 / (count(*) * {len(LEG_COLS)}), 9) AS completeness_pct FROM legs""")
 
-_PC = ["actual_time", "osrm_time", "osrm_distance", "factor", "segment_actual_time", "segment_osrm_time"]
+_PC = _NUM + ["actual_time"]
 
 
 def _profile(c: str) -> str:
@@ -721,6 +739,9 @@ def _profile(c: str) -> str:
 
 register("profile_columns", "\nUNION ALL ".join(_profile(c) for c in _PC))
 
+register("profile_types", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column, '{t}' AS type, count({c}) AS non_null, count(DISTINCT {c}) AS distinct FROM legs" for c, t in LEG_TYPES.items()))
+
 _TXT = ["data", "route_schedule_uuid", "route_type", "trip_uuid", "source_center", "source_name",
         "destination_center", "destination_name"]
 register("profile_top_values", """
@@ -729,3 +750,11 @@ ct AS (SELECT "column", value, count(*) AS count FROM lv WHERE value IS NOT NULL
 rk AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS rank,
   round(count * 100.0E0 / sum(count) OVER (PARTITION BY "column"), 9) AS pct FROM ct)
 SELECT "column", value, count, rank, pct FROM rk WHERE rank <= 10""")
+
+_TS = ["trip_creation_time", "od_start_time", "od_end_time", "cutoff_timestamp"]
+_CUT = {c: (f"CASE WHEN seg_no % 5 = 0 THEN NULL ELSE {c} END" if c == "cutoff_timestamp" else c) for c in _TS}
+_FMT = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+register("parse_datetimes", "SELECT trip_uuid, seg_no, " + ", ".join(f"{_FMT.format(_CUT[c])} AS {c}" for c in _TS) + " FROM legs")
+register("profile_datetimes", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) AS rows, count({_CUT[c]}) AS parsed, round(count({_CUT[c]}) * 100.0E0 / count(*), 9) AS pct_valid, "
+    f"{_FMT.format(f'min({_CUT[c]})')} AS first, {_FMT.format(f'max({_CUT[c]})')} AS last FROM legs" for c in _TS))
