@@ -39,12 +39,15 @@ def in_shards(docs: DataFrame, n: int, id_col: str, text_col: str, *extra) -> Da
     return src.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
 
-def pack(shard: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
+def pack(shard: int, keys: np.ndarray, counts: np.ndarray, buckets: int, short: bool = False) -> pa.Table:
     """Rows to send: sorted distinct ``keys`` cut at the buckets' borders
-    (a bucket is the leading bits of a key)."""
+    (a bucket is the leading bits of a key).  ``short`` sends only the 32 bits
+    after those, for keys that may meet by chance."""
     bits = buckets.bit_length() - 1
     edge = np.append(np.searchsorted(keys, np.arange(buckets, dtype=np.uint64) << np.uint64(64 - bits)) if bits else [0], len(keys))
     live = np.flatnonzero(np.diff(edge))
+    if short:
+        keys = (keys >> np.uint64(32 - bits)).astype(np.uint32)
     return pa.table({
         "shard": pa.array(np.full(len(live), shard), pa.int32()), "bucket": pa.array(live, pa.int32()),
         "keys": pa.array([keys[edge[b]:edge[b + 1]].tobytes() for b in live], pa.binary()),
@@ -55,6 +58,21 @@ def unpack(table: pa.Table, column: str, dtype) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), dtype) if x.is_valid else np.zeros(0, dtype) for x in table.column(column).combine_chunks()]
 
 
+def squeeze(data: np.ndarray) -> bytes:
+    """Compressed bytes of an array, its length in front."""
+    raw = np.ascontiguousarray(data).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def expand(table: pa.Table, column: str, dtype) -> list[np.ndarray]:
+    """Arrays of a column of squeezed bytes."""
+    out = []
+    for x in table.column(column).combine_chunks():
+        raw = x.as_py()
+        out.append(np.frombuffer(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True), dtype))
+    return out
+
+
 def totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """(distinct keys, totals, place of every sent key among them)."""
     if not keys:

@@ -10,9 +10,9 @@ doesn't depend on the length of the document.
 
 Signatures are cut into bands.  Within a band only the pairs with one centre
 are formed (never all pairs) and every pair is verified exactly on the element
-sets.  Verified links are closed by star-based components; members that are
-then in another class than their centre meet again in sub-groups that share a
-further band.
+sets.  Verified links are closed by star-based components.  Members that are
+then in another class than their centre are compared among themselves in groups
+of bounded size; larger groups are divided by a further band.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from .shingles import GOLD, chunks, mix, utf8_buffer, word_hashes
 
 LOW44 = np.uint64((1 << 44) - 1)
 UNIT = 2.0 ** -53
+#: Most members of a group that is finished within one task.
+GROUP = 256
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -225,49 +227,92 @@ def _label(rows: DataFrame, labels: DataFrame | None, col: str, out: str) -> Dat
     return rows.join(own, col, "left").withColumn(out, F.coalesce(out, col))
 
 
+def _coarse(x: np.ndarray, slots: int = 64) -> np.ndarray:
+    """Smallest hash of a set in each of ``slots`` classes (one permutation)."""
+    h = mix(x.astype(np.uint64) * GOLD)
+    out = np.full(slots, ~np.uint64(0))
+    np.minimum.at(out, (h & np.uint64(slots - 1)).astype(np.int64), h)
+    return out
+
+
+def _finish_group(similarity: float):
+    def run(key, table):
+        """Links of a group of at most ``GROUP`` members: every member against
+        those after it, coarse sketches first, then the exact similarity."""
+        rid = table.column("rid").to_numpy()
+        order = np.argsort(rid)
+        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("elems").combine_chunks()]
+        rid, sets = rid[order], [sets[i] for i in order]
+        coarse = np.stack([_coarse(x) for x in sets])
+        size = np.array([len(x) for x in sets])
+        a, b = [], []
+        for i in range(len(rid) - 1):
+            near = (coarse[i + 1:] == coarse[i]).mean(1) >= similarity - 0.25
+            near &= np.minimum(size[i + 1:], size[i]) >= similarity * np.maximum(size[i + 1:], size[i])
+            for j in (np.flatnonzero(near) + i + 1).tolist():
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both >= similarity * (size[i] + size[j] - both):
+                    a.append(rid[i])
+                    b.append(rid[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return run
+
+
+def _merged(labels: DataFrame | None, found: DataFrame, scratch: Scratch, name: str) -> DataFrame | None:
+    """Classes after adding the links ``found``, closed on the classes so far."""
+    between = _label(_label(found, labels, "a", "ra"), labels, "b", "rb").where("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    between = scratch.write(between.distinct(), f"links{name}")
+    if between.isEmpty():
+        return labels
+    step = star_components(between, scratch=scratch)
+    if labels is None:
+        return step
+    moved = _label(labels.select("id", F.col("component").alias("old")), step, "old", "component").select("id", "component")
+    return scratch.write(moved.unionByName(step.join(labels.select("id"), "id", "left_anti")), f"labels{name}")
+
+
 def _classes_of(keyed: DataFrame, sets: DataFrame, bands_of: DataFrame, similarity: float, scratch: Scratch) -> DataFrame | None:
     """(id, component) of all linked nodes; None without any link.
 
-    ``keyed``: (rid, band, key).  Level by level: the members of a key are
-    compared with one of them, chosen by a hash of key and member, so that a
-    member meets another centre in each of its bands.  Members of another class
-    than their centre go on to the next level, keyed by one further band.
+    ``keyed``: (rid, band, key).  The members of a key are compared with one of
+    them, the centre: the member whose keys are shared most in all (an original
+    shares more keys with its copies than any copy does).  Of the members that
+    are then in another class than their centre, groups of up to ``GROUP`` are
+    finished within a task; larger ones are divided by one further band and go
+    through the same again.
     """
-    labels, level, near = None, 0, None
+    labels, level, near, weight = None, 0, None, None
     while True:
-        keyed = scratch.write(keyed, f"keys{level}")
-        centre = F.min(F.struct(F.xxhash64("key", "rid").alias("h"), "rid")).alias("c")
-        groups = scratch.write(keyed.groupBy("key").agg(centre, F.count("*").alias("n")).where("n > 1")
-                               .select("key", F.col("c.rid").alias("a")), f"groups{level}")
-        joined = scratch.write(keyed.join(groups, "key").where("rid != a").select("key", "band", "a", "rid"), f"members{level}")
-        scratch.drop(keyed, groups)
-        pairs = scratch.write(joined.select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b")).distinct(), f"pairs{level}")
+        shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+        members = scratch.write(keyed.join(shared, "key"), f"members{level}")
+        if weight is None:
+            weight = scratch.write(members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key")
+                                   .groupBy("rid").agg(F.sum("n").alias("weight")), "weights")
+        top = members.join(weight, "rid").groupBy("key").agg(F.max(F.struct("weight", "rid")).alias("c"))
+        joined = scratch.write(members.join(top.select("key", F.col("c.rid").alias("a")), "key").where("rid != a")
+                               .select("key", "band", "a", "rid"), f"joined{level}")
+        pairs = joined.select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b")).distinct()
         if near is None:
-            # of the element sets, only those of members are moved, once for all levels; as they outgrow
+            pairs = scratch.write(pairs, "pairs")
+            # of the element sets only those of members are moved, once for all levels; as they outgrow
             # any broadcast the join is the same at every size
             ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
             near = scratch.write(sets.hint("merge").join(ids.hint("merge"), "rid", "left_semi"), "sets")
-        sims = scratch.write(_verify(pairs, near), f"sims{level}")
-        found = sims.where(F.col("sim") >= similarity).select("a", "b")
-        # links between classes so far, closed on the classes
-        between = _label(_label(found, labels, "a", "ra"), labels, "b", "rb").where("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        between = scratch.write(between.distinct(), f"links{level}")
-        if not between.isEmpty():
-            step = star_components(between, scratch=scratch)
-            if labels is None:
-                labels = step
-            else:
-                moved = _label(labels.select("id", F.col("component").alias("old")), step, "old", "component").select("id", "component")
-                fresh_ids = step.join(labels.select("id"), "id", "left_anti")
-                labels = scratch.write(moved.unionByName(fresh_ids), f"labels{level}")
+        found = _verify(pairs, near).where(F.col("sim") >= similarity).select("a", "b")
+        labels = _merged(labels, found, scratch, str(level))
         apart = _label(_label(joined, labels, "a", "ra"), labels, "rid", "rb").where("ra != rb").select("key", "band", "rid")
         apart = scratch.write(apart, f"apart{level}")
-        scratch.drop(joined, pairs, sims, between)
-        if apart.isEmpty():
+        scratch.drop(members, joined)
+        sizes = scratch.write(apart.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"sizes{level}")
+        small = apart.join(sizes.where(F.col("n") <= GROUP).select("key"), "key").select("key", "rid")
+        links = small.join(near, "rid").groupBy("key").applyInArrow(_finish_group(similarity), "a long, b long")
+        labels = _merged(labels, links.distinct(), scratch, f"{level}-small")
+        large = sizes.where(F.col("n") > GROUP).select("key")
+        if large.isEmpty():
             return labels
-        keyed = (apart.select("rid", F.col("key").alias("k0"), F.col("band").alias("b0")).join(bands_of, "rid")
-                 .select("rid", "k0", "b0", F.posexplode("bands").alias("band", "k1")).where("band > b0")
-                 .select("rid", "band", F.xxhash64("k0", "k1").alias("key")))
+        keyed = (apart.join(large, "key").select("rid", F.col("key").alias("k0"), F.col("band").alias("b0")).join(bands_of, "rid")
+                 .select("rid", "k0", "b0", F.posexplode(F.expr("slice(bands, b0 + 2, size(bands))")).alias("at", "k1"))
+                 .select("rid", (F.col("b0") + 1 + F.col("at")).alias("band"), F.xxhash64("k0", "k1").alias("key")))
         level += 1
 
 
@@ -290,12 +335,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sk = scratch.write(sketch(docs, id_col, text_col, size, bands, rows).withColumn("rid", rid), "sketches")
     worded = sk.where(F.size("bands") > 0)
     # rows with the same words collapse to their first row
-    copies = scratch.write(worded.groupBy("d1", "d2").agg(F.min("rid").alias("node")), "copies")
-    nodes = copies.select(F.col("node").alias("rid"))
-    sets = sk.select("rid", "elems")
-
-    keyed = sk.select("rid", "bands").join(nodes, "rid", "left_semi").select("rid", F.posexplode("bands").alias("band", "key"))
-    labels = _classes_of(keyed, sets, sk.select("rid", "bands"), similarity, scratch)
+    copies = scratch.write(worded.groupBy("d1", "d2").agg(F.min(F.struct("rid", "bands")).alias("first"))
+                           .select("d1", "d2", F.col("first.rid").alias("node"), F.col("first.bands").alias("bands")), "copies")
+    nodes = copies.select(F.col("node").alias("rid"), "bands")
+    keyed = nodes.select("rid", F.posexplode("bands").alias("band", "key"))
+    labels = _classes_of(keyed, sk.select("rid", "elems"), nodes, similarity, scratch)
+    copies = copies.drop("bands")
     member = (worded.select("doc_id", "tkey", "rid", "d1", "d2").join(copies, ["d1", "d2"])
               .select("doc_id", "tkey", "rid", "node"))
     member = _label(member, labels, "node", "root").select("doc_id", "tkey", "rid", "root")

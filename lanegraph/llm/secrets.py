@@ -81,14 +81,15 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", max_identifier_doc
     return found.unionByName(ids)
 
 
-def train(samples: DataFrame, prior: float = 0.5) -> list[float]:
+def train(samples: DataFrame, prior: float = 0.5, backoff: float = 4.0) -> list[float]:
     """Log-likelihood ratios, random against identifier, of every pair of
     ASCII characters as a flat 128×128 table.
 
     ``samples``: (sample string, random boolean); nulls are skipped.  Counts
     are Spark aggregates; what reaches the driver is at most two rows per pair
     of alphabet characters, whatever the input.  ``prior`` is added to every
-    count, so an untrained model is uniform.
+    character's count, and each row of pairs is drawn towards the characters'
+    shares with the weight of ``backoff`` pairs; an untrained model is uniform.
     """
     pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("sample") - 1),
                                  lambda i: F.substring(F.col("sample"), i, F.lit(2))))
@@ -96,13 +97,20 @@ def train(samples: DataFrame, prior: float = 0.5) -> list[float]:
               .where(F.col("pair").rlike("^[A-Za-z0-9+/_-]{2}$"))
               .groupBy("random", "pair").agg(F.count("*").alias("n")).collect())
     table = {(r["random"], r["pair"]): r["n"] for r in counts}
+    size = len(ALPHABET)
+    p = {}
+    for lab in (True, False):
+        seen = {b: sum(table.get((lab, a + b), 0) for a in ALPHABET) for b in ALPHABET}
+        total = sum(seen.values())
+        share = {b: (seen[b] + prior) / (total + prior * size) for b in ALPHABET}     # for rows never seen
+        for a in ALPHABET:
+            row = sum(table.get((lab, a + b), 0) for b in ALPHABET)
+            for b in ALPHABET:
+                p[lab, a, b] = (table.get((lab, a + b), 0) + backoff * share[b]) / (row + backoff)
     llr = [0.0] * (128 * 128)
     for a in ALPHABET:
-        rows = {lab: sum(table.get((lab, a + b), 0) for b in ALPHABET) + prior * len(ALPHABET) for lab in (True, False)}
         for b in ALPHABET:
-            p = (table.get((True, a + b), 0) + prior) / rows[True]
-            q = (table.get((False, a + b), 0) + prior) / rows[False]
-            llr[ord(a) * 128 + ord(b)] = math.log(p / q)
+            llr[ord(a) * 128 + ord(b)] = math.log(p[True, a, b] / p[False, a, b])
     return llr
 
 

@@ -209,7 +209,8 @@ def test_top_k_against_all_scores(spark, edge, empty):
         if i is None or i % 20 or not t:
             assert i not in got
             continue
-        ask = sorted(count[n], key=lambda w: (-count[n][w] * idf[w], w))[:12]
+        own = {w: idf[w] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * sum(count[n].values()) / mean)) for w, c in count[n].items() if df[w] > 1}
+        ask = sorted(own, key=lambda w: (-own[w], w))[:12]
         score = {m: sum(idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for w in ask if w in c) for m, c in count.items()}
         best = sorted((round(-s, 9), 10 ** 9 if rows[m][0] is None else rows[m][0]) for m, s in score.items() if s > 0)[:10]
         assert [(round(-s, 9), 10 ** 9 if d is None else d) for _, d, s in sorted(got[i])] == best, i
