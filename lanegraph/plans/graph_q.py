@@ -192,7 +192,7 @@ def _kpis(spark, sf_dir):
 
 @query("sla_penalty_kpis")
 def _penalty(spark, sf_dir):
-    return finish(D.sla_penalty_kpis(impact(*graph(spark, sf_dir))))
+    return finish(D.sla_penalty_kpis(impact(*graph(spark, sf_dir))), 6)
 
 
 @query("hub_scenarios")

