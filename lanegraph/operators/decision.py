@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bands import severity_band
 from .aggregate import one_row_join
 
 # Business assumptions of the decision metrics.
@@ -23,6 +24,10 @@ UPGRADE_ACTIONS = [
     ("Optimize Process Flow (-15% Handling Time)", 0.15, 2.0, False),
     ("Reroute Non-Urgent Carting Traffic", 0.25, 0.0, False),
 ]
+# Thresholds of the severity bands and of a short payback.
+HUB_BANDS = (70, 40)
+CORRIDOR_BANDS = (60, 30)
+SHORT_PAYBACK_MONTHS = 3
 BASE_SLA_BREACH = 0.18
 PENALTY_PER_BREACH = 25
 
@@ -127,7 +132,26 @@ def upgrade_scenarios(targets: DataFrame, key_cols, current_delay: Column, throu
         "annual_recovery_lakh": annual,
     }).withColumn("payback_months",
                   F.when((F.col("capex_lakh") > 0) & (F.col("annual_recovery_lakh") > 0),
-                         F.col("capex_lakh") / (F.col("annual_recovery_lakh") / 12)).otherwise(F.lit(0.0)))
+                         F.col("capex_lakh") / (F.col("annual_recovery_lakh") / 12)).otherwise(F.lit(0.0))).withColumns({
+        "net_first_year_lakh": annual - F.col("capex_lakh"),
+        "breaches_prevented": F.col("throughput") * (F.lit(base_sla) - F.lit(base_sla) * (1 - r)),
+        "recommendation": scenario_recommendation(F.col("payback_months"))})
+
+
+def scenario_recommendation(payback_months: Column) -> Column:
+    """``deploy`` without a payback period, ``approve`` with a short one, else ``consider_others``."""
+    return (F.when(payback_months == 0, F.lit("deploy")).when((payback_months > 0) & (payback_months < SHORT_PAYBACK_MONTHS), F.lit("approve"))
+            .otherwise(F.lit("consider_others")))
+
+
+def corridor_severity(corridors: DataFrame) -> DataFrame:
+    """High/Medium/Low band of every corridor's impact."""
+    return corridors.withColumn("severity", severity_band("corridor_impact", *CORRIDOR_BANDS))
+
+
+def hub_severity(hubs: DataFrame) -> DataFrame:
+    """High/Medium/Low band of every hub's normalised impact."""
+    return hubs.withColumn("severity", severity_band("impact_score_normalized", *HUB_BANDS))
 
 
 def corridor_scenarios(corridors: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators import decision as D
 from ..operators import delay as DL
 from ..operators import features as FE
 from ..operators import marts as M
-from .registry import clean_legs, finish, legs, query
+from .registry import above_ties, clean_legs, finish, legs, query
 
 TEMPORAL = ["creation_hour", "creation_day_of_week", "creation_is_weekend", "creation_is_peak",
             "creation_is_night", "creation_day_of_month", "creation_week_of_year", "start_hour", "start_is_peak"]
@@ -132,6 +132,12 @@ def _impact(spark, sf_dir):
                   .select("source_center", "destination_center", "corridor_impact"))
 
 
+@query("corridor_severity")
+def _corr_sev(spark, sf_dir):
+    c = finish(A.corridor_impact(train_corridors(spark, sf_dir, False)).select("source_center", "destination_center", "corridor_impact"))
+    return D.corridor_severity(c)
+
+
 @query("top_bottleneck_corridors")
 def _top_corr(spark, sf_dir):
     c = finish(A.corridor_impact(train_corridors(spark, sf_dir, False))
@@ -158,7 +164,7 @@ def _business(spark, sf_dir):
 
 @query("upgrade_scenarios")
 def _scenarios(spark, sf_dir):
-    return finish(D.corridor_scenarios(train_corridors(spark, sf_dir, False)))
+    return finish(above_ties(D.corridor_scenarios(train_corridors(spark, sf_dir, False)), "net_first_year_lakh", "annual_recovery_lakh"))
 
 
 @query("rule_route_recommendation")

@@ -155,20 +155,20 @@ def _gstats(spark, sf_dir):
 
 @query("impact_score")
 def _impact(spark, sf_dir):
-    return finish(impact(*graph(spark, sf_dir)))
+    return finish(D.hub_severity(impact(*graph(spark, sf_dir))), 6)
 
 
 @query("top_bottleneck_hubs")
 def _top_hubs(spark, sf_dir):
     i = finish(impact(*graph(spark, sf_dir)).select("facility_id", "name", "impact_score_normalized", "throughput",
-                                            "sla_breach_pct"))
+                                            "sla_breach_pct"), 6)
     return i.orderBy(F.desc("impact_score_normalized"), "facility_id").limit(10)
 
 
 @query("dependency_score")
 def _dep(spark, sf_dir):
     return finish(S.dependency_score(impact(*graph(spark, sf_dir)), facilities(spark, sf_dir))
-                  .select("facility_id", "dependency_score"))
+                  .select("facility_id", "dependency_score"), 6)
 
 
 @query("network_summary")
@@ -192,12 +192,12 @@ def _kpis(spark, sf_dir):
 
 @query("sla_penalty_kpis")
 def _penalty(spark, sf_dir):
-    return finish(D.sla_penalty_kpis(impact(*graph(spark, sf_dir))), 6)
+    return finish(D.sla_penalty_kpis(impact(*graph(spark, sf_dir))), 3)
 
 
 @query("hub_scenarios")
 def _hub_scen(spark, sf_dir):
-    return finish(D.hub_scenarios(impact(*graph(spark, sf_dir))))
+    return finish(above_ties(D.hub_scenarios(impact(*graph(spark, sf_dir))), "net_first_year_lakh", "annual_recovery_lakh"), 4)
 
 
 @query("random_walks")

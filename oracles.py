@@ -435,6 +435,9 @@ ci AS (SELECT cs.*, (coalesce(sla_breach_pct, 0.0E0) * 0.4 + CASE WHEN mr = 0 TH
    + CASE WHEN mt = 0 THEN NULL ELSE CAST(trip_count AS DOUBLE) / mt END * 0.3) * 100 AS corridor_impact FROM cs CROSS JOIN mx)"""
 register("corridor_impact", IMPACT + """
 SELECT source_center, destination_center, round(corridor_impact, 9) AS corridor_impact FROM ci""")
+register("corridor_severity", IMPACT + """
+SELECT source_center, destination_center, round(corridor_impact, 9) AS corridor_impact,
+ CASE WHEN round(corridor_impact, 9) > 60 THEN 'High' WHEN round(corridor_impact, 9) > 30 THEN 'Medium' ELSE 'Low' END AS severity FROM ci""")
 register("top_bottleneck_corridors", IMPACT + """
 SELECT source_center, destination_center, round(corridor_impact, 9) AS corridor_impact, round(delay_ratio_mean, 9) AS delay_ratio_mean,
  round(sla_breach_pct, 9) AS sla_breach_pct, trip_count FROM ci ORDER BY corridor_impact DESC, source_center, destination_center LIMIT 15""")
@@ -474,8 +477,11 @@ sx AS (SELECT source_center, destination_center, actual_time_mean AS current_del
 sy AS (SELECT *, (throughput * 0.18 * 25 - throughput * (0.18 * (1 - r)) * 25) * 365 / 100000 AS annual FROM sx)
 SELECT source_center, destination_center, round(current_delay, 9) AS current_delay, round(throughput, 9) AS throughput, action,
  round(r, 9) AS delay_reduction_pct, round(capex_lakh, 9) AS capex_lakh, round(current_delay * (1 - r), 9) AS projected_delay,
- round(0.18 * (1 - r), 9) AS new_sla_breach, round(annual, 9) AS annual_recovery_lakh,
- round(CASE WHEN capex_lakh > 0 AND annual > 0 THEN capex_lakh / (annual / 12) ELSE 0.0E0 END, 9) AS payback_months FROM sy""")
+ round(0.18 * (1 - r), 9) AS new_sla_breach, round(annual + 1e-12, 9) AS annual_recovery_lakh,
+ round(CASE WHEN capex_lakh > 0 AND annual > 0 THEN capex_lakh / (annual / 12) ELSE 0.0E0 END, 9) AS payback_months,
+ round(annual - capex_lakh + 1e-12, 9) AS net_first_year_lakh, round(throughput * (0.18 - 0.18 * (1 - r)), 9) AS breaches_prevented,
+ CASE WHEN NOT (capex_lakh > 0 AND annual > 0) OR capex_lakh / (annual / 12) = 0 THEN 'deploy'
+  WHEN capex_lakh / (annual / 12) < 3 THEN 'approve' ELSE 'consider_others' END AS recommendation FROM sy""")
 register("rule_route_recommendation", CORR_LITE + """
 SELECT source_center, destination_center, round(osrm_distance_mean, 9) AS osrm_distance_mean,
  CASE WHEN round(osrm_distance_mean, 9) > 200 THEN 'FTL' WHEN round(osrm_distance_mean, 9) < 100 THEN 'Carting' ELSE 'Model decides' END AS recommendation,
@@ -794,25 +800,29 @@ im AS MATERIALIZED (SELECT *, CASE WHEN max(impact_score) OVER () > 0 THEN impac
 
 register("betweenness_centrality", GRAPH + BETWEEN + " SELECT id, round(betweenness, 9) AS betweenness FROM bt")
 register("impact_score", GRAPH + SCORE + """
-SELECT facility_id, name, type, throughput, round(avg_delay, 9) AS avg_delay, round(sla_breach_pct, 9) AS sla_breach_pct,
- round(betweenness, 9) AS betweenness, round(pagerank, 9) AS pagerank, round(impact_score, 9) AS impact_score,
- round(impact_score_normalized, 9) AS impact_score_normalized FROM im""")
+SELECT facility_id, name, type, throughput, round(avg_delay, 6) AS avg_delay, round(sla_breach_pct, 6) AS sla_breach_pct,
+ round(betweenness, 6) AS betweenness, round(pagerank, 6) AS pagerank, round(impact_score, 6) AS impact_score,
+ round(impact_score_normalized, 6) AS impact_score_normalized,
+ CASE WHEN impact_score_normalized > 70 THEN 'High' WHEN impact_score_normalized > 40 THEN 'Medium' ELSE 'Low' END AS severity FROM im""")
 register("top_bottleneck_hubs", GRAPH + SCORE + """
-SELECT facility_id, name, round(impact_score_normalized, 9) AS impact_score_normalized, throughput, round(sla_breach_pct, 9) AS sla_breach_pct
-FROM im ORDER BY round(impact_score_normalized, 9) DESC, facility_id LIMIT 10""")
+SELECT facility_id, name, round(impact_score_normalized, 6) AS impact_score_normalized, throughput, round(sla_breach_pct, 6) AS sla_breach_pct
+FROM im ORDER BY round(impact_score_normalized, 6) DESC, facility_id LIMIT 10""")
 register("dependency_score", GRAPH + SCORE + """
-SELECT facility_id, round(throughput * coalesce(out_degree, 0) * impact_score_normalized / 100000, 9) AS dependency_score FROM im""")
+SELECT facility_id, round(throughput * coalesce(out_degree, 0) * impact_score_normalized / 100000, 6) AS dependency_score FROM im""")
 register("sla_penalty_kpis", GRAPH + SCORE + """
-SELECT 1500000 * 0.18 * 25 AS daily_penalty, round(1500000 * 0.18 * 25 * 365, 9) AS annual_penalty, round(1500000 * 0.18 * 25 * 365 * 0.35, 9) AS recoverable_annual,
- round(sum(throughput * impact_score_normalized / 100 * 0.18 * 25), 6) AS hub_daily_risk_total FROM im""")
+SELECT 1500000 * 0.18 * 25 AS daily_penalty, round(1500000 * 0.18 * 25 * 365, 6) AS annual_penalty, round(1500000 * 0.18 * 25 * 365 * 0.35, 6) AS recoverable_annual,
+ round(sum(throughput * impact_score_normalized / 100 * 0.18 * 25), 3) AS hub_daily_risk_total FROM im""")
 register("hub_scenarios", GRAPH + SCORE + """,
 hx AS (SELECT facility_id, impact_score_normalized * 1.5 AS current_delay, CAST(throughput AS DOUBLE) AS throughput, a.action,
   CAST(a.r AS DOUBLE) AS r, CAST(a.capex_lakh AS DOUBLE) AS capex_lakh FROM im CROSS JOIN (SELECT action, delay_reduction_pct AS r, capex_lakh FROM """ + _ACTIONS + """
   UNION ALL SELECT 'Deploy Automated Sorter (Hub Only)', 0.45, 45.0) a),
 hy AS (SELECT *, (throughput * 0.18 * 25 - throughput * (0.18 * (1 - r)) * 25) * 365 / 100000 AS annual FROM hx)
-SELECT facility_id, round(current_delay, 9) AS current_delay, round(throughput, 9) AS throughput, action, round(r, 9) AS delay_reduction_pct,
- round(capex_lakh, 9) AS capex_lakh, round(current_delay * (1 - r), 9) AS projected_delay, round(0.18 * (1 - r), 9) AS new_sla_breach,
- round(annual, 9) AS annual_recovery_lakh, round(CASE WHEN capex_lakh > 0 AND annual > 0 THEN capex_lakh / (annual / 12) ELSE 0.0E0 END, 9) AS payback_months FROM hy""")
+SELECT facility_id, round(current_delay, 4) AS current_delay, round(throughput, 4) AS throughput, action, round(r, 4) AS delay_reduction_pct,
+ round(capex_lakh, 4) AS capex_lakh, round(current_delay * (1 - r), 4) AS projected_delay, round(0.18 * (1 - r), 4) AS new_sla_breach,
+ round(annual + 1e-12, 4) AS annual_recovery_lakh, round(CASE WHEN capex_lakh > 0 AND annual > 0 THEN capex_lakh / (annual / 12) ELSE 0.0E0 END, 4) AS payback_months,
+ round(annual - capex_lakh + 1e-12, 4) AS net_first_year_lakh, round(throughput * (0.18 - 0.18 * (1 - r)), 4) AS breaches_prevented,
+ CASE WHEN NOT (capex_lakh > 0 AND annual > 0) OR capex_lakh / (annual / 12) = 0 THEN 'deploy'
+  WHEN capex_lakh / (annual / 12) < 3 THEN 'approve' ELSE 'consider_others' END AS recommendation FROM hy""")
 register("bottleneck_kpis", GRAPH + SCORE + """,
 kc AS (SELECT source_center, destination_center, avg(factor) AS ratio, count(DISTINCT trip_uuid) AS trips, avg(CASE WHEN factor > 1.5 THEN 1.0E0 ELSE 0.0E0 END) AS sla
   FROM tr WHERE source_center IS NOT NULL AND destination_center IS NOT NULL GROUP BY source_center, destination_center),
