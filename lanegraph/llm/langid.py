@@ -4,8 +4,9 @@ Languages are distributions over hashed letter trigrams, counted over all
 training texts.  A text is a mixture of languages: expectation-maximisation
 estimates its proportions, and the set of languages is chosen by penalised
 likelihood, growing from the strongest one as long as another language gains
-more than the penalty.  The empty set stands for the uniform distribution, so
-a text that no language explains better than chance is recognised as such.
+more than the penalty.  The empty set stands for the uniform distribution: a
+text that languages explain worse than chance, and of which chance takes most
+in a mixture with them, has no language (a key within a sentence doesn't do that).
 """
 
 from __future__ import annotations
@@ -144,7 +145,7 @@ def mixture(row: np.ndarray, n: np.ndarray, p: np.ndarray, share: np.ndarray, ro
     return share, best
 
 
-def infer(data: np.ndarray, offsets: np.ndarray, model: Model, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def infer(data: np.ndarray, offsets: np.ndarray, model: Model, penalty: float, noise: float = 0.8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shares of the chosen set, chosen set as booleans, log-likelihood gain
     per trigram over chance) of every row."""
     n_rows, n_lang = len(offsets) - 1, len(model.languages)
@@ -177,7 +178,17 @@ def infer(data: np.ndarray, offsets: np.ndarray, model: Model, penalty: float) -
         chosen[ok], share[ok], ll[ok] = tried[ok], s[gain], l2[gain]
         growing[at[~gain]] = False
     fit = np.where(size > 0, ll / np.maximum(size, 1) + np.log(GRAMS), 0.0)
-    chosen &= (fit > 0)[:, None]
+    # worse than chance as a whole: without a language only if chance also takes most of a mixture with it
+    poor = np.flatnonzero(fit <= 0)
+    if len(poor):
+        back = np.full(n_rows, -1)
+        back[poor] = np.arange(len(poor))
+        use = back[row] >= 0
+        both = np.concatenate([p[use], np.full((int(use.sum()), 1), 1.0 / GRAMS)], 1)
+        start = np.concatenate([chosen[poor] / np.maximum(chosen[poor].sum(1, keepdims=True), 1), np.ones((len(poor), 1))], 1) / 2
+        mixed, _ = mixture(back[row[use]], n[use], both, start)
+        chosen[poor[mixed[:, -1] >= noise]] = False
+        chosen[size == 0] = False
     return share, chosen, fit
 
 

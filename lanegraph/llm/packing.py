@@ -59,7 +59,7 @@ def _tokenise(tokenizer, capacity: int, end_id: int, group_bytes: int):
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id",
-           text_col: str = "text", group_bytes: int = 4 << 20) -> DataFrame:
+           text_col: str = "text", group_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document.
 
     The ids of a document are those of the tokenizer without special tokens,

@@ -206,7 +206,7 @@ def _encode(model, threads: int, with_ids: bool, verify: bool, group_bytes: int)
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", threads: int = 2, with_ids: bool = True,
-           verify: bool = True, group_bytes: int = 4 << 20) -> DataFrame:
+           verify: bool = True, group_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, ids, n_tokens, ids_crc32 (little-endian unsigned 32 bits),
     parity (the sentencepiece library gives the same ids for every run) and
     round_trip (decoding gives the text again).

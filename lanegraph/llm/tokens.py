@@ -111,7 +111,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, fine: bool) -> tuple[np.ndarray,
 class RunMemo:
     """Ids of runs seen so far in this task, at most ``limit`` of them."""
 
-    def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 600_000, fine: bool = True,
+    def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 300_000, fine: bool = True,
                  split=None):
         self.encode, self.limit = encode, limit
         self.split = split or (lambda data, offsets: runs(data, offsets, fine))

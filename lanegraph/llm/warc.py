@@ -221,8 +221,8 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     narrow = pages.select(pages[key].cast("long").alias("key"), F.octet_length(text_of(pages, html)).alias("n_bytes"))
     borders = shard_borders(narrow, shard_bytes)
     n = max(1, len(borders) + 1)
-    # a shard is one range of whole keys, so no shard is divided between tasks
-    placed = (records.withColumn("shard", _shard_of(borders).cast("int")).repartition(n, "shard")
+    # a shard is one range of whole keys and one task: its number is the partition
+    placed = (records.withColumn("shard", _shard_of(borders).cast("int")).repartitionById(n, F.col("shard"))
               .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "url", "html")
               .select("shard", "key", "url", "html", "refers"))
     wrote = scratch.write(placed.mapInArrow(_writer(folder, roll_bytes, level), MANIFEST), "wrote")
@@ -321,4 +321,4 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Records of a committed archive, one row each; digests are verified."""
     files = spark.read.parquet(f"{folder}/manifest").select("name")
     n = files.count()
-    return files.repartition(max(1, n), "name").mapInArrow(_reader(folder), RECORDS)
+    return files.repartition(max(1, n)).mapInArrow(_reader(folder), RECORDS)
