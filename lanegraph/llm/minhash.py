@@ -293,7 +293,7 @@ def _classes_of(keyed: DataFrame, sets: DataFrame, bands_of: DataFrame, similari
                                .select("key", "band", "a", "rid"), f"joined{level}")
         pairs = joined.select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b")).distinct()
         if near is None:
-            pairs = scratch.write(pairs, "pairs")
+            pairs = first_pairs = scratch.write(pairs, "pairs")
             # of the element sets only those of members are moved, once for all levels; as they outgrow
             # any broadcast the join is the same at every size
             ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
@@ -309,6 +309,7 @@ def _classes_of(keyed: DataFrame, sets: DataFrame, bands_of: DataFrame, similari
         labels = _merged(labels, links.distinct(), scratch, f"{level}-small")
         large = sizes.where(F.col("n") > GROUP).select("key")
         if large.isEmpty():
+            scratch.drop(near, weight, first_pairs)
             return labels
         keyed = (apart.join(large, "key").select("rid", F.col("key").alias("k0"), F.col("band").alias("b0")).join(bands_of, "rid")
                  .select("rid", "k0", "b0", F.posexplode(F.expr("slice(bands, b0 + 2, size(bands))")).alias("at", "k1"))
@@ -340,7 +341,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = copies.select(F.col("node").alias("rid"), "bands")
     keyed = nodes.select("rid", F.posexplode("bands").alias("band", "key"))
     labels = _classes_of(keyed, sk.select("rid", "elems"), nodes, similarity, scratch)
-    copies = copies.drop("bands")
+    written, copies = copies, copies.drop("bands")
     member = (worded.select("doc_id", "tkey", "rid", "d1", "d2").join(copies, ["d1", "d2"])
               .select("doc_id", "tkey", "rid", "node"))
     member = _label(member, labels, "node", "root").select("doc_id", "tkey", "rid", "root")
@@ -348,6 +349,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     member = scratch.write(member.unionByName(alone), "members")
     ranked = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     classes = scratch.write(member.groupBy("root").agg(F.min(ranked).alias("best"), F.count("*").alias("class_size")), "classes")
+    scratch.drop(sk, written)
     return member.join(classes, "root").select("doc_id", F.col("best.doc_id").alias("class_id"), "class_size",
                                                (F.col("rid") == F.col("best.rid")).alias("kept"), "tkey")
 

@@ -214,6 +214,7 @@ def pack(items: DataFrame, capacity: int = 4096, block_items: int = 8192, nearly
     done, deal = None, 0
     while True:
         placed = scratch.write(_deal(items, block_items, capacity, deal), f"deal{deal}")
+        scratch.drop(items)
         low = placed.where(F.col("fill") < int(capacity * nearly_full))
         id_of = (F.lit(deal).cast("long") * F.lit(1 << 56) + F.col("block") * F.lit(1 << 16) + F.col("bin")).alias("sequence_id")
         before = low.select("block", "bin").distinct().count()
