@@ -79,7 +79,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8_buffer(batch.column("text"))
         langs = batch.column("lang").dictionary_encode()
         names, code = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-        for i, j in chunks(offsets):
+        for i, j in chunks(offsets, 1 << 18):
             row, gram, n = grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             lang = code[i:j][row]
             for k in np.unique(lang).tolist():
@@ -202,7 +202,7 @@ def _predict(model, penalty: float):
         for batch in batches:
             data, offsets = utf8_buffer(batch.column("text"))
             known = batch.column("letters").to_numpy(zero_copy_only=False) & bool(m.languages)
-            for i, j in chunks(offsets):
+            for i, j in chunks(offsets, 1 << 18):
                 k = j - i
                 ok = known[i:j]
                 if m.languages:
@@ -260,7 +260,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", penal
         for batch in batches:
             data, offsets = utf8_buffer(batch.column(low))
             keep = batch.column(letters).to_numpy(zero_copy_only=False).copy()
-            for i, j in chunks(offsets):
+            for i, j in chunks(offsets, 1 << 18):
                 if m.languages:
                     keep[i:j] &= infer(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], m, penalty)[1].any(1)
             yield batch.select(names).filter(pa.array(keep, pa.bool_()))

@@ -172,7 +172,7 @@ def _sketch(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8_buffer(batch.column("text"))
-            for i, j in chunks(offsets):
+            for i, j in chunks(offsets, 1 << 18):
                 part, off = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
                 ids, weight, owner, sets, border, digest = elements(part, off, size)
                 sig = signatures(ids, weight.astype(np.int64), owner, j - i, bands * rows)
