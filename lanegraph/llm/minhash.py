@@ -143,7 +143,7 @@ def elements(data: np.ndarray, offsets: np.ndarray, size: int = 5):
     steps = np.arange(1, size + 1, dtype=np.uint64) * GOLD
     for j in range(size):
         step = mix(h + steps[j])
-        key[:len(h) - j] += step[j:]
+        key[:max(0, len(h) - j)] += step[j:]
         if j + 1 < size:
             short = (words[row] == j + 1) & (place == 0)
             if short.any():

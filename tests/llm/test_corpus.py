@@ -91,6 +91,15 @@ def test_signature_agreement_is_weighted_jaccard():
             assert abs((sig[i] == sig[j]).mean() - true) < 0.05
 
 
+def test_elements_of_few_short_rows():
+    for texts in ([""], ["a"], ["a b", ""], ["", "", "x y z"], ["a b c d e"], [" "]):
+        ids, weight, row, sets, border, digest = M.elements(*utf8_buffer(pa.array(texts)))
+        assert len(border) == len(texts) + 1 and border[-1] == len(sets) == weight.sum()
+        assert [int(border[i + 1] - border[i]) for i in range(len(texts))] == [int(bool(t.split())) for t in texts]
+        sig = M.signatures(ids, weight, row, len(texts), 25)
+        assert [(s != 0).all() for s in sig] == [bool(t.split()) for t in texts]
+
+
 def test_near_classes_against_brute_force(spark, edge, empty):
     rng = random.Random(2)
     words = [f"v{i}" for i in range(3000)]
