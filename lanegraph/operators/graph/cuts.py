@@ -69,20 +69,22 @@ def _tree_tables(vertices: DataFrame, edges: DataFrame):
     return und, non_tree, info
 
 
-def bridges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Cut edges of the undirected simple graph, as ``(a, b)`` with a < b."""
-    _, _, info = _tree_tables(vertices, edges)
+def _cut_edges(info: DataFrame) -> DataFrame:
+    """Tree edges that no non-tree edge leaving the child's subtree replaces."""
     return (info.where(F.col("parent").isNotNull() & (F.col("low") >= F.col("pre"))
                        & (F.col("high") < F.col("pre") + F.col("size")))
             .select(F.least("parent", "id").alias("a"), F.greatest("parent", "id").alias("b")))
 
 
+def bridges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """Cut edges of the undirected simple graph, as ``(a, b)`` with a < b."""
+    return _cut_edges(_tree_tables(vertices, edges)[2])
+
+
 def critical_infrastructure(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(articulation points ``(id)``, bridges ``(a, b)``) from one forest."""
     _, non_tree, info = _tree_tables(vertices, edges)
-    br = (info.where(F.col("parent").isNotNull() & (F.col("low") >= F.col("pre"))
-                     & (F.col("high") < F.col("pre") + F.col("size")))
-          .select(F.least("parent", "id").alias("a"), F.greatest("parent", "id").alias("b")))
+    br = _cut_edges(info)
     # auxiliary graph: one vertex per tree edge, named by its child endpoint
     nodes = info.where(F.col("parent").isNotNull()).select("id")
     iu = info.select(F.col("id").alias("u"), F.col("pre").alias("pu"), F.col("size").alias("su"))

@@ -77,13 +77,6 @@ def facility_selectors(trips: DataFrame) -> DataFrame:
     return s.union(d).where(F.col("facility_id").isNotNull()).distinct().orderBy("role", "facility_id")
 
 
-def corridor_trip_lookup(trips: DataFrame, source: Column, destination: Column) -> DataFrame:
-    """Trips of one corridor with actual vs planned time and the diagonal's upper bound."""
-    sel = trips.where((F.col("source_center") == source) & (F.col("destination_center") == destination))
-    bound = sel.agg(F.greatest(F.max("actual_time"), F.max("osrm_time")).alias("axis_max"))
-    return one_row_join(sel.select("trip_uuid", "actual_time", "osrm_time"), bound)
-
-
 def busiest_corridor(trips: DataFrame) -> DataFrame:
     """(source, destination) with the most trips; ties by key (one row)."""
     return (trips.groupBy("source_center", "destination_center").agg(F.count("*").alias("_n"))

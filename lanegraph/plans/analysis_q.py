@@ -10,6 +10,7 @@ from ..operators import decision as D
 from ..operators import delay as DL
 from ..operators import features as FE
 from ..operators import marts as M
+from ..operators.graph.core import cut
 from .registry import above_ties, clean_legs, finish, legs, query
 
 TEMPORAL = ["creation_hour", "creation_day_of_week", "creation_is_weekend", "creation_is_peak",
@@ -27,6 +28,11 @@ def train_corridors(spark, sf_dir, with_medians=True):
     return A.corridor_stats(legs(spark, sf_dir).where(F.col("data") == "training"), with_medians=with_medians)
 
 
+def corridor_table(spark, sf_dir):
+    """The training corridors, written once for queries that read them twice."""
+    return cut(train_corridors(spark, sf_dir, with_medians=False))
+
+
 def features(spark, sf_dir):
     return FE.trip_features(trips(spark, sf_dir))
 
@@ -115,12 +121,12 @@ def _sla_totals(spark, sf_dir):
 
 @query("sla_contribution")
 def _sla_contrib(spark, sf_dir):
-    return finish(DL.sla_contribution(train_corridors(spark, sf_dir, False)))
+    return finish(DL.sla_contribution(corridor_table(spark, sf_dir)))
 
 
 @query("run_delay_analysis")
 def _run_delay(spark, sf_dir):
-    r = DL.run_delay_analysis(train_corridors(spark, sf_dir, False))
+    r = DL.run_delay_analysis(corridor_table(spark, sf_dir))
     return finish(A.one_row_join(r["summary"], r["sla_totals"].drop("total_corridors")))
 
 
@@ -128,19 +134,19 @@ def _run_delay(spark, sf_dir):
 
 @query("corridor_impact")
 def _impact(spark, sf_dir):
-    return finish(A.corridor_impact(train_corridors(spark, sf_dir, False))
+    return finish(A.corridor_impact(corridor_table(spark, sf_dir))
                   .select("source_center", "destination_center", "corridor_impact"))
 
 
 @query("corridor_severity")
 def _corr_sev(spark, sf_dir):
-    c = finish(A.corridor_impact(train_corridors(spark, sf_dir, False)).select("source_center", "destination_center", "corridor_impact"))
+    c = finish(A.corridor_impact(corridor_table(spark, sf_dir)).select("source_center", "destination_center", "corridor_impact"))
     return D.corridor_severity(c)
 
 
 @query("top_bottleneck_corridors")
 def _top_corr(spark, sf_dir):
-    c = finish(A.corridor_impact(train_corridors(spark, sf_dir, False))
+    c = finish(A.corridor_impact(corridor_table(spark, sf_dir))
                .select("source_center", "destination_center", "corridor_impact", "delay_ratio_mean",
                        "sla_breach_pct", "trip_count"))
     return c.orderBy(F.desc("corridor_impact"), "source_center", "destination_center").limit(15)
@@ -199,9 +205,9 @@ def _etaf(spark, sf_dir):
 
 @query("histograms")
 def _hist(spark, sf_dir):
-    t = trips(spark, sf_dir)
+    t = cut(trips(spark, sf_dir))
     tr = legs(spark, sf_dir).where(F.col("data") == "training")
-    c = A.corridor_stats(tr, with_medians=False)
+    c = cut(A.corridor_stats(tr, with_medians=False))
     h1 = M.histogram(t, F.col("actual_time"), 30, "trip_time")
     h2 = M.histogram(c, F.least(F.col("delay_ratio_mean"), F.lit(10.0)), 50, "delay_ratio")
     h3 = M.histogram(t.where(F.col("route_type") == "FTL"), F.least(F.col("actual_time"), F.lit(2000.0)), 30,
@@ -218,7 +224,7 @@ def _selectors(spark, sf_dir):
 
 @query("corridor_trip_lookup")
 def _lookup(spark, sf_dir):
-    t = trips(spark, sf_dir)
+    t = cut(trips(spark, sf_dir))
     key = M.busiest_corridor(t)
     sel = t.join(F.broadcast(key), ["source_center", "destination_center"])  # key is one row
     bound = sel.agg(F.greatest(F.max("actual_time"), F.max("osrm_time")).alias("axis_max"))

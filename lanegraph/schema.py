@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType,
+from pyspark.sql.types import (BooleanType, DoubleType, IntegerType,
                                StringType, StructField, StructType)
 
 # Raw segment observation as delivered in the CSV export (24 columns).
@@ -50,5 +50,3 @@ DELAY_BANDS = ((0.0, 1.3, "Healthy"), (1.3, 2.0, "Moderate"), (2.0, 3.0, "Severe
 SLA_FACTOR = 1.5
 
 SEG_ORDER = "seg_no"
-
-ROW_ID_TYPE = LongType()
