@@ -24,16 +24,3 @@ def text_of(df: DataFrame, col: str = "text") -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only (``lower`` would fold other scripts too)."""
     return F.translate(text, UPPER, UPPER.lower())
-
-
-def table_bytes(spark, path: str) -> int:
-    """Size of the files of a table, through Spark's own file system layer."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(p).getLength()
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame (file sizes for a plain scan)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
