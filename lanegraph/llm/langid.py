@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, text_of
-from .shingles import chunks, utf8_buffer
+from .shingles import chunks, trimmed, utf8_buffer
 
 BITS = 15
 GRAMS = 1 << BITS
@@ -104,7 +104,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", prior
     at most ``GRAMS`` counts per language."""
     src = docs.where(docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(
         docs[lang_col].cast("string").alias("lang"), F.lower(text_of(docs, text_col)).alias("text"))
-    counted = src.mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = src.mapInArrow(trimmed(_count), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     table = counted.toArrow()
     langs = table.column("lang").to_pylist()
     languages = sorted(set(langs))
@@ -233,7 +233,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     text = text_of(docs, text_col)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), F.lower(text).alias("text"),
                       text.rlike(r"\p{L}").alias("letters"))
-    return src.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), penalty), PREDICTED)
+    return src.mapInArrow(trimmed(_predict(docs.sparkSession.sparkContext.broadcast(model), penalty)), PREDICTED)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", mod: int = 4,
@@ -266,4 +266,4 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", penal
             yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return (docs.withColumns({low: F.lower(text), letters: text.rlike(r"\p{L}")}).mapInArrow(run, docs.schema).select(*names))
+    return (docs.withColumns({low: F.lower(text), letters: text.rlike(r"\p{L}")}).mapInArrow(trimmed(run), docs.schema).select(*names))

@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from ..operators.graph.components import star_components
 from ..scratch import Scratch
 from .common import fresh, text_of
-from .shingles import GOLD, chunks, mix, utf8_buffer, word_hashes
+from .shingles import GOLD, chunks, mix, trimmed, utf8_buffer, word_hashes
 
 LOW44 = np.uint64((1 << 44) - 1)
 UNIT = 2.0 ** -53
@@ -198,7 +198,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     element set of every document (``rid`` numbers the rows once written)."""
     text = text_of(docs, text_col)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), F.lower(text).alias("text"))
-    return src.mapInArrow(_sketch(size, bands, rows), SKETCH)
+    return src.mapInArrow(trimmed(_sketch(size, bands, rows)), SKETCH)
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +216,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, sim) of the pairs."""
     left = sets.select(F.col("rid").alias("a"), F.col("elems").alias("ea"))
     right = sets.select(F.col("rid").alias("b"), F.col("elems").alias("eb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb").mapInArrow(_similar, "a long, b long, sim double")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb").mapInArrow(trimmed(_similar), "a long, b long, sim double")
 
 
 def _label(rows: DataFrame, labels: DataFrame | None, col: str, out: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch
 from .common import text_of
-from .shingles import chunks, utf8_buffer
+from .shingles import chunks, trimmed, utf8_buffer
 from .tokens import RunMemo, word_end_encoder
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -59,7 +59,7 @@ def _tokenise(tokenizer, capacity: int, end_id: int, group_bytes: int):
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id",
-           text_col: str = "text", group_bytes: int = 1 << 20) -> DataFrame:
+           text_col: str = "text", group_bytes: int = 1 << 19) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document.
 
     The ids of a document are those of the tokenizer without special tokens,
@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
     with open(tokenizer) as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
-    return src.mapInArrow(_tokenise(sent, capacity, end_id, group_bytes), PIECES)
+    return src.mapInArrow(trimmed(_tokenise(sent, capacity, end_id, group_bytes)), PIECES)
 
 
 # ------------------------------------------------------------------ packing of one block

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -10,6 +12,24 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _MULT = 0x5851F42D4C957F2D | 1
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers, and what
+    an idle one holds on to counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):           # another C library
+        pass
+
+
+def trimmed(run):
+    """``run`` over Arrow batches, giving memory back at the end of the task."""
+    def all_batches(batches):
+        yield from run(batches)
+        give_back()
+    return all_batches
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: a bijection of 64-bit words."""
     x = (x ^ (x >> np.uint64(30))) * _M1
