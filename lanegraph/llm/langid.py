@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, text_of
+from .common import fresh, small_batches, text_of
 from .shingles import chunks, trimmed, utf8_buffer
 
 BITS = 15
@@ -102,6 +102,7 @@ class Model:
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", prior: float = 0.5) -> Model:
     """Count trigrams of all rows with a text and a language.  The driver sees
     at most ``GRAMS`` counts per language."""
+    small_batches(docs.sparkSession)
     src = docs.where(docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(
         docs[lang_col].cast("string").alias("lang"), F.lower(text_of(docs, text_col)).alias("text"))
     counted = src.mapInArrow(trimmed(_count), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -230,6 +231,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows get equal results, an empty table gives none; other columns are
     ignored.  ``penalty``: of each further language, times log(trigrams).
     """
+    small_batches(docs.sparkSession)
     text = text_of(docs, text_col)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), F.lower(text).alias("text"),
                       text.rlike(r"\p{L}").alias("letters"))
@@ -251,6 +253,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", penal
 
     Rows pass through the scan; nothing is shuffled, all columns are kept.
     """
+    small_batches(docs.sparkSession)
     low, letters = fresh(docs, "_low"), fresh(docs, "_letters")
     text = text_of(docs, text_col)
     names = docs.columns

@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from ..operators.graph.components import star_components
 from ..scratch import Scratch
-from .common import fresh, text_of
+from .common import fresh, small_batches, text_of
 from .shingles import GOLD, chunks, mix, trimmed, utf8_buffer, word_hashes
 
 LOW44 = np.uint64((1 << 44) - 1)
@@ -196,6 +196,7 @@ def _sketch(size: int, bands: int, rows: int):
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, bands: int = 25, rows: int = 5) -> DataFrame:
     """doc_id, tkey (hash of the text), digest of the words, band keys and the
     element set of every document (``rid`` numbers the rows once written)."""
+    small_batches(docs.sparkSession)
     text = text_of(docs, text_col)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), F.lower(text).alias("text"))
     return src.mapInArrow(trimmed(_sketch(size, bands, rows)), SKETCH)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch
-from .common import text_of
+from .common import small_batches, text_of
 from .shingles import chunks, trimmed, utf8_buffer
 from .tokens import RunMemo, word_end_encoder
 
@@ -66,6 +66,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
     then ``end_id``; a longer document is cut every ``capacity`` ids.
     ``tokenizer`` is a path on the driver, its content is sent to the tasks.
     """
+    small_batches(docs.sparkSession)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
     with open(tokenizer) as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
