@@ -134,4 +134,4 @@ def op5_suffix_dedup(spark, sf_dir):
 @query("op6_bm25_search")
 def op6_bm25_search(spark, sf_dir):
     from .search import top_k
-    return top_k(read_table(spark, sf_dir, "documents"))
+    return top_k(read_table(spark, sf_dir, "documents"), n_terms=None)

@@ -226,6 +226,31 @@ def test_top_k_against_all_scores(spark, edge, empty):
     assert Q.top_k(edge[0], every=2).count() > 0 and Q.top_k(empty).count() == 0
 
 
+def test_search_asks_with_all_words(spark, tmp_path):
+    from lanegraph.llm import registry
+    rng = random.Random(5)
+    vocab = [f"t{int(rng.paretovariate(0.7))}" for _ in range(4000)]
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(1, 120)))) for i in range(300)]
+    rows += [(300 + i, rows[40][1]) for i in range(15)] + [(400, "alone here"), (420, ""), (None, rows[40][1]), (60, "another text of id sixty")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    count = [Counter((t or "").split()) for _, t in rows]
+    df = Counter(w for c in count for w in c)
+    mean = sum(sum(c.values()) for c in count) / len(rows)
+    idf = {w: math.log1p((len(rows) - n + 0.5) / (n + 0.5)) for w, n in df.items()}
+    want = {}
+    for i in {i for i, t in rows if i is not None and i % 20 == 0 and t}:
+        ask = {w for (j, _), c in zip(rows, count, strict=True) if i == j for w in c}
+        score = [sum(idf[w] * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for w in ask if w in c) for c in count]
+        want[i] = sorted((round(-s, 9), 10 ** 9 if j is None else j) for (j, _), s in zip(rows, score, strict=True) if s > 0)[:10]
+    assert want[400] and want[400][0][1] == 400                            # its words are in no other text
+    whole = Q.top_k(spark.read.parquet(f"{tmp_path}/documents.parquet"), n_terms=None, shard_bytes=3000)     # several waves
+    for got in (registry.QUERIES["op6_bm25_search"](spark, str(tmp_path)), whole):
+        found = defaultdict(list)
+        for r in got.collect():
+            found[r.query_id].append((round(-r.score, 9), 10 ** 9 if r.doc_id is None else r.doc_id))
+        assert {i: sorted(x) for i, x in found.items()} == want
+
+
 # ------------------------------------------------------------------ pipeline
 
 def test_pipeline_keeps_what_plain_rules_keep(spark, tmp_path):
