@@ -11,8 +11,9 @@ doesn't depend on the length of the document.
 Signatures are cut into bands.  Within a band only the pairs with one centre
 are formed (never all pairs) and every pair is verified exactly on the element
 sets.  Verified links are closed by star-based components.  Members that are
-then in another class than their centre are compared among themselves in groups
-of bounded size; larger groups are divided by a further band.
+then in another class than their centre are compared among themselves, all with
+all and exactly: those of a key are dealt to blocks, and every pair of blocks is
+one task of bounded size.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from .shingles import GOLD, chunks, mix, trimmed, utf8_buffer, word_hashes
 
 LOW44 = np.uint64((1 << 44) - 1)
 UNIT = 2.0 ** -53
-#: Most members of a group that is finished within one task.
-GROUP = 256
+#: Members and bytes of element sets in a block, about; members compared at once.
+GROUP, GROUP_BYTES, TILE = 2048, 8 << 20, 1024
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -228,33 +229,80 @@ def _label(rows: DataFrame, labels: DataFrame | None, col: str, out: str) -> Dat
     return rows.join(own, col, "left").withColumn(out, F.coalesce(out, col))
 
 
-def _coarse(x: np.ndarray, slots: int = 64) -> np.ndarray:
-    """Smallest hash of a set in each of ``slots`` classes (one permutation)."""
-    h = mix(x.astype(np.uint64) * GOLD)
-    out = np.full(slots, ~np.uint64(0))
-    np.minimum.at(out, (h & np.uint64(slots - 1)).astype(np.int64), h)
+def _overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all ``xs`` with all ``ys``: elements that
+    many have by products of indicator matrices, the others pair by pair."""
+    sizes = [np.array([len(a) for a in s]) for s in (xs, ys)]
+    row = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    distinct, place = np.unique(np.concatenate([*xs, *ys]), return_inverse=True)
+    place = [place[:len(row[0])], place[len(row[0]):]]
+    count = [np.bincount(p, minlength=len(distinct)) for p in place]
+    pairs = count[0] * count[1]
+    out = np.zeros((len(xs), len(ys)))
+    dense = np.flatnonzero(pairs > 1024)
+    for i in range(0, len(dense), 1024):
+        column = np.full(len(distinct), -1)
+        column[dense[i:i + 1024]] = np.arange(len(dense[i:i + 1024]))
+        part = []
+        for r, p, n in zip(row, place, (len(xs), len(ys)), strict=True):
+            use = column[p] >= 0
+            m = np.zeros((n, len(dense[i:i + 1024])), np.float32)
+            m[r[use], column[p[use]]] = 1
+            part.append(m)
+        out += part[0] @ part[1].T
+    order = [np.argsort(p, kind="stable") for p in place]
+    begin = [np.cumsum(c) - c for c in count]
+    rare = np.flatnonzero((pairs > 0) & (pairs <= 1024))
+    upto = np.cumsum(pairs[rare])
+    for i in range(0, int(upto[-1]) if len(rare) else 0, 1 << 22):
+        e = rare[np.searchsorted(upto, i, "right"):np.searchsorted(upto, i + (1 << 22), "right")]
+        which = np.repeat(np.arange(len(e)), pairs[e])
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(pairs[e]) - pairs[e], pairs[e])
+        x = row[0][order[0][begin[0][e][which] + nth // count[1][e][which]]]
+        y = row[1][order[1][begin[1][e][which] + nth % count[1][e][which]]]
+        out += np.bincount(x * len(ys) + y, minlength=out.size).reshape(out.shape)
     return out
 
 
-def _finish_group(similarity: float):
+def _cross(similarity: float):
     def run(key, table):
-        """Links of a group of at most ``GROUP`` members: every member against
-        those after it, coarse sketches first, then the exact similarity."""
-        rid = table.column("rid").to_numpy()
-        order = np.argsort(rid)
-        sets = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("elems").combine_chunks()]
-        rid, sets = rid[order], [sets[i] for i in order]
-        coarse = np.stack([_coarse(x) for x in sets])
-        size = np.array([len(x) for x in sets])
+        """Links that join classes, of the apart members of a block (``side``
+        0) with the members of a block (``side`` 1); every pair is compared
+        exactly unless earlier links have joined it."""
+        side, rid, cls, apart = (table.column(c).to_numpy() for c in ("side", "rid", "cls", "apart"))
+        elems = table.column("elems").combine_chunks()
+        distinct, comp = np.unique(cls, return_inverse=True)
+        root = np.arange(len(distinct))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return int(x)
+
+        sides = [np.flatnonzero(side == k) for k in (0, 1)]
+        x, y = (at[np.argsort(rid[at], kind="stable")] for at in sides)
+        sets = [np.frombuffer(e.as_buffer(), np.uint32) for e in elems]
+        size = np.array([len(e) for e in sets], np.float64)
         a, b = [], []
-        for i in range(len(rid) - 1):
-            near = (coarse[i + 1:] == coarse[i]).mean(1) >= similarity - 0.25
-            near &= np.minimum(size[i + 1:], size[i]) >= similarity * np.maximum(size[i + 1:], size[i])
-            for j in (np.flatnonzero(near) + i + 1).tolist():
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if both >= similarity * (size[i] + size[j] - both):
-                    a.append(rid[i])
-                    b.append(rid[j])
+        for i in range(0, len(x), TILE):
+            for j in range(0, len(y), TILE):
+                now = np.array([find(n) for n in range(len(root))])[comp]
+                p, q = x[i:i + TILE], y[j:j + TILE]
+                differ = (now[p][:, None] != now[q]) & ~(apart[q] & (rid[q] < rid[p][:, None]))     # of two apart, once
+                differ &= np.minimum(size[p][:, None], size[q]) >= similarity * np.maximum(size[p][:, None], size[q])
+                p, q, differ = p[keep := differ.any(1)], q[also := differ.any(0)], differ[differ.any(1)][:, differ.any(0)]
+                if not keep.any() or not also.any():
+                    continue
+                both = _overlaps([sets[n] for n in p], [sets[n] for n in q])
+                near = differ & (both / np.maximum(1, size[p][:, None] + size[q] - both) >= similarity)
+                for n in np.flatnonzero(near.any(1)).tolist():
+                    for m in np.flatnonzero(near[n]).tolist():
+                        u, v = find(comp[p[n]]), find(comp[q[m]])
+                        if u != v:
+                            root[max(u, v)] = min(u, v)
+                            a.append(min(rid[p[n]], rid[q[m]]))
+                            b.append(max(rid[p[n]], rid[q[m]]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
@@ -272,50 +320,46 @@ def _merged(labels: DataFrame | None, found: DataFrame, scratch: Scratch, name:
     return scratch.write(moved.unionByName(step.join(labels.select("id"), "id", "left_anti")), f"labels{name}")
 
 
-def _classes_of(keyed: DataFrame, sets: DataFrame, bands_of: DataFrame, similarity: float, scratch: Scratch) -> DataFrame | None:
+def _classes_of(keyed: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame | None:
     """(id, component) of all linked nodes; None without any link.
 
-    ``keyed``: (rid, band, key).  The members of a key are compared with one of
+    ``keyed``: (rid, key).  The members of a key are compared with one of
     them, the centre: the member whose keys are shared most in all (an original
-    shares more keys with its copies than any copy does).  Of the members that
-    are then in another class than their centre, groups of up to ``GROUP`` are
-    finished within a task; larger ones are divided by one further band and go
-    through the same again.
+    shares more keys with its copies than any copy does).  Members that are
+    then in another class than their centre are compared with one another, in
+    pairs of blocks, so none is left uncompared.  Of keys with the same
+    members one is taken.
     """
-    labels, level, near, weight = None, 0, None, None
-    while True:
-        shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-        members = scratch.write(keyed.join(shared, "key"), f"members{level}")
-        if weight is None:
-            weight = scratch.write(members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key")
-                                   .groupBy("rid").agg(F.sum("n").alias("weight")), "weights")
-        top = members.join(weight, "rid").groupBy("key").agg(F.max(F.struct("weight", "rid")).alias("c"))
-        joined = scratch.write(members.join(top.select("key", F.col("c.rid").alias("a")), "key").where("rid != a")
-                               .select("key", "band", "a", "rid"), f"joined{level}")
-        pairs = joined.select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b")).distinct()
-        if near is None:
-            pairs = first_pairs = scratch.write(pairs, "pairs")
-            # of the element sets only those of members are moved, once for all levels; as they outgrow
-            # any broadcast the join is the same at every size
-            ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-            near = scratch.write(sets.hint("merge").join(ids.hint("merge"), "rid", "left_semi"), "sets")
-        found = _verify(pairs, near).where(F.col("sim") >= similarity).select("a", "b")
-        labels = _merged(labels, found, scratch, str(level))
-        apart = _label(_label(joined, labels, "a", "ra"), labels, "rid", "rb").where("ra != rb").select("key", "band", "rid")
-        apart = scratch.write(apart, f"apart{level}")
-        scratch.drop(members, joined)
-        sizes = scratch.write(apart.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"sizes{level}")
-        small = apart.join(sizes.where(F.col("n") <= GROUP).select("key"), "key").select("key", "rid")
-        links = small.join(near, "rid").groupBy("key").applyInArrow(_finish_group(similarity), "a long, b long")
-        labels = _merged(labels, links.distinct(), scratch, f"{level}-small")
-        large = sizes.where(F.col("n") > GROUP).select("key")
-        if large.isEmpty():
-            scratch.drop(near, weight, first_pairs)
-            return labels
-        keyed = (apart.join(large, "key").select("rid", F.col("key").alias("k0"), F.col("band").alias("b0")).join(bands_of, "rid")
-                 .select("rid", "k0", "b0", F.posexplode(F.expr("slice(bands, b0 + 2, size(bands))")).alias("at", "k1"))
-                 .select("rid", (F.col("b0") + 1 + F.col("at")).alias("band"), F.xxhash64("k0", "k1").alias("key")))
-        level += 1
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    members = scratch.write(keyed.select("rid", "key").join(shared, "key"), "members")
+    weight = scratch.write(members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key")
+                           .groupBy("rid").agg(F.sum("n").alias("weight")), "weights")
+    top = members.join(weight, "rid").groupBy("key").agg(F.max(F.struct("weight", "rid")).alias("c"))
+    joined = scratch.write(members.join(top.select("key", F.col("c.rid").alias("a")), "key").select("key", "a", "rid"), "joined")
+    pairs = scratch.write(joined.where("rid != a").select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b")).distinct(), "pairs")
+    # of the element sets only those of members are moved, once; as they outgrow any broadcast the join is the same at every size
+    ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
+    near = scratch.write(sets.hint("merge").join(ids.hint("merge"), "rid", "left_semi"), "sets")
+    found = _verify(pairs, near).where(F.col("sim") >= similarity).select("a", "b")
+    labels = _merged(None, found, scratch, "centre")
+    rows = _label(_label(joined, labels, "a", "ra"), labels, "rid", "cls").withColumn("apart", F.col("ra") != F.col("cls"))
+    rows = scratch.write(rows.where("apart").select("key", "rid", "cls", "apart"), "rows")
+    length = near.select("rid", F.octet_length("elems").alias("length"))
+    mark = [F.bit_xor(F.xxhash64("rid", F.lit(k))) for k in range(2)]
+    of = lambda c, own: F.sum(F.when(F.col("apart"), c).otherwise(0) if own else c)
+    blocks = lambda own: F.greatest(F.lit(1), F.ceil(of(F.lit(1), own) / GROUP), F.ceil(of(F.col("length"), own) / GROUP_BYTES)).cast("int")
+    sizes = (rows.join(length, "rid").groupBy("key").agg(F.count("*").alias("n"), of(F.lit(1), True).alias("n_apart"), blocks(True).alias("p"),
+                                                         blocks(False).alias("m"), mark[0].alias("h0"), mark[1].alias("h1"))
+             .where("n > 1 and n_apart > 0").groupBy("n", "h0", "h1").agg(F.min(F.struct("key", "p", "m")).alias("s")).select("s.*"))
+    dealt = scratch.write(rows.join(sizes, "key"), "dealt")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
+    asking = dealt.where("apart").select("key", "rid", "cls", "apart", mine("p").alias("i"), every("m").alias("j"), F.lit(0).alias("side"))
+    asked = dealt.select("key", "rid", "cls", "apart", every("p").alias("i"), mine("m").alias("j"), F.lit(1).alias("side"))
+    links = asking.unionByName(asked).join(near, "rid").groupBy("key", "i", "j").applyInArrow(_cross(similarity), "a long, b long")
+    labels = _merged(labels, links.distinct(), scratch, "apart")
+    scratch.drop(members, joined, rows, dealt, near, weight, pairs)
+    return labels
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, size: int = 5,
@@ -340,8 +384,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = scratch.write(worded.groupBy("d1", "d2").agg(F.min(F.struct("rid", "bands")).alias("first"))
                            .select("d1", "d2", F.col("first.rid").alias("node"), F.col("first.bands").alias("bands")), "copies")
     nodes = copies.select(F.col("node").alias("rid"), "bands")
-    keyed = nodes.select("rid", F.posexplode("bands").alias("band", "key"))
-    labels = _classes_of(keyed, sk.select("rid", "elems"), nodes, similarity, scratch)
+    keyed = nodes.select("rid", F.explode("bands").alias("key"))
+    labels = _classes_of(keyed, sk.select("rid", "elems"), similarity, scratch)
     written, copies = copies, copies.drop("bands")
     member = (worded.select("doc_id", "tkey", "rid", "d1", "d2").join(copies, ["d1", "d2"])
               .select("doc_id", "tkey", "rid", "node"))

@@ -138,6 +138,54 @@ def test_near_classes_against_brute_force(spark, edge, empty):
     assert M.near_classes(empty).count() == 0 and M.drop_near_copies(empty).count() == 0
 
 
+def brute_classes(texts):
+    sets = [set(shingles(t)) for t in texts]                               # no text has a shingle twice
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i in range(len(texts))}
+
+
+def test_near_classes_of_a_large_template(spark, monkeypatch):
+    """700 texts at 0.6 to 0.7 to each other with near copies inside, in few
+    bands: a further common band isn't asked of a pair."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(160)]
+    texts = []
+    for i in range(560):
+        t = base + [f"own{i}x{n}" for n in range(32)]
+        texts.append(" ".join(t))
+        if i % 4 == 0:
+            cut = [w if n not in (20, 100) else f"c{i}x{n}" for n, w in enumerate(t)]
+            texts.append(" ".join(cut))
+    rng.shuffle(texts)
+    want = brute_classes(texts)
+    assert len(set(want.values())) == 560
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for group in (2048, 100):
+        monkeypatch.setattr(M, "GROUP", group)
+        got = {r.doc_id: r.class_id for r in M.near_classes(docs, bands=3, rows=1).collect()}
+        # pairs without a common band can't be found; all others are
+        ids, weight, row, _, _, _ = M.elements(*utf8_buffer(pa.array([t.lower() for t in texts])))
+        sig = M.signatures(ids, weight.astype(np.int64), row, len(texts), 3)
+        partner = {}
+        for i, c in want.items():
+            partner.setdefault(c, []).append(i)
+        for own in partner.values():
+            if len(own) == 2 and (sig[own[0]] == sig[own[1]]).any():
+                assert got[own[0]] == got[own[1]]
+        assert all(want[i] == want[c] for i, c in got.items())
+
+
 # ------------------------------------------------------------------ repeated strings
 
 def plain_cut(rows, length=50):
