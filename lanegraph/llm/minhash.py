@@ -11,8 +11,8 @@ doesn't depend on the length of the document.
 Signatures are cut into bands.  Within a band only the pairs with one centre
 are formed (never all pairs) and every pair is verified exactly on the element
 sets.  Verified links are closed by star-based components.  Members that are
-then in another class than their centre are compared among themselves, all with
-all and exactly: those of a key are dealt to blocks, and every pair of blocks is
+then in another class than their centre are compared with all members of the
+key, exactly: they are dealt to blocks, and every pair of blocks is
 one task of bounded size.
 """
 
@@ -326,9 +326,10 @@ def _classes_of(keyed: DataFrame, sets: DataFrame, similarity: float, scratch: S
     ``keyed``: (rid, key).  The members of a key are compared with one of
     them, the centre: the member whose keys are shared most in all (an original
     shares more keys with its copies than any copy does).  Members that are
-    then in another class than their centre are compared with one another, in
-    pairs of blocks, so none is left uncompared.  Of keys with the same
-    members one is taken.
+    then in another class than their centre are compared with all members, those
+    of the centre's class included, in pairs of blocks: any two members of a key
+    are in one class or have been compared.  Of keys with the same members one
+    is taken.
     """
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = scratch.write(keyed.select("rid", "key").join(shared, "key"), "members")
@@ -343,14 +344,15 @@ def _classes_of(keyed: DataFrame, sets: DataFrame, similarity: float, scratch: S
     found = _verify(pairs, near).where(F.col("sim") >= similarity).select("a", "b")
     labels = _merged(None, found, scratch, "centre")
     rows = _label(_label(joined, labels, "a", "ra"), labels, "rid", "cls").withColumn("apart", F.col("ra") != F.col("cls"))
-    rows = scratch.write(rows.where("apart").select("key", "rid", "cls", "apart"), "rows")
+    some = rows.where("apart").select("key").distinct()
+    rows = scratch.write(rows.join(some, "key", "left_semi").select("key", "rid", "cls", "apart"), "rows")
     length = near.select("rid", F.octet_length("elems").alias("length"))
     mark = [F.bit_xor(F.xxhash64("rid", F.lit(k))) for k in range(2)]
     of = lambda c, own: F.sum(F.when(F.col("apart"), c).otherwise(0) if own else c)
     blocks = lambda own: F.greatest(F.lit(1), F.ceil(of(F.lit(1), own) / GROUP), F.ceil(of(F.col("length"), own) / GROUP_BYTES)).cast("int")
-    sizes = (rows.join(length, "rid").groupBy("key").agg(F.count("*").alias("n"), of(F.lit(1), True).alias("n_apart"), blocks(True).alias("p"),
+    sizes = (rows.join(length, "rid").groupBy("key").agg(F.count("*").alias("n"), blocks(True).alias("p"),
                                                          blocks(False).alias("m"), mark[0].alias("h0"), mark[1].alias("h1"))
-             .where("n > 1 and n_apart > 0").groupBy("n", "h0", "h1").agg(F.min(F.struct("key", "p", "m")).alias("s")).select("s.*"))
+             .where("n > 2").groupBy("n", "h0", "h1").agg(F.min(F.struct("key", "p", "m")).alias("s")).select("s.*"))
     dealt = scratch.write(rows.join(sizes, "key"), "dealt")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")

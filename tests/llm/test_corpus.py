@@ -186,6 +186,23 @@ def test_near_classes_of_a_large_template(spark, monkeypatch):
         assert all(want[i] == want[c] for i, c in got.items())
 
 
+def test_near_classes_of_a_chain(spark):
+    """The centre is like the middle text and the middle like the last, which
+    the centre isn't: the link to a member of the centre's class counts."""
+    for seed in range(50):
+        centre = [f"s{seed}w{i}" for i in range(100)]
+        middle = [f"m{i}" if i in (20, 40) else w for i, w in enumerate(centre)]
+        last = [f"l{i}" if i == 60 else w for i, w in enumerate(middle)]
+        texts = [" ".join(t) for t in (last, middle, centre)]
+        ids, weight, row, _, _, _ = M.elements(*utf8_buffer(pa.array(texts)))
+        if len(set(M.signatures(ids, weight.astype(np.int64), row, 3, 1)[:, 0])) == 1:
+            break
+    assert jaccard(shingles(texts[0]), shingles(texts[2])) < 0.8
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)       # the last row is the centre
+    got = {r.doc_id: r.class_id for r in M.near_classes(docs, bands=1, rows=1).collect()}
+    assert got == {0: 0, 1: 0, 2: 0} == brute_classes(texts)
+
+
 # ------------------------------------------------------------------ repeated strings
 
 def plain_cut(rows, length=50):
