@@ -1,7 +1,7 @@
 """Registered queries: ETA models, route-type classifier and model comparison.
 
-All models run at their full settings; boosting ends early on a held-out tenth
-of the training trips.  These are property-checked (no SQL oracle).
+All models run at their full settings, boosting for all its rounds on all
+training rows.  These are property-checked (no SQL oracle).
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ from lanegraph.functions.bands import severity_band
 from lanegraph.operators import clean as C
 from lanegraph.operators import decision as D
 from lanegraph.operators import features as FE
+from lanegraph.operators import ml as ML
 from lanegraph.operators.graph import stats as S
 
 
@@ -61,3 +62,23 @@ def test_impact_and_core(spark):
     nodes = spark.createDataFrame([(x,) for x in "abcd"], "id string")
     cv, ce = S.core_subgraph(nodes, e, keep=3)
     assert {r.id for r in cv.collect()} == {"a", "b", "c"} and {(r.src, r.dst) for r in ce.collect()} == {("a", "b"), ("a", "c"), ("b", "c")}
+
+
+def test_boosting_runs_all_rounds_on_all_rows(spark, monkeypatch):
+    rows = [(f"t{i}", float(i % 7), float(i % 11), 50.0, "FTL" if i % 2 else "Carting") for i in range(80)]   # no gain after few rounds
+    trips = spark.createDataFrame(rows, "trip_uuid string, osrm_time double, osrm_distance double, actual_time double, route_type string").coalesce(1)
+    fitted = []
+    fit = ML.Pipeline.fit
+
+    def spy(self, df, params=None):
+        fitted.append((fit(self, df, params), self.getStages()[-1]))
+        return fitted[-1][0]
+
+    monkeypatch.setattr(ML.Pipeline, "fit", spy)
+    monkeypatch.setitem(ML.BOOSTERS, "gbt", {**ML.BOOSTERS["gbt"], "max_iter": 12, "max_depth": 2})
+    cols = ["osrm_time", "osrm_distance"]
+    assert ML.gbt_eta(trips, trips, cols).count() == 80
+    ML.route_type_classifier(trips, trips, cols, max_iter=12, max_depth=2).collect()
+    for model, stage in fitted:
+        assert model.stages[-1].getNumTrees == 12
+        assert not stage.isSet("validationIndicatorCol")                   # no row is taken out of the fit
