@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from .twins import OP11_SQL, OP12_SQL, OP13_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +136,27 @@ def op5_suffix_dedup(spark, sf_dir):
 def op6_bm25_search(spark, sf_dir):
     from .search import top_k
     return top_k(read_table(spark, sf_dir, "documents"), n_terms=None)
+
+
+# ------------------------------------------------------------------ 11: conversation repair
+
+@query("op11_conversation_repair", OP11_SQL)
+def op11_conversation_repair(spark, sf_dir):
+    from .conversation_repair import damage, reports
+    return reports(damage(read_table(spark, sf_dir, "conversations")))
+
+
+# ------------------------------------------------------------------ 12: spelling variants
+
+@query("op12_spelling_variants", OP12_SQL)
+def op12_spelling_variants(spark, sf_dir):
+    from .spelling import spelling_variants
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 13: decontamination
+
+@query("op13_decontamination", OP13_SQL)
+def op13_decontamination(spark, sf_dir):
+    from .decontaminate import contamination
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
