@@ -6,6 +6,7 @@ training rows.  These are property-checked (no SQL oracle).
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import decision as D
@@ -18,8 +19,7 @@ from .registry import finish, query
 
 def _split(spark, sf_dir):
     # iterative fitting re-reads its input many times: materialise the features once
-    f = cut(features(spark, sf_dir))
-    return f.where(F.col("data") == "training"), f.where(F.col("data") == "test")
+    return ML.train_test(cut(features(spark, sf_dir)))
 
 
 def _graph_split(spark, sf_dir):
@@ -29,7 +29,7 @@ def _graph_split(spark, sf_dir):
     gs = S.graph_statistics(v, e, cent(v, e))
     m = cut(S.merge_graph_features(features(spark, sf_dir), embeddings(v, e), gs))
     cols = FEATURE_COLS + [c for c in m.columns if c.startswith(("src_", "dst_"))]
-    return m.where(F.col("data") == "training"), m.where(F.col("data") == "test"), cols
+    return *ML.train_test(m), cols
 
 
 @query("linreg_eta")
@@ -50,22 +50,38 @@ def _gbt(spark, sf_dir):
     return D.eval_metrics(ML.gbt_eta(tr, te))
 
 
+def _all(spark, *fits):
+    """Predictions of several models, fitted side by side."""
+    from functools import reduce
+    return reduce(DataFrame.unionByName, ML.at_once(spark, fits))
+
+
 @query("gbt_settings_eta")
 def _gbt_settings(spark, sf_dir):
     tr, te = _split(spark, sf_dir)
-    return D.eval_metrics(ML.gbt_eta(tr, te, setting="gbt_shallow").unionByName(ML.gbt_eta(tr, te, setting="gbt_full_rows")))
+    return D.eval_metrics(_all(spark, *[lambda s=s: ML.gbt_eta(tr, te, setting=s) for s in ("gbt_leafwise", "gbt_symmetric")]))
+
+
+def _graph_boosters(tr, te, cols):
+    return [lambda s=s: ML.gbt_eta(tr, te, cols, s, f"graph_{s}") for s in ("gbt", "gbt_leafwise", "gbt_symmetric")]
 
 
 @query("residual_eta")
 def _res(spark, sf_dir):
-    tr, te = _split(spark, sf_dir)
-    return D.eval_metrics(ML.gbt_eta(tr, te, name="residual_gbt", residual=True))
+    tr, te, cols = _graph_split(spark, sf_dir)
+    return D.eval_metrics(ML.gbt_eta(tr, te, cols, "residual_gbt", residual=True))
 
 
 @query("graph_gbt_eta")
 def _ggbt(spark, sf_dir):
     tr, te, cols = _graph_split(spark, sf_dir)
-    return D.eval_metrics(ML.gbt_eta(tr, te, cols, name="graph_gbt"))
+    return D.eval_metrics(_graph_boosters(tr, te, cols)[0]())
+
+
+@query("graph_gbt_settings_eta")
+def _ggbt_settings(spark, sf_dir):
+    tr, te, cols = _graph_split(spark, sf_dir)
+    return D.eval_metrics(_all(spark, *_graph_boosters(tr, te, cols)[1:]))
 
 
 @query("feature_importance")
@@ -87,11 +103,10 @@ def _comparison(spark, sf_dir):
     tr, te, cols = _graph_split(spark, sf_dir)
     planned = te.select(F.lit("planned_time").alias("model"), "trip_uuid", F.col("actual_time").alias("y"),
                         F.col("osrm_time").alias("y_pred"), F.col("osrm_time").alias("osrm"))
-    return cut(planned.unionByName(ML.linreg_eta(tr, te)).unionByName(ML.rf_eta(tr, te)[0])
-               .unionByName(ML.gbt_eta(tr, te)).unionByName(ML.gbt_eta(tr, te, setting="gbt_shallow"))
-               .unionByName(ML.gbt_eta(tr, te, setting="gbt_full_rows"))
-               .unionByName(ML.gbt_eta(tr, te, name="residual_gbt", residual=True))
-               .unionByName(ML.gbt_eta(tr, te, cols, name="graph_gbt")))
+    fits = [lambda: ML.linreg_eta(tr, te), lambda: ML.rf_eta(tr, te)[0],
+            *[lambda s=s: ML.gbt_eta(tr, te, setting=s) for s in ("gbt", "gbt_leafwise", "gbt_symmetric")],
+            *_graph_boosters(tr, te, cols), lambda: ML.gbt_eta(tr, te, cols, "residual_gbt", residual=True)]
+    return cut(planned.unionByName(_all(spark, *fits)))
 
 
 @query("model_comparison")

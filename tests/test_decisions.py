@@ -1,6 +1,7 @@
 """Bands, scenarios, encodings, cleaning and impact scores on a few rows."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,17 +69,15 @@ def test_boosting_runs_all_rounds_on_all_rows(spark, monkeypatch):
     rows = [(f"t{i}", float(i % 7), float(i % 11), 50.0, "FTL" if i % 2 else "Carting") for i in range(80)]   # no gain after few rounds
     trips = spark.createDataFrame(rows, "trip_uuid string, osrm_time double, osrm_distance double, actual_time double, route_type string").coalesce(1)
     fitted = []
-    fit = ML.Pipeline.fit
-
-    def spy(self, df, params=None):
-        fitted.append((fit(self, df, params), self.getStages()[-1]))
-        return fitted[-1][0]
-
-    monkeypatch.setattr(ML.Pipeline, "fit", spy)
-    monkeypatch.setitem(ML.BOOSTERS, "gbt", {**ML.BOOSTERS["gbt"], "max_iter": 12, "max_depth": 2})
+    fit = ML.fit
+    monkeypatch.setattr(ML, "fit", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    monkeypatch.setitem(ML.BOOSTERS, "gbt", replace(ML.BOOSTERS["gbt"], rounds=12, depth=2))
+    monkeypatch.setitem(ML.BOOSTERS, "residual_gbt", replace(ML.BOOSTERS["residual_gbt"], rounds=200, depth=3))
+    monkeypatch.setitem(ML.BOOSTERS, "classifier", replace(ML.BOOSTERS["classifier"], rounds=12, depth=2))
     cols = ["osrm_time", "osrm_distance"]
     assert ML.gbt_eta(trips, trips, cols).count() == 80
-    ML.route_type_classifier(trips, trips, cols, max_iter=12, max_depth=2).collect()
-    for model, stage in fitted:
-        assert model.stages[-1].getNumTrees == 12
-        assert not stage.isSet("validationIndicatorCol")                   # no row is taken out of the fit
+    ML.route_type_classifier(trips, trips, cols).collect()
+    for model in fitted:
+        assert len(model.trees.roots) == 12
+    report = ML.gbt_eta(trips, trips.withColumn("actual_time", F.lit(1.0)), cols, "residual_gbt", "r", True)
+    assert abs(report.where("trip_uuid = 't3'").first().y_pred - 50) < 1
