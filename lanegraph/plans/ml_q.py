@@ -87,9 +87,7 @@ def _ggbt_settings(spark, sf_dir):
 @query("feature_importance")
 def _imp(spark, sf_dir):
     tr, te = _split(spark, sf_dir)
-    cols = [c for c in FEATURE_COLS if c in tr.columns]
-    _, model = ML.rf_eta(tr, te, cols)
-    return finish(ML.feature_importance(model, cols))
+    return finish(ML.feature_importance(spark, ML.rf_eta(tr, te)[1]))
 
 
 @query("route_type_classifier")
