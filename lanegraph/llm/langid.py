@@ -196,9 +196,14 @@ def infer(data: np.ndarray, offsets: np.ndarray, model: Model, penalty: float, n
 PREDICTED = "doc_id long, tkey long, lang_pred string, score double, fit double, languages array<string>, shares array<double>"
 
 
+def _sent(docs: DataFrame, model: Model):
+    """Plain values only: a broadcast object would need its class on the executors."""
+    return docs.sparkSession.sparkContext.broadcast((model.languages, model.p))
+
+
 def _predict(model, penalty: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
+        m = Model(*model.value)
         names = np.array(m.languages + ["und"], object)
         for batch in batches:
             data, offsets = utf8_buffer(batch.column("text"))
@@ -235,7 +240,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     text = text_of(docs, text_col)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), F.lower(text).alias("text"),
                       text.rlike(r"\p{L}").alias("letters"))
-    return src.mapInArrow(trimmed(_predict(docs.sparkSession.sparkContext.broadcast(model), penalty)), PREDICTED)
+    return src.mapInArrow(trimmed(_predict(_sent(docs, model), penalty)), PREDICTED)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", mod: int = 4,
@@ -259,7 +264,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", penal
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = sent.value
+        m = Model(*sent.value)
         for batch in batches:
             data, offsets = utf8_buffer(batch.column(low))
             keep = batch.column(letters).to_numpy(zero_copy_only=False).copy()
@@ -268,5 +273,5 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", penal
                     keep[i:j] &= infer(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], m, penalty)[1].any(1)
             yield batch.select(names).filter(pa.array(keep, pa.bool_()))
 
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = _sent(docs, model)
     return (docs.withColumns({low: F.lower(text), letters: text.rlike(r"\p{L}")}).mapInArrow(trimmed(run), docs.schema).select(*names))

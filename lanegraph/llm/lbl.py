@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 from . import exchange as X
 from .langid import id_remainder
-from .shingles import chunks, mix, utf8_buffer, word_hashes
+from .shingles import chunks, freed, mix, trimmed, utf8_buffer, word_hashes
 
 END = mix(np.array([0x0E0D], np.uint64))[0]
 CONTEXT = 2
@@ -114,7 +114,7 @@ TRIGRAMS = "part int, keys binary, counts binary"
 
 def _trigrams(voc, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v: Vocabulary = voc.value
+        v = Vocabulary(*voc.value)
         found, waiting = [], 0
         base = v.rare + 2
 
@@ -174,6 +174,13 @@ class LogBilinear:
     def arrays(self) -> list[np.ndarray]:
         return [self.r, self.q, self.b, self.c]
 
+    @classmethod
+    def of(cls, r, q, b, c, noise) -> LogBilinear:
+        """A model of copies of these arrays."""
+        model = cls.__new__(cls)
+        model.r, model.q, model.b, model.c, model.noise = (np.array(x) for x in (r, q, b, c, noise))
+        return model
+
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.r[one] * self.c[0] + self.r[two] * self.c[1]
 
@@ -230,7 +237,7 @@ class LogBilinear:
 
 def _round(sent, steps: int, batch: int, noise: int, rate: float, number: int):
     def run(key, table):
-        model: LogBilinear = pickle.loads(sent.value)
+        model = LogBilinear.of(*sent.value)
         keys, counts = X.unpack(table, "keys", np.uint64)[0], X.unpack(table, "counts", np.int64)[0]
         part, base = key[0].as_py(), len(model.b) + 1
         if len(keys):
@@ -248,7 +255,7 @@ def fit(trigrams: DataFrame, class_counts: np.ndarray, dim: int = 24, rounds: in
     model = LogBilinear(class_counts, dim)
     spark = trigrams.sparkSession
     for n in range(rounds):
-        sent = spark.sparkContext.broadcast(pickle.dumps(model))
+        sent = spark.sparkContext.broadcast((*model.arrays(), model.noise))
         got = trigrams.groupBy("part").applyInArrow(_round(sent, steps, batch, noise, rate / (1 + n), n),
                                                     "part int, weight double, model binary").collect()
         got = sorted((r for r in got if r["weight"] > 0), key=lambda r: r["part"])
@@ -268,8 +275,8 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 def _score(voc, sent, buckets: int):
     def run(key, table, answers):
-        v: Vocabulary = voc.value
-        model: LogBilinear = pickle.loads(sent.value)
+        v = Vocabulary(*voc.value)
+        model = LogBilinear.of(*sent.value)
         data, offsets = utf8_buffer(table.column("text"))
         n_rows = len(offsets) - 1
         order = np.argsort(answers.column("bucket").to_numpy(), kind="stable")
@@ -316,8 +323,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod:
     n = X.shards_of(X.corpus_bytes(docs, text_col), shard_bytes)
     buckets = X.buckets_of(n)
     sharded = X.in_shards(docs, n, id_col, text_col, is_held)
-    sent = sharded.groupBy("shard").applyInArrow(_words(buckets), X.SENT)
-    answers = scratch.write(sent.groupBy("bucket").applyInArrow(_add_up(top), ANSWER), "answers")
+    sent = sharded.groupBy("shard").applyInArrow(freed(_words(buckets)), X.SENT)
+    answers = scratch.write(sent.groupBy("bucket").applyInArrow(freed(_add_up(top)), ANSWER), "answers")
 
     about = answers.where("shard = -1")
     totals = about.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("types"), F.lit(0)).alias("v")).first()
@@ -325,14 +332,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod:
     keys = np.array([r["key"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(keys)
     voc = Vocabulary(totals["n"], totals["v"], keys[order], np.array([r["n"] for r in best], np.int64)[order])
-    sent_voc = spark.sparkContext.broadcast(voc)
+    sent_voc = spark.sparkContext.broadcast((voc.tokens, voc.types, voc.keys, voc.counts))     # plain values: no class is needed on the executors
 
     learn = docs.where(id_remainder(docs[id_col], mod) != held).select(X.text_of(docs, text_col).alias("text"))
-    trigrams = scratch.write(learn.mapInArrow(_trigrams(sent_voc, parts), TRIGRAMS).groupBy("part").applyInArrow(_add_trigrams, TRIGRAMS), "trigrams")
+    trigrams = scratch.write(learn.mapInArrow(trimmed(_trigrams(sent_voc, parts)), TRIGRAMS).groupBy("part").applyInArrow(freed(_add_trigrams), TRIGRAMS), "trigrams")
     model = fit(trigrams, voc.class_counts(), **training)
-    sent_model = spark.sparkContext.broadcast(pickle.dumps(model))
+    sent_model = spark.sparkContext.broadcast((*model.arrays(), model.noise))
     replies = answers.where("shard >= 0").select("shard", "bucket", "counts")
-    out = sharded.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(_score(sent_voc, sent_model, buckets), SCORED)
+    out = sharded.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(freed(_score(sent_voc, sent_model, buckets)), SCORED)
     return out.withColumn("train_tokens", F.lit(voc.tokens).cast("long"))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch
 from .common import small_batches, text_of
-from .shingles import chunks, trimmed, utf8_buffer
+from .shingles import chunks, give_back, trimmed, utf8_buffer
 from .tokens import RunMemo, word_end_encoder
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -33,8 +33,8 @@ PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 def _tokenise(tokenizer, capacity: int, end_id: int, group_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("RAYON_NUM_THREADS", "1")       # before the library starts its threads
         from tokenizers import Tokenizer
-        os.environ.setdefault("RAYON_NUM_THREADS", "2")
         memo = RunMemo(word_end_encoder(Tokenizer.from_str(tokenizer.value)))
         for batch in batches:
             data, offsets = utf8_buffer(batch.column("text"))
@@ -196,7 +196,9 @@ def _deal(items: DataFrame, block_items: int, capacity: int, salt: int) -> DataF
     block = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", "row", F.lit(salt)), F.lit(n))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        return pack_block(frame, capacity)[["doc_id", "piece", "start", "length", "ids_crc32", "row", "block", "bin", "offset", "fill"]]
+        out = pack_block(frame, capacity)[["doc_id", "piece", "start", "length", "ids_crc32", "row", "block", "bin", "offset", "fill"]]
+        give_back()
+        return out
 
     return items.withColumn("block", block).groupBy("block").applyInPandas(pack, PLACED.replace(", block", ", row long, block"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 from .sentencepiece_model import BPE, BYTE, NORMAL, USER_DEFINED, SentencePieceModel, parse
-from .shingles import chunks, utf8_buffer
+from .shingles import chunks, trimmed, utf8_buffer
 from .tokens import RunMemo, hash_runs, ragged
 
 MARK = "▁"
@@ -219,7 +219,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     with open(model, "rb") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
-    return src.mapInArrow(_encode(sent, threads, with_ids, verify, group_bytes), ENCODED)
+    return src.mapInArrow(trimmed(_encode(sent, threads, with_ids, verify, group_bytes)), ENCODED)
 
 
 def decode_ids(spark: SparkSession, encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -109,11 +109,12 @@ def runs(data: np.ndarray, offsets: np.ndarray, fine: bool) -> tuple[np.ndarray,
 
 
 class RunMemo:
-    """Ids of runs seen so far in this task, at most ``limit`` of them."""
+    """Ids of runs seen so far in this task: it begins anew beyond ``limit``
+    runs or ``most_ids`` ids."""
 
-    def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 300_000, fine: bool = True,
-                 split=None):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str], np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 200_000, fine: bool = True,
+                 split=None, most_ids: int = 4_000_000):
+        self.encode, self.limit, self.most_ids = encode, limit, most_ids
         self.split = split or (lambda data, offsets: runs(data, offsets, fine))
         self._reset()
 
@@ -126,7 +127,7 @@ class RunMemo:
         with ``places`` also the memo's number and the row of every run."""
         n = len(offsets) - 1
         h, start, end, row, plain, low = self.split(data, offsets)
-        if len(self.index) > self.limit:
+        if len(self.index) > self.limit or len(self.codes) > self.most_ids:
             self._reset()
         distinct, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         get = self.index.get

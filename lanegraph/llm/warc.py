@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch
 from .common import text_of
+from .shingles import trimmed
 
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -225,7 +226,7 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     placed = (records.withColumn("shard", _shard_of(borders).cast("int")).repartitionById(n, F.col("shard"))
               .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "url", "html")
               .select("shard", "key", "url", "html", "refers"))
-    wrote = scratch.write(placed.mapInArrow(_writer(folder, roll_bytes, level), MANIFEST), "wrote")
+    wrote = scratch.write(placed.mapInArrow(trimmed(_writer(folder, roll_bytes, level)), MANIFEST), "wrote")
     files = wrote.count()
     manifest = wrote.repartition(max(1, min(files, 64))).mapInArrow(_committer(folder), MANIFEST).drop("tmp")
     path = f"{folder}/manifest"
@@ -321,4 +322,4 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Records of a committed archive, one row each; digests are verified."""
     files = spark.read.parquet(f"{folder}/manifest").select("name")
     n = files.count()
-    return files.repartition(max(1, n)).mapInArrow(_reader(folder), RECORDS)
+    return files.repartition(max(1, n)).mapInArrow(trimmed(_reader(folder)), RECORDS)
