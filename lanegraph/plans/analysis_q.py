@@ -175,10 +175,10 @@ def _scenarios(spark, sf_dir):
 
 @query("rule_route_recommendation")
 def _rule(spark, sf_dir):
-    c = train_corridors(spark, sf_dir, False)
+    c = A.corridor_impact(train_corridors(spark, sf_dir, False))
     return finish(c.select("source_center", "destination_center", "osrm_distance_mean",
                            rule_route_recommendation(F.round("osrm_distance_mean", 9)).alias("recommendation"),
-                           estimated_sla(F.col("delay_ratio_mean") * 20).alias("estimated_sla")))
+                           estimated_sla(F.round("corridor_impact", 9)).alias("estimated_sla")))
 
 
 # ------------------------------------------------------------------------- marts

@@ -116,7 +116,7 @@ def _g_rtn(spark, sf_dir):
 
 @query("walk_expected_visits")
 def _expected(spark, sf_dir):
-    return finish(W.expected_visits(*graph(spark, sf_dir), walk_length=5, num_walks=50))
+    return finish(W.expected_visits(*graph(spark, sf_dir), walk_length=20, num_walks=50))
 
 
 @query("attach_metrics")

@@ -482,10 +482,10 @@ SELECT source_center, destination_center, round(current_delay, 9) AS current_del
  round(annual - capex_lakh + 1e-12, 9) AS net_first_year_lakh, round(throughput * (0.18 - 0.18 * (1 - r)), 9) AS breaches_prevented,
  CASE WHEN NOT (capex_lakh > 0 AND annual > 0) OR capex_lakh / (annual / 12) = 0 THEN 'deploy'
   WHEN capex_lakh / (annual / 12) < 3 THEN 'approve' ELSE 'consider_others' END AS recommendation FROM sy""")
-register("rule_route_recommendation", CORR_LITE + """
+register("rule_route_recommendation", IMPACT + """
 SELECT source_center, destination_center, round(osrm_distance_mean, 9) AS osrm_distance_mean,
  CASE WHEN round(osrm_distance_mean, 9) > 200 THEN 'FTL' WHEN round(osrm_distance_mean, 9) < 100 THEN 'Carting' ELSE 'Model decides' END AS recommendation,
- round(greatest(45.0E0, 100.0E0 - 0.45 * (delay_ratio_mean * 20)), 9) AS estimated_sla FROM cs""")
+ round(greatest(45.0E0, 100.0E0 - 0.45 * (round(corridor_impact, 9))), 9) AS estimated_sla FROM ci""")
 
 # ------------------------------------------------------------------------- marts
 
@@ -618,13 +618,13 @@ top AS (SELECT id FROM gv LEFT JOIN dg USING (id) ORDER BY coalesce(d, 0) DESC,
 SELECT src, dst FROM ge WHERE src IN (SELECT id FROM top) AND dst IN (SELECT id FROM top)""")
 
 _steps = [f"""w{i} AS MATERIALIZED (SELECT w{i - 1}.start, pt.dst AS node, sum(w{i - 1}.p * pt.p) AS p FROM w{i - 1} JOIN pt ON w{i - 1}.node = pt.src
- GROUP BY w{i - 1}.start, pt.dst)""" for i in range(2, 6)]
+ GROUP BY w{i - 1}.start, pt.dst)""" for i in range(2, 21)]
 register("walk_expected_visits", GRAPH + """,
 pt AS MATERIALIZED (SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS p FROM ge),
 w1 AS MATERIALIZED (SELECT src AS start, dst AS node, p FROM pt),
 """ + ",\n".join(_steps) + """
 SELECT start, node, round(sum(p) * 50, 9) AS expected FROM (
- """ + " UNION ALL ".join(f"SELECT * FROM w{i}" for i in range(1, 6)) + """) GROUP BY start, node""")
+ """ + " UNION ALL ".join(f"SELECT * FROM w{i}" for i in range(1, 21)) + """) GROUP BY start, node""")
 
 _RT = """
 re AS (SELECT route_type, source_center AS src, destination_center AS dst, count(DISTINCT trip_uuid) AS frequency, CAST(sum(CAST(factor AS DECIMAL(28,12))) AS DOUBLE) / count(factor) AS weight
