@@ -25,21 +25,28 @@ def clean_zero_to_null(df: DataFrame, cols=("segment_osrm_time", "segment_osrm_d
     return df.withColumns({c: F.nullif(F.col(c), F.lit(0.0)) for c in cols})
 
 
-#: Most rows of the first-known-name table that are broadcast; it is counted first.
+#: Most rows of a name table that are broadcast; it is counted first.
 BROADCAST_NAMES = 200_000
 ROLES = (("source_center", "source_name"), ("destination_center", "destination_name"))
+PREFIXES = ("source_", "dest_")
 
 
-def first_known_names(df: DataFrame) -> DataFrame:
-    """(role, center) → first non-null name in row order, for both roles from
-    one pass.  ``min_by`` is a partial aggregate: a map task keeps one candidate
-    per center, so a hub holding a third of all rows costs one row per task."""
+def names_seen(df: DataFrame) -> DataFrame:
+    """(role, center, name, first): every non-null name of every center with
+    its first row, for both roles from one pass.  A map task keeps one row per
+    center and name, so a hub holding a third of all rows costs no more."""
     both = F.array(*[F.struct(F.lit(i).alias("role"), F.col(c).alias("center"), F.col(n).alias("name")) for i, (c, n) in enumerate(ROLES)])
-    return (df.select(row_order(df).alias("_at"), F.explode(both).alias("x")).where("x.name is not null and x.center is not null")
-            .groupBy("x.role", "x.center").agg(F.min_by("x.name", "_at").alias("known")))
+    return (df.select(row_order(df).alias("_at"), F.explode(both).alias("x")).where("x.name is not null")
+            .groupBy("x.role", "x.center", "x.name").agg(F.min("_at").alias("first")))
 
 
-def backfill_names(df: DataFrame) -> DataFrame:
+def first_known_names(df: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """(role, center) → first non-null name in row order."""
+    seen = names_seen(df) if seen is None else seen
+    return seen.where("center is not null").groupBy("role", "center").agg(F.min_by("name", F.struct("first", "name")).alias("known"))
+
+
+def backfill_names(df: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """NULL source/destination names ← first known name of the same center.
 
     Below a counted limit the names are broadcast and no row of ``df`` is
@@ -47,7 +54,7 @@ def backfill_names(df: DataFrame) -> DataFrame:
     (the runtime splits a hot center); all others pass by untouched.
     """
     from .graph.core import cut
-    known = cut(first_known_names(df))
+    known = cut(first_known_names(df, seen))
     small = known.count() <= BROADCAST_NAMES
     out = df
     for i, (center, name) in enumerate(ROLES):
@@ -62,15 +69,35 @@ def backfill_names(df: DataFrame) -> DataFrame:
     return out
 
 
+def parse_names(df: DataFrame, seen: DataFrame | None = None, limit: int = BROADCAST_NAMES) -> DataFrame:
+    """``df`` plus city, state and facility type of both names.
+
+    Each distinct name is parsed once, and the counted table is broadcast;
+    beyond ``limit`` names every row evaluates the same expressions itself.
+    """
+    from .graph.core import cut
+    seen = names_seen(df) if seen is None else seen
+    table = cut(seen.select("name").distinct().withColumns(parse_facility("name", "")))
+    if table.count() > limit:
+        parsed: dict = {}
+        for (_, name), pre in zip(ROLES, PREFIXES):
+            parsed |= parse_facility(name, pre)
+        return df.withColumns(parsed)
+    out = df
+    for (_, name), pre in zip(ROLES, PREFIXES):
+        own = F.broadcast(table.select(F.col("name").alias("_name"), *[F.col(c).alias(pre + c) for c in table.columns[1:]]))
+        out = out.join(own, F.col(name) == F.col("_name"), "left").drop("_name")
+    return out
+
+
 def clean_data(df: DataFrame) -> DataFrame:
     """Repairs, parsed names (before back-fill, as the source analysis does),
-    back-filled names, then the intrastate flag from the parsed states.  The
-    parse rules are plain column expressions, evaluated in the scan's pass."""
+    back-filled names, then the intrastate flag from the parsed states.  One
+    written table of the names per center serves parsing and back-fill."""
+    from .graph.core import cut
     out = clean_zero_to_null(clean_negative_time(df))
-    parsed: dict = {}
-    for col, pre in (("source_name", "source_"), ("destination_name", "dest_")):
-        parsed |= parse_facility(F.col(col), pre)
-    out = backfill_names(out.withColumns(parsed))
+    seen = cut(names_seen(out))
+    out = backfill_names(parse_names(out, seen), seen)
     return out.withColumn("is_intrastate", null_safe_equal_int("source_state", "dest_state"))
 
 

@@ -74,3 +74,21 @@ def test_eval_metrics(spark):
 def test_facility_type_rule_order(spark):
     df = spark.createDataFrame([("A_B_H (S)",), ("A_BDC (S)",)], "n string")
     assert [r[0] for r in df.select(facility_type("n")).collect()] == ["H", "DC"]
+
+
+def test_names_are_parsed_once_or_inline_with_equal_rows(spark):
+    from lanegraph.operators.clean import clean_data, names_seen, parse_names
+    rows = [("t1", 1, "a", "Surat_HUB_H (Gujarat)", "b", None, -1.0, 0.0, 2.0), ("t1", 2, "b", "Pune_DC (Maharashtra)", None, "", 3.0, 1.0, 0.0),
+            ("t2", 1, None, "Agra", "a", None, 1.0, 1.0, 1.0), ("t2", 2, "b", "Later_H (Goa)", "a", "Surat_HUB_H (Gujarat)", 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "trip_uuid string, seg_no int, source_center string, source_name string, destination_center string,"
+                                     "destination_name string, segment_actual_time double, segment_osrm_time double, segment_osrm_distance double")
+    seen = names_seen(df)
+    once, inline = parse_names(df, seen), parse_names(df, seen, limit=0)
+    assert once.columns == inline.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, inline.collect()))
+    got = {(r.trip_uuid, r.seg_no): r for r in clean_data(df).collect()}
+    assert got["t1", 1].source_state == "Gujarat" and got["t1", 1].segment_actual_time == 0.0 and got["t1", 1].segment_osrm_time is None
+    assert got["t1", 1].destination_name is None          # known as a source only: roles don't mix
+    assert got["t2", 1].destination_name == "Surat_HUB_H (Gujarat)" and got["t2", 1].dest_state is None      # parsed before back-fill
+    assert got["t1", 2].destination_name == "" and got["t1", 2].dest_facility_type is None
+    assert clean_data(df.limit(0)).count() == 0
