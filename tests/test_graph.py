@@ -52,20 +52,32 @@ def test_closeness_betweenness_clustering(rand_graph):
     assert all(R.isclose(cc[k], rcc[k]) for k in nodes)
 
 
-@pytest.mark.parametrize("name,pairs,extra", [
-    ("path4", [("1", "2"), ("2", "3"), ("3", "4")], []),
-    ("cycle4", [("1", "2"), ("2", "3"), ("3", "4"), ("4", "1")], []),
-    ("two_triangles", [("1", "2"), ("2", "3"), ("1", "3"), ("4", "5"), ("5", "6"), ("4", "6"), ("3", "4")], []),
-    ("star5", [("0", "1"), ("0", "2"), ("0", "3"), ("0", "4")], []),
-    ("loops", [("1", "2")], [("1", "1", 1.0)]),
-    ("disconnected", [("1", "2"), ("2", "3"), ("7", "8")], []),
-])
-def test_cuts(spark, name, pairs, extra):
-    edges = _undirected(pairs) + extra
-    nodes, v, e = _graph(spark, edges)
+CUT_FIXTURES = {
+    "path4": ([("1", "2"), ("2", "3"), ("3", "4")], []),
+    "cycle4": ([("1", "2"), ("2", "3"), ("3", "4"), ("4", "1")], []),
+    "two_triangles": ([("1", "2"), ("2", "3"), ("1", "3"), ("4", "5"), ("5", "6"), ("4", "6"), ("3", "4")], []),
+    "star5": ([("0", "1"), ("0", "2"), ("0", "3"), ("0", "4")], []),
+    "loops": ([("1", "2")], [("1", "1", 1.0)]),
+    "disconnected": ([("1", "2"), ("2", "3"), ("7", "8")], []),
+}
+
+
+def test_cuts(spark):
+    """All fixtures and sparse random graphs, as components of one graph."""
+    graphs = {k: _undirected(pairs) + extra for k, (pairs, extra) in CUT_FIXTURES.items()}
+    for seed in (1, 2, 3):
+        rng = random.Random(seed)
+        nodes = [f"v{i:02d}" for i in range(40)]
+        graphs[f"random{seed}"] = [(a, b, 1.0) for a, b in sorted({tuple(sorted(rng.sample(nodes, 2))) for _ in range(40)})]
+    named = {k: [(f"{k}-{a}", f"{k}-{b}", w) for a, b, w in e] for k, e in graphs.items()}
+    _, v, e = _graph(spark, [x for own in named.values() for x in own] + [("lonely", "lonely", 1.0)])
     aps, br = X.critical_infrastructure(v, e)
-    assert {r.id for r in aps.collect()} == R.articulation_points(nodes, edges), name
-    assert {(r.a, r.b) for r in br.collect()} == R.bridges(nodes, edges), name
+    aps, br = {r.id for r in aps.collect()}, {(r.a, r.b) for r in br.collect()}
+    for k, own in named.items():
+        nodes = sorted({x for a, b, _ in own for x in (a, b)})
+        assert {x for x in aps if x.startswith(k + "-")} == R.articulation_points(nodes, own), k
+        assert {x for x in br if x[0].startswith(k + "-")} == R.bridges(nodes, own), k
+    assert "lonely" not in aps
 
 
 def test_communities_two_triangles(spark):
@@ -128,3 +140,17 @@ def test_communities_reach_a_local_optimum(spark):
     _, v, e = _graph(spark, _undirected(pairs))
     got = {r.id: r.community for r in CM.communities(v, e).collect()}
     assert len(set(got.values())) == 6 and all(len({got[x] for x in got if x.startswith(f"c{c}")}) == 1 for c in range(6))
+
+
+def test_cuts_of_a_long_path_and_of_no_edges(spark):
+    """10,000 vertices in a row and a ring: rounds by the logarithm, rows linear."""
+    n = 10_000
+    path = spark.range(n - 1).selectExpr("format_string('p%05d', id) src", "format_string('p%05d', id + 1) dst", "1.0D weight")
+    ring = spark.range(50).selectExpr("format_string('r%02d', id) src", "format_string('r%02d', (id + 1) % 50) dst", "1.0D weight")
+    e = path.union(ring)
+    v = e.selectExpr("src id").union(e.selectExpr("dst id")).distinct()
+    aps, br = X.critical_infrastructure(v, e)
+    assert br.count() == n - 1 and aps.count() == n - 2
+    assert aps.where("id in ('p00000', 'p09999') or id like 'r%'").isEmpty() and br.where("a like 'r%'").isEmpty()
+    aps, br = X.critical_infrastructure(v, e.limit(0))
+    assert aps.isEmpty() and br.isEmpty()
