@@ -154,3 +154,34 @@ def test_cuts_of_a_long_path_and_of_no_edges(spark):
     assert aps.where("id in ('p00000', 'p09999') or id like 'r%'").isEmpty() and br.where("a like 'r%'").isEmpty()
     aps, br = X.critical_infrastructure(v, e.limit(0))
     assert aps.isEmpty() and br.isEmpty()
+
+
+def test_second_order_transitions(spark):
+    """Shares of the next vertex, given (previous, current), against p, q and the weights."""
+    from pyspark.sql import functions as F
+    edges = [("t", "v", 1.0), ("v", "t", 2.0), ("v", "x", 1.0), ("v", "y", 3.0), ("v", "v", 1.0), ("t", "x", 1.0), ("x", "t", 1.0), ("y", "v", 1.0)]
+    _, _, e = _graph(spark, edges)
+    slots, links, p, q, n = W.transition_slots(e), W.edge_links(e), 4.0, 0.25, 40_000
+    walkers = spark.range(n).select(F.lit("t").alias("start"), F.col("id").cast("int").alias("walk"), F.lit("t").alias("prev"), F.lit("v").alias("cur"))
+    parts = W.second_order_step(walkers, slots, links, p, q, 42, 2)
+    got = {}
+    for part in parts:
+        for r in part.groupBy("prev", "cur").count().collect():
+            assert r.prev == "v"
+            got[r.cur] = got.get(r.cur, 0) + r["count"]
+    raw = {"t": 2.0 / p, "x": 1.0, "y": 3.0 / q, "v": 1.0}      # t itself, two neighbours of t, one apart from it
+    total = sum(raw.values())
+    assert sum(got.values()) == n
+    for k, w in raw.items():
+        share = w / total
+        assert abs(got.get(k, 0) / n - share) < 5 * (share * (1 - share) / n) ** 0.5, k
+
+
+def test_second_order_walks_of_p_q_one_are_first_order(spark):
+    _, v, e = _graph(spark, [("a", "b", 1.0), ("b", "a", 2.0), ("b", "c", 1.0), ("c", "b", 1.0), ("c", "d", 1.0), ("a", "c", 0.5)])
+    first = sorted(map(tuple, W.random_walk_visits(v, e, 30, 3).collect()))
+    assert first == sorted(map(tuple, W.second_order_visits(v, e, 30, 3, p=1.0, q=1.0).collect()))
+    away = W.random_walk_visits(v, e, 30, 3, p=1.0, q=2.0)
+    assert away.agg({"visits": "sum"}).first()[0] <= 4 * 30 * 3 and away.where("start = 'd'").isEmpty()
+    with pytest.raises(ValueError):
+        W.random_walk_visits(v, e, 3, 2, p=0.0)
