@@ -132,6 +132,12 @@ def _bc(spark, sf_dir):
     return finish(cent(*graph(spark, sf_dir)).select("id", "betweenness"))
 
 
+@query("betweenness_sampled")
+def _bc_sampled(spark, sf_dir):
+    """Few hubs: every source is used and the bound is 0; sampling begins with larger graphs."""
+    return finish(C.sampled_betweenness(*graph(spark, sf_dir), eps=0.05))
+
+
 @query("articulation_points")
 def _aps(spark, sf_dir):
     return crit(*graph(spark, sf_dir))[0]
@@ -206,6 +212,12 @@ def _walks(spark, sf_dir):
     return W.random_walk_visits(v, e)
 
 
+@query("random_walks_second_order")
+def _walks2(spark, sf_dir):
+    v, e = graph(spark, sf_dir)
+    return W.random_walk_visits(v, e, p=1.0, q=2.0)
+
+
 @query("walk_cooccurrence")
 def _cooc(spark, sf_dir):
     v, e = graph(spark, sf_dir)

@@ -185,3 +185,19 @@ def test_second_order_walks_of_p_q_one_are_first_order(spark):
     assert away.agg({"visits": "sum"}).first()[0] <= 4 * 30 * 3 and away.where("start = 'd'").isEmpty()
     with pytest.raises(ValueError):
         W.random_walk_visits(v, e, 3, 2, p=0.0)
+
+
+def test_betweenness_from_sampled_sources(spark, rand_graph):
+    rng = random.Random(11)
+    names = [f"s{i:03d}" for i in range(240)]
+    edges = [(u, v, float(rng.choice([1, 2, 3]))) for u in names for v in rng.sample(names, 3) if u != v]
+    _, v, e = _graph(spark, edges, names)
+    exact = R.betweenness(names, edges)
+    got = {r.id: r for r in C.sampled_betweenness(v, e, eps=0.5, first=128).collect()}
+    assert set(got) == set(names) and {r.sources for r in got.values()} == {128}
+    assert all(0 < r.bound <= 0.5 and abs(r.betweenness - exact[k]) <= r.bound for k, r in got.items())
+    assert sum(abs(r.betweenness - exact[k]) for k, r in got.items()) < 0.5 * sum(exact.values())
+    nodes, v, e, edges = rand_graph                       # a bound of 0 takes every source
+    exact = R.betweenness(nodes, edges)
+    for r in C.sampled_betweenness(v, e, eps=0.0, first=4, batch=3).collect():
+        assert (r.bound, r.sources) == (0.0, 10) and R.isclose(r.betweenness, exact[r.id])
