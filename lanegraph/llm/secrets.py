@@ -67,17 +67,18 @@ def base_spans(text: Column) -> Column:
 def labelled_samples(docs: DataFrame, text_col: str = "text", max_identifier_docs: int = 4000) -> DataFrame:
     """(sample, random) rows to train on: values that the base patterns find
     in *all* texts are random strings; identifiers come from a bounded hash
-    sample of about ``max_identifier_docs`` documents (their base values cut
-    out by the label: a sample that is a base value counts as random only)."""
+    sample of about ``max_identifier_docs`` documents, whose base matches of all
+    three kinds are cut out first: a base value is never an identifier."""
     text = text_of(docs, text_col)
     total = docs.count()
     share = max(1, total // max_identifier_docs)
     found = docs.select(F.explode(base_spans(text)).alias("s")).select(
         F.regexp_extract("s.value", r"[A-Za-z0-9+/_-]+", 0).alias("sample"), F.lit(True).alias("random"))
+    rest = text
+    for pattern in (ASSIGN, ACCESS, HEX):
+        rest = F.regexp_replace(rest, pattern, " ")
     ids = (docs.where(F.pmod(F.xxhash64(text), F.lit(share)) == 0)
-           .select(F.explode(F.regexp_extract_all(F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), HEX, " "),
-                                                  F.lit(IDENTIFIER), F.lit(0))).alias("sample"),
-                   F.lit(False).alias("random")))
+           .select(F.explode(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0))).alias("sample"), F.lit(False).alias("random")))
     return found.unionByName(ids)
 
 
