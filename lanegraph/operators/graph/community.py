@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..aggregate import one_row_join
-from .core import both_directions, cut, discard, sorted_index, undirected_simple
+from .core import both_directions, connected_components, cut, discard, sorted_index, undirected_simple
 
 
 def modularity(und_w: DataFrame, membership: DataFrame) -> DataFrame:
@@ -44,14 +44,14 @@ def _quality(adj: DataFrame, k: DataFrame, memb: DataFrame, m2: float) -> float:
     return inside / m2 - tot / (m2 * m2)
 
 
-def _local_moving(ids: DataFrame, adj: DataFrame, m2: float) -> DataFrame:
-    """Move vertices to the neighbouring community of highest gain until no
+def _local_moving(ids: DataFrame, adj: DataFrame, m2: float, start: DataFrame | None = None) -> DataFrame:
+    """From ``start`` (each vertex alone by default) move vertices to the neighbouring community of highest gain until no
     vertex gains.  A round moves a hashed share of the vertices that gain; a
     round that doesn't raise Q is undone and the share halved, down to the one
     best vertex, whose move always raises Q.  So Q rises strictly and the loop
     ends."""
     k = cut(adj.groupBy(F.col("u").alias("id")).agg(F.sum("w").alias("k")))
-    memb = cut(ids.select("id", F.col("id").alias("community")))
+    memb = cut(ids.select("id", F.col("id").alias("community")) if start is None else start)
     q, share, rnd = _quality(adj, k, memb, m2), 2, 0
     while True:
         rnd += 1
@@ -108,6 +108,83 @@ def communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight") -
         cu, cv = (memb.select(F.col("id").alias(x), F.col("community").alias("c" + x)) for x in ("u", "v"))
         adj = cut(adj.join(cu, "u").join(cv, "v").groupBy(F.col("cu").alias("u"), F.col("cv").alias("v")).agg(F.sum("w").alias("w")))
         ids = cut(memb.select(F.col("community").alias("id")).distinct())
+    return _ranked(whole)
+
+
+def _ranked(whole: DataFrame) -> DataFrame:
     sizes = whole.groupBy("community").agg(F.count("*").alias("_n"), F.min("id").alias("_first"))
     ranked = sorted_index(sizes, [F.desc("_n"), F.col("_first")], "_rank")
     return whole.join(ranked.select("community", "_rank"), "community").select("id", F.col("_rank").cast("int").alias("community"))
+
+
+def merge_rounds(ids: DataFrame, und: DataFrame) -> tuple[DataFrame, int]:
+    """Greedy merging of communities: ((id, community), rounds).
+
+    The table of community pairs holds the gain of merging each pair.  In a
+    round every community points to its best partner.  Mutually best pairs
+    merge, the larger id into the smaller; of the others a hashed half stays
+    and the rest may join a partner that stays.  Those that join one partner
+    are taken only if their gain is still positive with all others counted as
+    joined before them, so Q rises with every merge; where none passes, the
+    mutually best pair merges alone.  The best pair of all is mutual, so each
+    round merges something, usually a fixed share of the communities, and the
+    loop ends when no pair gains.  Merges follow edges: communities are
+    connected.
+    """
+    whole = cut(ids.select("id", F.col("id").alias("community")))
+    pairs = cut(und.select("a", "b", "w"))
+    deg = cut(both_directions(pairs, ["w"]).groupBy(F.col("u").alias("id")).agg(F.sum("w").alias("k")))
+    m2 = float(deg.agg(F.coalesce(F.sum("k"), F.lit(0.0))).first()[0])
+    rounds = 0
+    while m2 > 0:
+        ka, kb = (deg.select(F.col("id").alias(x), F.col("k").alias("k" + x)) for x in ("a", "b"))
+        gains = (pairs.join(ka, "a").join(kb, "b").withColumn("gain", F.col("w") / m2 - F.col("ka") * F.col("kb") / (m2 * m2))
+                 .where(F.col("gain") > 1e-15))
+        ends = gains.select("a", "b", "gain", "w", F.explode(F.array(
+            F.struct(F.col("a").alias("u"), F.col("b").alias("v"), F.col("ka").alias("ku"), F.col("kb").alias("kv")),
+            F.struct(F.col("b").alias("u"), F.col("a").alias("v"), F.col("kb").alias("ku"), F.col("ka").alias("kv")))).alias("e"))
+        best = cut(ends.groupBy("e.u").agg(F.max_by(F.struct("e.v", "w", "e.ku", "e.kv"), F.struct("gain", "a", "b")).alias("x"))
+                   .select("u", "x.*"))
+        if best.isEmpty():
+            discard(best)
+            break
+        rounds += 1
+        back = best.select(F.col("u").alias("v"), F.col("v").alias("_back"))
+        roles = cut(best.join(back, "v").withColumn("mutual", F.col("_back") == F.col("u"))
+                    .withColumn("stays", F.when(F.col("mutual"), F.col("u") < F.col("v"))
+                                .otherwise(F.pmod(F.xxhash64("u", F.lit(rounds)), F.lit(2)) == 0)).drop("_back"))
+        join = roles.where(~F.col("stays")).join(roles.where("stays").select(F.col("u").alias("v")), "v", "left_semi")
+        rest = join.groupBy("v").agg(F.sum("ku").alias("_all"))
+        join = join.join(rest, "v").withColumn("ok", F.col("w") / m2 - F.col("ku") * (F.col("kv") + F.col("_all") - F.col("ku")) / (m2 * m2) > 0)
+        some = join.groupBy("v").agg(F.max("ok").alias("_some"))
+        merges = cut(join.join(some, "v").where(F.col("ok") | (~F.col("_some") & F.col("mutual"))).select(F.col("u").alias("_old"), F.col("v").alias("_new")))
+
+        def renamed(df, col):
+            return df.withColumnRenamed(col, "_old").join(merges, "_old", "left").withColumn(col, F.coalesce("_new", "_old")).drop("_old", "_new")
+
+        old = (whole, pairs, deg, best, roles)
+        whole = cut(renamed(whole, "community").select("id", "community"))
+        moved = renamed(renamed(pairs, "a"), "b").where(F.col("a") != F.col("b"))
+        pairs = cut(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("w").alias("w")))
+        deg = cut(renamed(deg, "id").groupBy("id").agg(F.sum("k").alias("k")))
+        discard(*old, merges)
+    discard(pairs, deg)
+    return whole, rounds
+
+
+def greedy_communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight") -> DataFrame:
+    """(id, community) by greedy modularity merging, ids 0.. by community size.
+
+    Merged communities are refined by vertex moves that raise Q, then split
+    into their connected parts, which never lowers Q."""
+    und = cut(undirected_simple(edges, weight))
+    adj = cut(both_directions(und, ["w"]))
+    m2 = float(adj.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0])
+    ids = vertices.select("id")
+    whole, _ = merge_rounds(ids, und)
+    if m2 > 0:
+        whole = _local_moving(ids, adj, m2, whole)
+        ca, cb = (whole.select(F.col("id").alias(x), F.col("community").alias("c" + x)) for x in ("a", "b"))
+        inner = und.join(ca, "a").join(cb, "b").where("ca = cb").select("a", "b")
+        whole = cut(connected_components(ids, inner).withColumnRenamed("component", "community"))
+    return _ranked(whole)

@@ -76,6 +76,11 @@ def _close(spark, sf_dir):
     return finish(C.closeness_centrality(v, e))
 
 
+@query("closeness_sketched")
+def _close_sketched(spark, sf_dir):
+    return finish(C.hyperball(*graph(spark, sf_dir), p=12))
+
+
 @query("clustering")
 def _clust(spark, sf_dir):
     v, e = graph(spark, sf_dir)
@@ -153,6 +158,17 @@ def _comm(spark, sf_dir):
     return comm(*graph(spark, sf_dir))
 
 
+@query("communities_greedy")
+def _comm_greedy(spark, sf_dir):
+    return G.cut(CM.greedy_communities(*graph(spark, sf_dir)))
+
+
+@query("modularity_greedy")
+def _mod_greedy(spark, sf_dir):
+    v, e = graph(spark, sf_dir)
+    return finish(CM.modularity(G.undirected_simple(e, "weight"), G.cut(CM.greedy_communities(v, e))))
+
+
 @query("graph_statistics")
 def _gstats(spark, sf_dir):
     v, e = graph(spark, sf_dir)

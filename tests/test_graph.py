@@ -201,3 +201,60 @@ def test_betweenness_from_sampled_sources(spark, rand_graph):
     exact = R.betweenness(nodes, edges)
     for r in C.sampled_betweenness(v, e, eps=0.0, first=4, batch=3).collect():
         assert (r.bound, r.sources) == (0.0, 10) and R.isclose(r.betweenness, exact[r.id])
+
+
+def test_hyperball_against_exact_distances(spark, rand_graph):
+    nodes, v, e, edges = rand_graph
+    exact = R.closeness(nodes, edges)
+    got = {r.id: r for r in C.hyperball(v, e, p=12).collect()}
+    assert set(got) == set(exact)
+    for i, c in exact.items():
+        assert got[i].closeness == pytest.approx(c, rel=3 * 1.04 / 64, abs=1e-9)
+    # a hub that thousands reach: the bound holds where no register is empty
+    leaves = 20_000
+    v = spark.range(leaves + 1).select("id")
+    e = spark.range(1, leaves + 1).selectExpr("id AS src", "0L AS dst", "1.0D AS weight")
+    star = {r.id: r for r in C.hyperball(v, e, p=8).where("id < 2").collect()}
+    assert star[0].reach == pytest.approx(leaves + 1, rel=3 * 1.04 / 16)
+    assert star[0].harmonic == pytest.approx(leaves, rel=3 * 1.04 / 16)
+    assert star[1].closeness == 0 and star[1].reach == pytest.approx(1)
+
+
+def test_hyperball_without_edges_or_vertices(spark):
+    v = spark.createDataFrame([("a",), ("b",)], "id string")
+    e = spark.createDataFrame([("a", "a", 1.0)], "src string, dst string, weight double")
+    assert {r.id: (r.closeness, r.harmonic) for r in C.hyperball(v, e).collect()} == {"a": (0, 0), "b": (0, 0)}
+    assert C.hyperball(v.limit(0), e.limit(0)).count() == 0
+
+
+def test_greedy_communities(spark, rand_graph):
+    from lanegraph.operators.graph import core as G
+    nodes, v, e, edges = rand_graph
+
+    def parts_of(v, e):
+        und = [(r.a, r.b) for r in G.undirected_simple(e).collect()]
+        memb = {r.id: r.community for r in CM.greedy_communities(v, e).collect()}
+        comp = R._components(list(memb), [(a, b) for a, b in und if memb[a] == memb[b]])
+        assert comp == len(set(memb.values()))            # every community is connected
+        return memb
+
+    memb = parts_of(v, e)
+    assert set(memb) == set(nodes)
+    whole, rounds = CM.merge_rounds(v.select("id"), G.undirected_simple(e, "weight"))
+    merged = {r.id: r.community for r in whole.collect()}
+    assert R.modularity(edges, memb) >= R.modularity(edges, merged) - 1e-12
+    for a in set(merged.values()):                             # no two merged communities gain by joining
+        for b in set(merged.values()):
+            joined = {i: a if c == b else c for i, c in merged.items()}
+            assert R.modularity(edges, joined) <= R.modularity(edges, merged) + 1e-9
+    # rings of 6 on a ring: the rings are found, in few rounds
+    rings = [(f"{g:02}{i}", f"{g:02}{(i + 1) % 6}", 5.0) for g in range(24) for i in range(6)]
+    rings += [(f"{g:02}0", f"{(g + 1) % 24:02}3", 0.1) for g in range(24)]
+    rv = spark.createDataFrame(sorted({(x,) for a, b, _ in rings for x in (a, b)}), "id string")
+    re = spark.createDataFrame(rings, "src string, dst string, weight double")
+    found = parts_of(rv, re)
+    assert all(len({found[f"{g:02}{i}"] for i in range(6)}) == 1 for g in range(24))
+    _, rounds = CM.merge_rounds(rv.select("id"), G.undirected_simple(re, "weight"))
+    assert rounds <= 16
+    lone = spark.createDataFrame([("a",), ("b",)], "id string")
+    assert CM.greedy_communities(lone, re.limit(0)).count() == 2
