@@ -1,20 +1,22 @@
 """Language-model scoring: log-bilinear model with noise-contrastive estimation.
 
 Word counts of the training texts are exact, over the whole corpus.  The model
-predicts word classes: every one of the ``top`` most frequent words (the end
-of a text among them) is a class, all other words share one.  A class's
+predicts word classes: each of the most frequent words (the end of a text among
+them) is a class, all other words share one; the number of class words is the
+square root of the number of distinct words, ``top`` at least.  A class's
 probability after the two classes before it is log-bilinear: context vectors,
 scaled per position, are added up and multiplied with class vectors.  Vectors
 are trained by noise-contrastive estimation on the class trigrams of all
-training texts, in parallel on parts of the trigram table, and averaged after
-each round.  A rare word's probability is that of its class times its smoothed
+training texts: a round passes over every entry of the trigram table, in
+parallel on parts whose number grows with the texts, and averages the parts'
+vectors.  A rare word's probability is that of its class times its smoothed
 share in the class, so token probabilities sum to one over the known words and
 one unknown.
 """
 
 from __future__ import annotations
 
-import pickle
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,12 +61,14 @@ def _words(buckets: int):
 ANSWER = "shard int, bucket int, counts binary, types long, tokens long, top_keys binary, top_counts binary"
 
 
-def _add_up(top: int):
+def _add_up(top: int, buckets: int):
     def run(key, table):
-        """An answer per shard, and one row (shard -1) about the bucket."""
+        """An answer per shard, and one row (shard -1) about the bucket; words
+        fall into buckets by hash, so twice the expected number of class words
+        holds all that are among them."""
         keys = X.unpack(table, "keys", np.uint64)
         distinct, total, place = X.totals(keys, X.unpack(table, "counts", np.int64))
-        order = np.lexsort((distinct, -total))[:top]
+        order = np.lexsort((distinct, -total))[:max(top, 2 * math.isqrt(buckets * len(distinct)))]
         order = order[total[order] > 0]
         n = len(keys)
         none = [None] * n
@@ -121,8 +125,10 @@ def _trigrams(voc, parts: int):
         def out():
             keys, counts = X.merge_sorted(found)
             part = (mix(keys) % np.uint64(parts)).astype(np.int64)
-            use = [np.flatnonzero(part == p) for p in range(parts)]
-            return pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([keys[u].tobytes() for u in use], pa.binary()),
+            order = np.argsort(part, kind="stable")
+            live, start = np.unique(part[order], return_index=True)
+            use = np.split(order, start[1:])
+            return pa.RecordBatch.from_arrays([pa.array(live, pa.int32()), pa.array([keys[u].tobytes() for u in use], pa.binary()),
                                                pa.array([counts[u].tobytes() for u in use], pa.binary())], names=["part", "keys", "counts"])
 
         for batch in batches:
@@ -151,12 +157,32 @@ def _add_trigrams(key, table):
                      "counts": pa.array([counts.tobytes()], pa.binary())})
 
 
-def _indicator(x: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros((len(x), width), np.float32)
-    out[np.arange(len(x)), x] = 1
+def _sums(x: np.ndarray, values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of ``values`` added up by the class ``x`` of each."""
+    order = np.argsort(x, kind="stable")
+    start = np.flatnonzero(np.diff(x[order], prepend=-1))
+    out = np.zeros((width, values.shape[1]), np.float32)
+    out[x[order[start]]] = np.add.reduceat(values[order], start, axis=0)
     return out
 
 
+def _draws(weight: np.ndarray, steps: int, batch: int, rng) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    cum = np.cumsum(weight, dtype=np.float64)
+    for _ in range(steps):
+        yield np.minimum(np.searchsorted(cum, rng.random(batch) * cum[-1], "right"), len(cum) - 1), np.ones(batch, np.float32)
+
+
+def _passes(weight: np.ndarray, unit: int, batch: int, rng) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every entry in random order; one of more than ``unit`` occurrences is
+    visited several times, so that no visit stands for more than that."""
+    visits = -(-weight // unit)
+    each = (weight / (visits * unit)).astype(np.float32)
+    order = np.repeat(np.arange(len(weight), dtype=np.int32), visits)
+    rng.shuffle(order)
+    for i in range(0, len(order), batch):
+        yield order[i:i + batch], each[order[i:i + batch]]
+
+
 class LogBilinear:
     """Parameters: context vectors ``r``, class vectors ``q``, biases ``b`` and
     per-position scales ``c``."""
@@ -184,35 +210,32 @@ class LogBilinear:
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.r[one] * self.c[0] + self.r[two] * self.c[1]
 
-    def train(self, one, two, cls, weight, steps: int, batch: int, noise: int, rate: float, seed: int) -> None:
-        """Noise-contrastive estimation with Adagrad on trigrams drawn by
-        ``weight``; the noise words of a batch are shared by its rows."""
+    def train(self, one, two, cls, weight, steps: int | None, batch: int, noise: int, rate: float, seed: int, unit: int = 8) -> None:
+        """Noise-contrastive estimation with Adagrad over all trigrams by
+        ``weight`` (``steps`` given: on that many batches drawn by weight
+        instead); the noise words of a batch are shared by its rows."""
         rng = np.random.default_rng(seed)
-        cum = np.cumsum(weight, dtype=np.float64)
         noise_cum = np.cumsum(self.noise)
         log_noise = np.log(noise * self.noise).astype(np.float32)
         state = [np.full(a.shape, 1e-4, np.float32) for a in self.arrays()]
-        for _ in range(steps):
-            at = np.minimum(np.searchsorted(cum, rng.random(batch) * cum[-1], "right"), len(cum) - 1)
+        k = len(self.b)
+        for at, share in _passes(weight, unit, batch, rng) if steps is None else _draws(weight, steps, batch, rng):
             o, t, w = one[at], two[at], cls[at]
-            z = np.minimum(np.searchsorted(noise_cum, rng.random(noise) * noise_cum[-1], "right"), len(noise_cum) - 1)
+            z = np.minimum(np.searchsorted(noise_cum, rng.random(noise) * noise_cum[-1], "right"), k - 1)
             ro, rt = self.r[o], self.r[t]
             v = ro * self.c[0] + rt * self.c[1]
             qw, qz = self.q[w], self.q[z]
             own = (v * qw).sum(1) + self.b[w] - log_noise[w]
             other = v @ qz.T + self.b[z] - log_noise[z]
-            gw = 1 / (1 + np.exp(own))                       # pull of the true word
-            gz = -1 / (1 + np.exp(-other))                   # push of each noise word
+            gw = share / (1 + np.exp(own))                   # pull of the true word
+            gz = -share[:, None] / (1 + np.exp(-other))      # push of each noise word
             gv = gw[:, None] * qw + gz @ qz
-            # sums by class as products with indicator matrices
-            by_o, by_t, by_w, by_z = (_indicator(x, len(self.r)) for x in (o, t, w, z))
-            k = len(self.b)
-            grads = [by_o.T @ (gv * self.c[0]) + by_t.T @ (gv * self.c[1]),
-                     (by_w.T @ (gw[:, None] * v))[:k] + (by_z.T @ (gz.T @ v))[:k],
-                     (by_w.T @ gw)[:k] + (by_z.T @ gz.sum(0))[:k],
+            words, pull = np.concatenate([w, z]), np.concatenate([gw[:, None] * v, gz.T @ v])
+            to_b = _sums(words, np.concatenate([gw, gz.sum(0)])[:, None], k)[:, 0]
+            grads = [_sums(np.concatenate([o, t]), np.concatenate([gv * self.c[0], gv * self.c[1]]), k + 1), _sums(words, pull, k), to_b,
                      np.stack([(gv * ro).sum(0), (gv * rt).sum(0)])]
             for a, g, s in zip(self.arrays(), grads, state, strict=True):
-                g /= batch
+                g /= share.sum()
                 s += g * g
                 a += rate * g / np.sqrt(s)
 
@@ -227,46 +250,63 @@ class LogBilinear:
         for n, s in enumerate(range(0, len(ctx), block)):
             part = ctx[s:s + block]
             logit = self.predicted(part % base, part // base) @ self.q.T + self.b
-            logit = logit.astype(np.float64)
-            top = logit.max(1, keepdims=True)
-            logit -= top + np.log(np.exp(logit - top).sum(1, keepdims=True))
+            logit -= logit.max(1, keepdims=True)
+            total = np.log(np.exp(logit).sum(1, dtype=np.float64))
             use = order[edge[n]:edge[n + 1]]
-            out[use] = logit[inverse[use] - s, cls[use]]
+            at = inverse[use] - s
+            out[use] = logit[at, cls[use]] - total[at]
         return out
 
 
-def _round(sent, steps: int, batch: int, noise: int, rate: float, number: int):
+BLOCK = 4096
+PIECES = "part int, block int, weight double, piece binary"
+
+
+def _round(sent, steps: int | None, batch: int, noise: int, rate: float, number: int):
     def run(key, table):
+        """The part's parameters after the round, times its weight, in blocks."""
         model = LogBilinear.of(*sent.value)
-        keys, counts = X.unpack(table, "keys", np.uint64)[0], X.unpack(table, "counts", np.int64)[0]
-        part, base = key[0].as_py(), len(model.b) + 1
-        if len(keys):
-            keys = keys.astype(np.int64)
-            model.train(keys // base % base, keys // base // base, keys % base, counts, steps, batch, noise, rate, seed=1000 * number + part)
-        return pa.table({"part": pa.array([part], pa.int32()), "weight": pa.array([float(counts.sum())]),
-                         "model": pa.array([pickle.dumps(model.arrays())], pa.binary())})
+        keys, counts = X.unpack(table, "keys", np.uint64)[0].astype(np.int64), X.unpack(table, "counts", np.int64)[0]
+        part, base, weight = key[0].as_py(), len(model.b) + 1, float(counts.sum())
+        ids = np.int32 if base < 1 << 31 else np.int64
+        model.train((keys // base % base).astype(ids), (keys // base // base).astype(ids), (keys % base).astype(ids), counts, steps, batch, noise,
+                    rate, seed=1000 * number + part)
+        flat = np.concatenate([a.ravel() for a in model.arrays()]).astype(np.float64) * weight
+        pieces = [flat[i:i + BLOCK].tobytes() for i in range(0, len(flat), BLOCK)]
+        n = len(pieces)
+        return pa.table({"part": pa.array([part] * n, pa.int32()), "block": pa.array(range(n), pa.int32()),
+                         "weight": pa.array([weight] * n, pa.float64()), "piece": pa.array(pieces, pa.binary())})
     return run
 
 
-def fit(trigrams: DataFrame, class_counts: np.ndarray, dim: int = 24, rounds: int = 5, steps: int = 120, batch: int = 4096,
-        noise: int = 96, rate: float = 0.3) -> LogBilinear:
-    """Rounds of parallel training, averaged by weight on the driver: one row
-    of parameters per part of the table, a fixed number."""
+def _add_pieces(key, table):
+    """Sums of weights and pieces, in the order of their parts."""
+    order = np.argsort(table.column("part").to_numpy(), kind="stable")
+    total = sum(x for x in (X.unpack(table, "piece", np.float64)[i] for i in order))
+    return pa.table({"part": pa.array([int(table.column("part").to_numpy().min())], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
+                     "weight": pa.array([float(table.column("weight").to_numpy()[order].sum())]), "piece": pa.array([total.tobytes()], pa.binary())})
+
+
+def fit(trigrams: DataFrame, class_counts: np.ndarray, parts: int = 8, dim: int = 24, rounds: int = 4, steps: int | None = None,
+        batch: int = 4096, noise: int = 96, rate: float = 0.3) -> LogBilinear:
+    """Rounds of parallel training over all parts of the table.  Their vectors
+    are averaged by weight in two levels, of groups of about √parts each, so
+    the driver gets one set of vectors a round however many parts there are.
+    ``steps`` ends a part's round after that many drawn batches (for trials)."""
     model = LogBilinear(class_counts, dim)
     spark = trigrams.sparkSession
+    width = math.isqrt(max(1, parts - 1)) + 1
     for n in range(rounds):
         sent = spark.sparkContext.broadcast((*model.arrays(), model.noise))
-        got = trigrams.groupBy("part").applyInArrow(_round(sent, steps, batch, noise, rate / (1 + n), n),
-                                                    "part int, weight double, model binary").collect()
-        got = sorted((r for r in got if r["weight"] > 0), key=lambda r: r["part"])
-        if not got:
+        got = trigrams.groupBy("part").applyInArrow(freed(_round(sent, steps, batch, noise, rate / (1 + n), n)), PIECES)
+        some = got.groupBy(F.pmod("part", F.lit(width)).alias("group"), "block").applyInArrow(freed(_add_pieces), PIECES)
+        whole = some.groupBy(F.lit(0).alias("group"), "block").applyInArrow(freed(_add_pieces), PIECES).orderBy("block").collect()
+        if not whole:
             return model
-        total = sum(r["weight"] for r in got)
-        sums = None
-        for r in got:
-            arrays = [a * np.float32(r["weight"] / total) for a in pickle.loads(r["model"])]
-            sums = arrays if sums is None else [x + y for x, y in zip(sums, arrays, strict=True)]
-        model.r, model.q, model.b, model.c = sums
+        flat = np.concatenate([np.frombuffer(r["piece"], np.float64) / r["weight"] for r in whole])
+        cuts = np.cumsum([a.size for a in model.arrays()])[:-1]
+        model.r, model.q, model.b, model.c = (x.reshape(a.shape).astype(np.float32)
+                                              for x, a in zip(np.split(flat, cuts), model.arrays(), strict=True))
     return model
 
 
@@ -308,11 +348,13 @@ def _score(voc, sent, buckets: int):
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod: int = 5, held: int = 1, top: int = 250,
-          parts: int = 8, shard_bytes: int = 8 << 20, scratch: Scratch | None = None, **training) -> DataFrame:
+          part_bytes: int = 16 << 20, shard_bytes: int = 8 << 20, scratch: Scratch | None = None, **training) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows whose crc32(id as text) mod ``mod`` is ``held`` are held out of all
-    learning.  Tokens are the words between ASCII white space, A-Z
+    learning.  ``top`` is the least number of class words (fewer distinct words
+    are a class each), ``part_bytes`` the text behind a part of the trigram
+    table, which is one training task.  Tokens are the words between ASCII white space, A-Z
     lower-cased, then one end; null text counts as empty, its one token is the
     end.  Repeated rows are scored each; an empty table gives no rows; other
     columns are ignored.  Words are told apart by 64-bit hashes.
@@ -320,15 +362,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod:
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "lm")
     is_held = (id_remainder(docs[id_col], mod) == held).alias("held")
-    n = X.shards_of(X.corpus_bytes(docs, text_col), shard_bytes)
+    size = X.corpus_bytes(docs, text_col)
+    n, parts = X.shards_of(size, shard_bytes), X.shards_of(size, part_bytes)
     buckets = X.buckets_of(n)
     sharded = X.in_shards(docs, n, id_col, text_col, is_held)
     sent = sharded.groupBy("shard").applyInArrow(freed(_words(buckets)), X.SENT)
-    answers = scratch.write(sent.groupBy("bucket").applyInArrow(freed(_add_up(top)), ANSWER), "answers")
+    answers = scratch.write(sent.groupBy("bucket").applyInArrow(freed(_add_up(top, buckets)), ANSWER), "answers")
 
     about = answers.where("shard = -1")
     totals = about.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("types"), F.lit(0)).alias("v")).first()
-    best = about.mapInArrow(_open_top, "key long, n long").orderBy(F.desc("n"), "key").limit(top).collect()
+    best = about.mapInArrow(_open_top, "key long, n long").orderBy(F.desc("n"), "key").limit(max(top, math.isqrt(totals["v"]))).collect()
     keys = np.array([r["key"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(keys)
     voc = Vocabulary(totals["n"], totals["v"], keys[order], np.array([r["n"] for r in best], np.int64)[order])
@@ -336,7 +379,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod:
 
     learn = docs.where(id_remainder(docs[id_col], mod) != held).select(X.text_of(docs, text_col).alias("text"))
     trigrams = scratch.write(learn.mapInArrow(trimmed(_trigrams(sent_voc, parts)), TRIGRAMS).groupBy("part").applyInArrow(freed(_add_trigrams), TRIGRAMS), "trigrams")
-    model = fit(trigrams, voc.class_counts(), **training)
+    model = fit(trigrams, voc.class_counts(), parts, **training)
     sent_model = spark.sparkContext.broadcast((*model.arrays(), model.noise))
     replies = answers.where("shard >= 0").select("shard", "bucket", "counts")
     out = sharded.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(freed(_score(sent_voc, sent_model, buckets)), SCORED)
