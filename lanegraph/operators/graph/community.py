@@ -172,17 +172,17 @@ def merge_rounds(ids: DataFrame, und: DataFrame) -> tuple[DataFrame, int]:
     return whole, rounds
 
 
-def greedy_communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight") -> DataFrame:
+def greedy_communities(vertices: DataFrame, edges: DataFrame, weight: str = "weight", refine: bool = True) -> DataFrame:
     """(id, community) by greedy modularity merging, ids 0.. by community size.
 
-    Merged communities are refined by vertex moves that raise Q, then split
-    into their connected parts, which never lowers Q."""
+    ``refine``: merged communities are refined by vertex moves that raise Q,
+    then split into their connected parts, which never lowers Q."""
     und = cut(undirected_simple(edges, weight))
     adj = cut(both_directions(und, ["w"]))
     m2 = float(adj.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0])
     ids = vertices.select("id")
     whole, _ = merge_rounds(ids, und)
-    if m2 > 0:
+    if refine and m2 > 0:
         whole = _local_moving(ids, adj, m2, whole)
         ca, cb = (whole.select(F.col("id").alias(x), F.col("community").alias("c" + x)) for x in ("a", "b"))
         inner = und.join(ca, "a").join(cb, "b").where("ca = cb").select("a", "b")

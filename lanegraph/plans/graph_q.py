@@ -160,13 +160,13 @@ def _comm(spark, sf_dir):
 
 @query("communities_greedy")
 def _comm_greedy(spark, sf_dir):
-    return G.cut(CM.greedy_communities(*graph(spark, sf_dir)))
+    return G.cut(CM.greedy_communities(*graph(spark, sf_dir), refine=False))
 
 
 @query("modularity_greedy")
 def _mod_greedy(spark, sf_dir):
     v, e = graph(spark, sf_dir)
-    return finish(CM.modularity(G.undirected_simple(e, "weight"), G.cut(CM.greedy_communities(v, e))))
+    return finish(CM.modularity(G.undirected_simple(e, "weight"), G.cut(CM.greedy_communities(v, e, refine=False))))
 
 
 @query("graph_statistics")
