@@ -128,8 +128,10 @@ def hyperball(vertices: DataFrame, edges: DataFrame, p: int = 10) -> DataFrame:
     in the round before along the edges and keeps the larger value; partial
     aggregates cut what a hub receives.  Σd adds t times the growth of the
     ball in round t, the harmonic sum its t-th part.  ``reach`` has a relative
-    standard error of 1.04 / 2^(p/2), whatever the size; small balls are
-    nearly exact.  Closeness is scaled as in ``closeness_centrality``.  Rounds
+    standard error of about 1.04 / 2^(p/2), whatever the size (less for small
+    balls), the harmonic sum at most about the same; closeness goes with the
+    square of the reach and errs up to twice as much.  It is scaled as in
+    ``closeness_centrality``.  Rounds
     end with the longest shortest path; ids are taken as distinct.
     """
     m, n = 1 << p, vertices.count()
