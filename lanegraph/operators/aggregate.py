@@ -179,6 +179,7 @@ def all_facilities(legs: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------------- trips
 
+# fixed values: columns of the trip table by the way they are aggregated
 TRIP_FIRST = ["data", "route_schedule_uuid", "route_type", "source_center", "source_name",
               "source_city", "source_state", "source_facility_type", "is_intrastate",
               "trip_creation_time", "od_start_time"]
