@@ -92,3 +92,38 @@ def test_names_are_parsed_once_or_inline_with_equal_rows(spark):
     assert got["t2", 1].destination_name == "Surat_HUB_H (Gujarat)" and got["t2", 1].dest_state is None      # parsed before back-fill
     assert got["t1", 2].destination_name == "" and got["t1", 2].dest_facility_type is None
     assert clean_data(df.limit(0)).count() == 0
+
+
+def test_network_tables_equal_the_wide_aggregates(spark):
+    from lanegraph.operators.graph import core as G
+    rows = [(None if k % 31 == 0 else f"t{k % 17}", k, f"F{k % 4}" if k % 9 else None, f"S{k % 4}_HB (X)" if k % 5 else None,
+             f"F{k % 3}" if k % 11 else None, f"D{k % 3}_H (X)" if k % 4 else None, None if k % 13 == 0 else ("FTL", "Carting")[k % 2],
+             float(k % 23), float(k % 7), float(k % 29), None if k % 8 == 0 else (k % 19) / 5) for k in range(300)] * 2
+    legs = spark.createDataFrame(rows, "trip_uuid string, seg_no long, source_center string, source_name string, destination_center string, "
+                                       "destination_name string, route_type string, actual_time double, osrm_time double, osrm_distance double, factor double")
+    show = lambda df, keys: [[round(x, 9) if isinstance(x, float) else x for x in r] for r in df.orderBy(*keys).collect()]
+    mine, wide = G.facility_graph(*A.network_tables(legs)), G.facility_graph(A.facility_stats(legs), A.corridor_stats(legs))
+    assert show(mine[0], ["id"]) == show(wide[0], ["id"]) and len(show(mine[0], ["id"])) == 4
+    assert show(mine[1], ["src", "dst"]) == show(wide[1], ["src", "dst"])
+    plan = mine[0]._jdf.queryExecution().toString()
+    assert "facility_id" in plan and "Scan ExistingRDD" not in plan          # built from the one written pass
+
+
+def test_large_tables_are_dealt_by_trip(spark, tmp_path, monkeypatch):
+    from lanegraph.sources import segments as S
+    src = str(tmp_path)
+    n = spark.range(900, numPartitions=3)
+    tables = {"lineitem": n.selectExpr("id div 4 l_orderkey", "id % 300 l_partkey", "id % 6 l_suppkey", "id % 4 l_linenumber", "double(id % 40 + 1) l_quantity",
+                                       "double(id) l_extendedprice", "(id % 9) / 100d l_discount", "if(id % 2 = 0, 'O', 'F') l_linestatus",
+                                       "timestamp_ntz'2020-01-01' l_shipdate"),
+              "orders": spark.range(225).selectExpr("id o_orderkey", "id % 10 o_custkey", "timestamp_ntz'2020-01-01' o_orderdate", "'1-URGENT' o_orderpriority"),
+              "supplier": spark.range(6).selectExpr("id s_suppkey", "id % 5 s_nationkey"), "customer": spark.range(10).selectExpr("id c_custkey", "id % 5 c_nationkey")}
+    for name, df in tables.items():
+        df.write.parquet(f"{src}/{name}.parquet")
+    before = sorted(map(str, S.legs_from_tables(spark, src).collect()))
+    monkeypatch.setattr(S, "ROWS_PER_TASK", 30)
+    legs = S.legs_from_tables(spark, src)
+    assert sorted(map(str, legs.collect())) == before and len(before) == 900 and legs.rdd.getNumPartitions() == 30
+    per = legs.groupBy("trip_uuid", "source_center").count()
+    plan = per._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(trip_uuid") == 1 and "hashpartitioning(trip_uuid#" in plan
