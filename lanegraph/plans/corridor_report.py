@@ -2,7 +2,7 @@
 
 segments → training filter → corridor aggregate (one pass, partial
 aggregation) → reliability, band, impact (one-row broadcast of the global
-maxima) → top-k by impact with key tiebreakers (TakeOrderedAndProject).
+maxima over the written corridors) → top-k by impact with key tiebreakers (TakeOrderedAndProject).
 """
 
 from __future__ import annotations
@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import corridor_impact, corridor_stats
+from ..operators.graph.core import cut
 from ..schema import TRAIN_VALUE
 
 
 def corridor_bottlenecks(legs: DataFrame, top_n: int = 20, train_value: str = TRAIN_VALUE) -> DataFrame:
     train = legs.where(F.col("data") == train_value)
-    c = corridor_impact(corridor_stats(train, with_medians=False))
+    stats = corridor_stats(train, with_medians=False).select(
+        "source_center", "destination_center", "segment_count", "trip_count", "delay_ratio_mean", "sla_breach_pct", "corridor_reliability", "delay_class")
+    c = corridor_impact(cut(stats))
     return (c.select(
         "source_center", "destination_center", "segment_count", "trip_count",
         F.round("delay_ratio_mean", 9).alias("delay_ratio_mean"),
