@@ -239,24 +239,70 @@ class LogBilinear:
                 s += g * g
                 a += rate * g / np.sqrt(s)
 
-    def log_probabilities(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray, block: int = 8192) -> np.ndarray:
-        """Normalised natural log-probabilities of the classes; each distinct
-        context is scored against all classes once, in matrix blocks."""
+    def log_probabilities(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray, block: int = 1 << 16) -> np.ndarray:
+        """Normalised natural log-probabilities of the classes; the total of each distinct context is taken once."""
         base = len(self.b) + 1
         ctx, inverse = np.unique(two * base + one, return_inverse=True)
-        out = np.empty(len(cls))
-        order = np.argsort(inverse, kind="stable")
-        edge = np.searchsorted(inverse[order], np.arange(0, len(ctx) + block, block))
-        for n, s in enumerate(range(0, len(ctx), block)):
-            part = ctx[s:s + block]
-            logit = self.predicted(part % base, part // base) @ self.q.T + self.b
-            logit -= logit.max(1, keepdims=True)
-            total = np.log(np.exp(logit).sum(1, dtype=np.float64))
-            use = order[edge[n]:edge[n + 1]]
-            at = inverse[use] - s
-            out[use] = logit[at, cls[use]] - total[at]
+        out = -self.log_totals(ctx % base, ctx // base)[inverse]
+        for s in range(0, len(cls), block):
+            c = cls[s:s + block]
+            out[s:s + block] += (self.predicted(one[s:s + block], two[s:s + block]) * self.q[c]).sum(1) + self.b[c]
         return out
 
+    def log_totals(self, one: np.ndarray, two: np.ndarray, held: int = 48 << 20, wide: int = 128, dense: int = 16) -> np.ndarray:
+        """Log of the sums over all classes that normalise these contexts.
+
+        The exponential of a context's logits is the product of one factor per
+        position, so factors are taken per class instead of per context, and a
+        total is the scalar product of two of them.  Products go block by
+        block: by matrices where a ``dense``-th of the pairs is asked for, else
+        pair by pair.  ``held`` bounds the bytes of factors of the first position.
+        """
+        out, k = np.empty(len(one)), len(self.b)
+        names, n = np.unique(one, return_counts=True)
+        names = names[np.argsort(-n, kind="stable")]
+        rows = max(1, held // (4 * k))
+        for i in range(0, len(names), rows):
+            some = names[i:i + rows]
+            a, top_a = _factors((self.r[some] * self.c[0]) @ self.q.T)
+            place = np.full(k + 1, -1)
+            place[some] = np.arange(len(some))
+            use = np.flatnonzero(place[one] >= 0)
+            others, of, m = np.unique(two[use], return_inverse=True, return_counts=True)
+            order = np.argsort(-m, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            use = use[np.argsort(rank[of], kind="stable")]
+            edge = np.concatenate([[0], np.cumsum(m[order])])
+            for j in range(0, len(order), wide):
+                here = order[j:j + wide]
+                b, top_b = _factors((self.r[others[here]] * self.c[1]) @ self.q.T + self.b)
+                at = use[edge[j]:edge[j + len(here)]]
+                x, y = place[one[at]], np.repeat(np.arange(len(here)), m[here])
+                asked = np.zeros(len(some), bool)
+                asked[x] = True
+                live = np.flatnonzero(asked)
+                if len(at) * dense >= len(live) * len(here):
+                    z = (a[live] @ b.T)[np.searchsorted(live, x), y]
+                else:
+                    z = np.concatenate([a[x[u:v]] @ b[n] for n, (u, v) in enumerate(zip(edge[j:] - edge[j], edge[j + 1:j + 1 + len(here)] - edge[j]))])
+                lost = np.flatnonzero(z < 1e-20)             # their largest terms lie apart: beyond the range of the factors
+                z[lost] = 1.0
+                out[at] = np.log(z.astype(np.float64)) + top_a[x] + top_b[y]
+                for u in range(0, len(lost), 1024):
+                    t = at[lost[u:u + 1024]]
+                    logit = (self.predicted(one[t], two[t]) @ self.q.T + self.b).astype(np.float64)
+                    top = logit.max(1)
+                    out[t] = top + np.log(np.exp(logit - top[:, None]).sum(1))
+        return out
+
+
+def _factors(logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials less each row's largest, and that."""
+    top = logit.max(1)
+    logit -= top[:, None]
+    return np.exp(logit, out=logit), top
+
 
 BLOCK = 4096
 PIECES = "part int, block int, weight double, piece binary"
@@ -327,12 +373,15 @@ def _score(voc, sent, buckets: int):
         spread = v.tokens + 0.5 * (v.types + 1)
         rare_n, rare_v = v.tokens - int(v.counts.sum()), v.types - len(v.keys)
         cols: list[list[np.ndarray]] = [[], [], [], []]
-        for h, row in hashed:
+        classes = [v.classes(h) for h, _ in hashed]
+        before = [contexts(cls, row, v.rare) for cls, (_, row) in zip(classes, hashed)]
+        all_logp = model.log_probabilities(*(np.concatenate(x) for x in zip(*before)), np.concatenate(classes)) if hashed else np.zeros(0)
+        del before
+        edge = np.cumsum([0, *(len(x) for x in classes)])
+        for i, ((h, row), cls) in enumerate(zip(hashed, classes)):
             n = int(row[-1]) + 1
             c = count[np.searchsorted(keys, h)].astype(np.float64)
-            cls = v.classes(h)
-            one, two = contexts(cls, row, v.rare)
-            logp = model.log_probabilities(one, two, cls)
+            logp = all_logp[edge[i]:edge[i + 1]]
             in_rare = cls == v.rare
             logp[in_rare] += np.log((c[in_rare] + 0.5) / (rare_n + 0.5 * (rare_v + 1)))
             cols[0].append(np.bincount(row, minlength=n))
