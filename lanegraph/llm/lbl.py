@@ -246,7 +246,7 @@ class LogBilinear:
         out = -self.log_totals(ctx % base, ctx // base)[inverse]
         for s in range(0, len(cls), block):
             c = cls[s:s + block]
-            out[s:s + block] += (self.predicted(one[s:s + block], two[s:s + block]) * self.q[c]).sum(1) + self.b[c]
+            out[s:s + block] += np.einsum("ij,ij->i", self.predicted(one[s:s + block], two[s:s + block]), self.q[c], dtype=np.float64) + self.b[c]
         return out
 
     def log_totals(self, one: np.ndarray, two: np.ndarray, held: int = 48 << 20, wide: int = 128, dense: int = 16) -> np.ndarray:
@@ -259,12 +259,13 @@ class LogBilinear:
         pair by pair.  ``held`` bounds the bytes of factors of the first position.
         """
         out, k = np.empty(len(one)), len(self.b)
+        q = self.q.T.astype(np.float64)
         names, n = np.unique(one, return_counts=True)
         names = names[np.argsort(-n, kind="stable")]
-        rows = max(1, held // (4 * k))
+        rows = max(1, held // (8 * k))
         for i in range(0, len(names), rows):
             some = names[i:i + rows]
-            a, top_a = _factors((self.r[some] * self.c[0]) @ self.q.T)
+            a, top_a = _factors((self.r[some] * self.c[0]) @ q)
             place = np.full(k + 1, -1)
             place[some] = np.arange(len(some))
             use = np.flatnonzero(place[one] >= 0)
@@ -276,7 +277,7 @@ class LogBilinear:
             edge = np.concatenate([[0], np.cumsum(m[order])])
             for j in range(0, len(order), wide):
                 here = order[j:j + wide]
-                b, top_b = _factors((self.r[others[here]] * self.c[1]) @ self.q.T + self.b)
+                b, top_b = _factors((self.r[others[here]] * self.c[1]) @ q + self.b)
                 at = use[edge[j]:edge[j + len(here)]]
                 x, y = place[one[at]], np.repeat(np.arange(len(here)), m[here])
                 asked = np.zeros(len(some), bool)
@@ -286,12 +287,12 @@ class LogBilinear:
                     z = (a[live] @ b.T)[np.searchsorted(live, x), y]
                 else:
                     z = np.concatenate([a[x[u:v]] @ b[n] for n, (u, v) in enumerate(zip(edge[j:] - edge[j], edge[j + 1:j + 1 + len(here)] - edge[j]))])
-                lost = np.flatnonzero(z < 1e-20)             # their largest terms lie apart: beyond the range of the factors
+                lost = np.flatnonzero(z < 1e-200)            # their largest terms lie apart: beyond the range of the factors
                 z[lost] = 1.0
-                out[at] = np.log(z.astype(np.float64)) + top_a[x] + top_b[y]
+                out[at] = np.log(z) + top_a[x] + top_b[y]
                 for u in range(0, len(lost), 1024):
                     t = at[lost[u:u + 1024]]
-                    logit = (self.predicted(one[t], two[t]) @ self.q.T + self.b).astype(np.float64)
+                    logit = self.predicted(one[t], two[t]) @ q + self.b
                     top = logit.max(1)
                     out[t] = top + np.log(np.exp(logit - top[:, None]).sum(1))
         return out
