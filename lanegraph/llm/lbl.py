@@ -51,8 +51,11 @@ def _words(buckets: int):
         parts = []
         for i, j in chunks(offsets):
             h, row = tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            keys, inverse = np.unique(h, return_inverse=True)
-            parts.append((keys, np.bincount(inverse, weights=~held[i:j][row], minlength=len(keys)).astype(np.int64)))
+            keys = X.distinct(h)
+            learnt, n = np.unique(h[~held[i:j][row]], return_counts=True)
+            counts = np.zeros(len(keys), np.int64)
+            counts[np.searchsorted(keys, learnt)] = n
+            parts.append((keys, counts))
         keys, counts = X.merge_sorted(parts)
         return X.pack(key[0].as_py(), keys, counts, buckets)
     return run
@@ -159,7 +162,7 @@ def _add_trigrams(key, table):
 
 def _sums(x: np.ndarray, values: np.ndarray, width: int) -> np.ndarray:
     """Rows of ``values`` added up by the class ``x`` of each."""
-    order = np.argsort(x, kind="stable")
+    order = np.argsort(x.astype(np.uint16) if width <= 1 << 16 else x, kind="stable")     # 16 bits are sorted by radix
     start = np.flatnonzero(np.diff(x[order], prepend=-1))
     out = np.zeros((width, values.shape[1]), np.float32)
     out[x[order[start]]] = np.add.reduceat(values[order], start, axis=0)
@@ -208,7 +211,7 @@ class LogBilinear:
         return model
 
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.r[one] * self.c[0] + self.r[two] * self.c[1]
+        return (self.r * self.c[0])[one] + (self.r * self.c[1])[two]
 
     def train(self, one, two, cls, weight, steps: int | None, batch: int, noise: int, rate: float, seed: int, unit: int = 8) -> None:
         """Noise-contrastive estimation with Adagrad over all trigrams by
@@ -226,13 +229,17 @@ class LogBilinear:
             v = ro * self.c[0] + rt * self.c[1]
             qw, qz = self.q[w], self.q[z]
             own = (v * qw).sum(1) + self.b[w] - log_noise[w]
-            other = v @ qz.T + self.b[z] - log_noise[z]
+            gz = v @ qz.T
+            gz += self.b[z]
+            gz -= log_noise[z]
             gw = share / (1 + np.exp(own))                   # pull of the true word
-            gz = -share[:, None] / (1 + np.exp(-other))      # push of each noise word
+            np.exp(np.negative(gz, out=gz), out=gz)
+            gz += 1
+            np.divide(-share[:, None], gz, out=gz)           # push of each noise word
             gv = gw[:, None] * qw + gz @ qz
             words, pull = np.concatenate([w, z]), np.concatenate([gw[:, None] * v, gz.T @ v])
-            to_b = _sums(words, np.concatenate([gw, gz.sum(0)])[:, None], k)[:, 0]
-            grads = [_sums(np.concatenate([o, t]), np.concatenate([gv * self.c[0], gv * self.c[1]]), k + 1), _sums(words, pull, k), to_b,
+            to_words = _sums(words, np.column_stack([pull, np.concatenate([gw, gz.sum(0)])]), k)
+            grads = [_sums(np.concatenate([o, t]), np.concatenate([gv * self.c[0], gv * self.c[1]]), k + 1), to_words[:, :-1], to_words[:, -1],
                      np.stack([(gv * ro).sum(0), (gv * rt).sum(0)])]
             for a, g, s in zip(self.arrays(), grads, state, strict=True):
                 g /= share.sum()
@@ -370,18 +377,21 @@ def _score(voc, sent, buckets: int):
         parts = X.unpack(answers, "counts", np.int64)
         count = np.concatenate([parts[i] for i in order]) if len(order) else np.zeros(0, np.int64)
         hashed = [tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in chunks(offsets)]
-        keys = np.unique(np.concatenate([np.unique(h) for h, _ in hashed])) if hashed else np.zeros(0, np.uint64)
+        keys, place = np.unique(np.concatenate([h for h, _ in hashed]), return_inverse=True) if hashed else (np.zeros(0, np.uint64), None)
+        assert len(keys) == len(count)
         spread = v.tokens + 0.5 * (v.types + 1)
         rare_n, rare_v = v.tokens - int(v.counts.sum()), v.types - len(v.keys)
         cols: list[list[np.ndarray]] = [[], [], [], []]
-        classes = [v.classes(h) for h, _ in hashed]
+        edge = np.cumsum([0, *(len(h) for h, _ in hashed)])
+        place = [place[i:j] for i, j in zip(edge, edge[1:])]
+        class_of = v.classes(keys)
+        classes = [class_of[at] for at in place]
         before = [contexts(cls, row, v.rare) for cls, (_, row) in zip(classes, hashed)]
         all_logp = model.log_probabilities(*(np.concatenate(x) for x in zip(*before)), np.concatenate(classes)) if hashed else np.zeros(0)
         del before
-        edge = np.cumsum([0, *(len(x) for x in classes)])
-        for i, ((h, row), cls) in enumerate(zip(hashed, classes)):
+        for i, ((_, row), cls) in enumerate(zip(hashed, classes)):
             n = int(row[-1]) + 1
-            c = count[np.searchsorted(keys, h)].astype(np.float64)
+            c = count[place[i]].astype(np.float64)
             logp = all_logp[edge[i]:edge[i + 1]]
             in_rare = cls == v.rare
             logp[in_rare] += np.log((c[in_rare] + 0.5) / (rare_n + 0.5 * (rare_v + 1)))

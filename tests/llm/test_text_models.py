@@ -209,3 +209,31 @@ def test_totals_of_contexts_are_products_of_factors():
         right = top + np.log(np.exp(logit - top[:, None]).sum(1))
         for how in ({}, {"held": 4 * 60 * 7}, {"wide": 5, "dense": 0}, {"held": 1, "wide": 1}):
             assert np.abs(m.log_totals(one, two, **how) - right).max() < limit
+
+
+def test_vectorised_counting_helpers_match_plain_python():
+    from collections import Counter
+    from lanegraph.llm import exchange as X
+    from lanegraph.llm.lbl import _sums
+    from lanegraph.llm.shingles import _MULT, _powers, word_hashes
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 3, 7, 64, 1000):
+        assert _powers(n, _MULT).tolist() == [pow(_MULT, i, 1 << 64) for i in range(n)]
+    for texts in ([b""], [b"", b"", b"one"], [b"a b", b"", b"c", b" d\t\ne ", b"", b" "], [b"ab", b"cd ab", b"", b"ab "],
+                  [bytes(rng.choice(list(b"ab \n"), m)) for m in rng.integers(0, 9, 200)]):
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        h, row, start, end = word_hashes(data, offsets)
+        words = [(i, w) for i, t in enumerate(texts) for w in t.split()]
+        whole = b"".join(texts)
+        assert [(i, whole[a:b]) for i, a, b in zip(row, start, end)] == words
+        assert len(set(h.tolist())) == len({w for _, w in words})
+    values = rng.integers(0, 40, 300).astype(np.uint64)
+    assert X.distinct(values).tolist() == sorted(set(values.tolist())) and not len(X.distinct(values[:0]))
+    parts = [np.unique(values[i:i + 100], return_counts=True) for i in (0, 100, 200)] + [(values[:0], np.zeros(0, np.int64))]
+    keys, counts = X.merge_sorted(parts)
+    assert dict(zip(keys.tolist(), counts.tolist())) == Counter(values.tolist()) and (np.diff(keys.astype(int)) > 0).all()
+    for width in (50, 1 << 16, (1 << 16) + 1):
+        x, v = rng.integers(max(0, width - 50), width, 400).astype(np.int32), rng.random((400, 3), np.float32)
+        right = np.zeros((width, 3))
+        np.add.at(right, x, v)
+        assert np.abs(_sums(x, v, width) - right).max() < 1e-4
