@@ -316,6 +316,39 @@ def test_search_asks_with_all_words(spark, tmp_path):
         assert {i: sorted(x) for i, x in found.items()} == want
 
 
+def test_search_by_blocks_of_queries(spark):
+    rng = random.Random(6)
+    vocab = [f"t{int(rng.paretovariate(0.7))}" for _ in range(4000)]
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randint(1, 120)))) for i in range(200)] + [(300 + i, "same few words") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, blocks = (sorted(map(tuple, Q.top_k(docs, n_terms=None, shard_bytes=9000, **how).collect())) for how in ({}, {"block_terms": 250}))
+    assert whole == blocks and len({r[0] for r in whole}) == 12
+
+
+@pytest.mark.parametrize("head", [0, 3, 128])
+def test_long_queries_find_what_adding_up_everything_finds(monkeypatch, head):
+    monkeypatch.setattr(Q, "HEAD", head)
+    rng = np.random.default_rng(7)
+    n_rows, n_terms = 300, 400
+    share = 0.9 / (1 + np.arange(n_terms)) ** 0.7
+    term, row = np.nonzero(rng.random((n_terms, n_rows)) < share[:, None])
+    impact, weight = rng.choice([0.5, 1.0, 1.5, 2.0], len(row)), 0.1 + rng.random(n_terms)
+    have = np.flatnonzero(np.bincount(term, minlength=n_terms))
+    term, weight = np.searchsorted(have, term), weight[have]
+    index = Q.Index(row, impact, np.searchsorted(term, np.arange(len(have) + 1)), weight, Q.Rows(row, term, impact, n_rows, len(have)))
+    rank = rng.permutation(n_rows)
+    table = np.zeros((len(have), n_rows))
+    table[term, row] = impact
+    for size in (1, 5, 17, 60, 250):
+        asked = rng.choice(len(have), size, replace=False)
+        score = (table[asked] * weight[asked][:, None]).sum(0)
+        full = [(s, r) for _, _, s, r in sorted((-round(s, 9), rank[r], s, r) for r, s in enumerate(score) if s > 0)][:10]
+        for least in (-1.0, full[-1][0], full[0][0] * 0.97, full[0][0] * 1.1):
+            got = Q.max_score(np.sort(index.place[asked]), index, 10, rank, least)
+            want = [(s, r) for s, r in full if s >= least * (1 - 1e-12)]
+            assert [r for _, r in got] == [r for _, r in want] and np.allclose([s for s, _ in got], [s for s, _ in want], rtol=1e-12), (size, least)
+
+
 # ------------------------------------------------------------------ pipeline
 
 def test_pipeline_keeps_what_plain_rules_keep(spark, tmp_path):
