@@ -5,7 +5,8 @@ merges for a BPE model, as log-probabilities for a unigram model) and byte
 fallback are rebuilt as a ``tokenizers.Tokenizer``.  No piece of such a model
 has the marker after another character, so a text is encoded run by run, a run
 being blanks and what follows them; each distinct run of a task is encoded
-once, in multithreaded batches, and checked against the sentencepiece library.
+once, many runs of a BPE model in one text, and checked against the
+sentencepiece library, which takes the runs as lists.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .shingles import chunks, trimmed, utf8_buffer
 from .tokens import RunMemo, hash_runs, ragged
 
 MARK = "▁"
+#: Runs of a BPE model encoded as one text.
+JOINED = 200
 
 
 def merges(model: SentencePieceModel) -> list[tuple[str, str]]:
@@ -104,6 +107,14 @@ def blank_runs(data: np.ndarray, offsets: np.ndarray):
     return hash_runs(data, starts, ends), starts, ends, np.searchsorted(offsets, starts, "right") - 1, np.zeros(len(starts), bool), data
 
 
+def unequal(codes: np.ndarray, size: np.ndarray, others: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """Numbers of the sequences that differ, of two lists of as many."""
+    odd = size != other_size
+    mine, theirs = np.repeat(~odd, size), np.repeat(~odd, other_size)
+    odd[np.repeat(np.arange(len(size)), size)[mine][codes[mine] != others[theirs]]] = True
+    return np.flatnonzero(odd)
+
+
 class Codec:
     """Encoder of Arrow string columns with the parity check of its runs."""
 
@@ -116,18 +127,49 @@ class Codec:
         if verify:
             import sentencepiece
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.marked = np.array([p.startswith(MARK) for p in self.model.pieces], bool)
+        self.blank = np.array([p != "" and not p.strip(MARK) for p in self.model.pieces], bool)
         self.differing: set[int] = set()
         self.memo = RunMemo(self._encode_runs, fine=False, split=blank_runs)
 
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return ragged([e.ids for e in self.raw.encode_batch_fast([t.replace(" ", MARK) for t in texts], add_special_tokens=False)])
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number) of every run.
+
+        Merges of a BPE model never cross the border of two runs, so many runs
+        make one text; a run begins at a piece with a marker in front that
+        doesn't follow a piece of markers only.  Runs of blanks only would
+        merge with the next one and are encoded singly.
+        """
+        if self.model.model_type != BPE:
+            return self._each(texts)
+        whole = [n for n, t in enumerate(texts) if t[-1] != " "]
+        groups = [whole[k:k + JOINED] for k in range(0, len(whole), JOINED)]
+        ids, n_ids = self._each(["".join([texts[n] for n in g]) for g in groups])
+        first = self.marked[ids]
+        first[1:] &= ~self.blank[ids[:-1]]
+        first = np.flatnonzero(first)
+        if not np.array_equal(np.diff(np.searchsorted(first, np.append(0, np.cumsum(n_ids)))), list(map(len, groups))):
+            return self._each(texts)        # the marker itself isn't a piece
+        rest = [n for n, t in enumerate(texts) if t[-1] == " "]
+        single, single_size = self._each([texts[n] for n in rest])
+        size, begin = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        size[whole], begin[whole] = np.diff(np.append(first, len(ids))), first
+        size[rest], begin[rest] = single_size, len(ids) + np.cumsum(single_size) - single_size
+        pool, total = np.concatenate([ids, single]), np.cumsum(size)
+        return pool[np.repeat(begin - (total - size), size) + np.arange(total[-1] if len(total) else 0)], size
+
     def _encode_runs(self, texts: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.raw.encode_batch_fast([t.replace(" ", MARK) for t in texts], add_special_tokens=False)]
+        codes, size = self._pieces(texts)
         if self.reference is not None:
             # a run begins with a blank: the library's own prefix stands for it, but it gives an empty text none
             lone = [self.reference.piece_to_id(MARK)]
-            for n, (t, own) in enumerate(zip(texts, ids, strict=True)):
-                if (self.reference.encode(t[1:]) if len(t) > 1 else lone) != own:
-                    self.differing.add(len(self.memo.begin) + n)
-        return ragged(ids)
+            found = self.reference.encode([t[1:] for t in texts], num_threads=1)
+            others = ragged([e if len(t) > 1 else lone for t, e in zip(texts, found, strict=True)])
+            self.differing.update((unequal(codes, size, *others) + len(self.memo.begin)).tolist())
+        return codes, size
 
     def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, borders, parity per row) of a column of texts."""

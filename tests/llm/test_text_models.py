@@ -156,6 +156,40 @@ def test_local_search_empties_bins():
         assert (f ** 2).sum() >= (np.bincount(b0, weights=s) ** 2).sum()
 
 
+class CountedEncoder:
+    """An encoder that counts its calls."""
+
+    def __init__(self, real):
+        self.real, self.calls = real, 0
+
+    def __getattr__(self, name):
+        return getattr(self.real, name)
+
+    def encode(self, *args, **named):
+        self.calls += 1
+        return self.real.encode(*args, **named)
+
+
+def test_sentencepiece_runs_are_encoded_and_checked_together():
+    import public_tokenizers
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        codec = C.Codec(f.read())
+    codec.reference = CountedEncoder(codec.reference)
+    texts = [" ", "", "  ", "a", " a  b   ", "\u2603 \U0001f600\u0301x \x00 \t\n y", "b   ", "\xa0 \u3000 z", "word\nword \r word"]
+    texts += [" ".join(f"w{i * 7919 % 4001}x{i}" for i in range(k, k + 50)) for k in range(0, 2000, 50)]
+    ids, borders, parity = codec.rows(pa.array(texts))
+    assert parity.all() and codec.reference.calls <= 2
+    for n, t in enumerate(texts):
+        assert ids[borders[n]:borders[n + 1]].tolist() == codec.reference.real.encode(t) == codec.full.encode(t, add_special_tokens=False).ids
+    runs = [" a", "  ", "  b", "   ", " \u2603", " ", " c"]
+    together, alone = codec._pieces(runs), codec._each(runs)
+    assert all(np.array_equal(x, y) for x, y in zip(together, alone, strict=True))
+    # a difference is told by its run, whether of length or of an id
+    x = np.array([1, 2, 3, 4, 5], np.uint32), np.array([1, 2, 2])
+    y = np.array([1, 2, 9, 4], np.uint32), np.array([1, 2, 1])
+    assert C.unequal(*x, *x).tolist() == [] and C.unequal(*x, *y).tolist() == [1, 2]
+
+
 def test_sentencepiece_parity_and_round_trip(spark, edge, empty):
     import sentencepiece
     path = tokenizers_dir.path("piece_bpe_32k.model")
