@@ -349,6 +349,66 @@ def test_long_queries_find_what_adding_up_everything_finds(monkeypatch, head):
             assert [r for _, r in got] == [r for _, r in want] and np.allclose([s for s, _ in got], [s for s, _ in want], rtol=1e-12), (size, least)
 
 
+def index_of(rng, n_rows, n_terms, steep):
+    """(index, table of impacts by term and row, weights) with terms ever rarer."""
+    share = 0.9 / (1 + np.arange(n_terms)) ** steep
+    term, row = np.nonzero(rng.random((n_terms, n_rows)) < share[:, None])
+    impact, weight = rng.choice([0.5, 1.0, 1.5, 2.0], len(row)), 0.1 + rng.random(n_terms)
+    have = np.flatnonzero(np.bincount(term, minlength=n_terms))
+    term, weight = np.searchsorted(have, term), weight[have]
+    table = np.zeros((len(have), n_rows))
+    table[term, row] = impact
+    rows = Q.Rows(row, term, impact, n_rows, len(have))
+    return Q.Index(row, impact, np.searchsorted(term, np.arange(len(have) + 1)), weight, rows), table, weight
+
+
+@pytest.mark.parametrize("n_rows, column_share, matrix_bytes, pairs", [(300, 1e-3, 1 << 20, 1 << 20), (300, 0.05, 1 << 16, 500), (300, 2.0, 1 << 14, 64), (7, 1e-3, 1 << 20, 9)])
+def test_queries_scored_together_find_what_each_finds_alone(monkeypatch, n_rows, column_share, matrix_bytes, pairs):
+    for name, value in (("COLUMN_SHARE", column_share), ("MATRIX_BYTES", matrix_bytes), ("PAIRS", pairs)):
+        monkeypatch.setattr(Q, name, value)
+    rng = np.random.default_rng(8)
+    index, table, weight = index_of(rng, n_rows, 400, 0.7)
+    rank = rng.permutation(n_rows)
+    asked = [np.sort(index.place[rng.choice(len(weight), min(s, len(weight)), replace=False)]) for s in rng.integers(1, 120, 60)]
+    border, places = np.append(0, np.cumsum([len(x) for x in asked])), np.concatenate(asked)
+    alone = [Q.max_score(x, index, 10, rank) for x in asked]
+    least = np.array([(-1.0, x[-1][0], x[0][0] * 0.97, x[0][0] * 1.1)[n % 4] if x else -1.0 for n, x in enumerate(alone)])
+    queries = np.flatnonzero(np.arange(60) % 7 != 3)
+    got = dict(Q.max_score_together(queries, border, places, index, 10, rank, least))
+    assert set(got) <= set(queries.tolist())
+    for q in queries.tolist():
+        assert got.get(q, []) == Q.max_score(asked[q], index, 10, rank, least[q])
+
+
+def test_short_queries_skip_blocks_and_find_what_adding_up_everything_finds():
+    rng = np.random.default_rng(9)
+    for n_rows, k in ((1, 10), (40, 10), (700, 3), (700, 10)):
+        index, table, weight = index_of(rng, n_rows, 60, 1.0)
+        rank = rng.permutation(n_rows)
+        for size in (1, 2, 5, 16):
+            asked = np.sort(rng.choice(len(weight), min(size, len(weight)), replace=False))
+            score = np.zeros(n_rows)
+            for t in asked:
+                score += weight[t] * table[t]
+            full = [(s, r) for _, _, s, r in sorted((-s, rank[r], s, r) for r, s in enumerate(score) if s > 0)][:k]
+            for least in (-1.0, full[-1][0], full[0][0] * 0.97, full[0][0] * 1.1):
+                got = Q.block_max_wand([(weight[t], index.postings(t)) for t in asked.tolist()], k, rank, least)
+                assert got == [(s, r) for s, r in full if s * (1 + 1e-12) >= least]
+
+
+def test_routes_are_packed_in_less_than_half():
+    rng = np.random.default_rng(10)
+    asked = rng.geometric(0.05, 3000)
+    query = np.concatenate([20 * np.sort(rng.choice(12000, n, replace=False)) for n in asked])
+    weight = rng.choice(rng.random(300), 3000)
+    sent = Q._routed(np.arange(3000, dtype=np.uint64), asked, weight, query, 20)
+    assert len(sent["query_id"]) < 2 * len(query) and len(sent["asked"]) < 2 * len(asked) and len(sent["weight"]) < 6 * len(weight)
+    table = pa.table({c: pa.array([x, Q.X.squeeze_planes(np.zeros(0, np.int64))], pa.binary()) for c, x in sent.items()})
+    back = {c: np.concatenate(Q.X.expand_planes(table, c, np.int64)) for c in ("asked", "query_id")}
+    assert np.array_equal(back["asked"], asked) and np.array_equal(np.cumsum(back["query_id"]) * 20, query)
+    assert np.array_equal(np.concatenate(Q.X.expand(table, "weight", np.float64)), weight)
+
+
 # ------------------------------------------------------------------ pipeline
 
 def test_pipeline_keeps_what_plain_rules_keep(spark, tmp_path):
